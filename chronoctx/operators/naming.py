@@ -147,7 +147,8 @@ def mongo_names(df: DataFrame, opts: Options = Options(data_model=O.BY_SERVICE_P
 
 
 def hdfs_names(df: DataFrame, opts: Options = Options(), destination: Column | None = None) -> DataFrame:
-    """Folder and file of an entity; ``destination`` defaults to its id."""
+    """Folder and file of an entity (and ``dest_db``, the tenant part of both);
+    ``destination`` defaults to the entity id."""
     dest = F.col("entity_id") if destination is None else destination
     slash = F.when(F.col("service_path") == "/", F.lit("")).otherwise(F.lit("/"))
     if opts.enable_encoding:
@@ -161,13 +162,14 @@ def hdfs_names(df: DataFrame, opts: Options = Options(), destination: Column | N
             E.encode_old(dest),
         )
     folder = F.concat(service, path, slash, leaf)
-    named = df.withColumns({"dest_folder": folder, "_leaf": leaf})
+    named = df.withColumns({"dest_db": service, "dest_folder": folder, "_leaf": leaf})
     named = named.withColumn("dest_file", F.concat("dest_folder", F.lit("/"), "_leaf", F.lit(".txt"))).drop("_leaf")
     named = named.withColumn("name_reject", _limits([
         ("folder-name", F.length("dest_folder"), MAX_NAME["hdfs"], None),
         ("file-name", F.length("dest_file"), MAX_NAME["hdfs"], None),
     ]))
-    return named.withColumns({c: _maybe_lower(F.col(c), opts.enable_lowercase) for c in ("dest_folder", "dest_file")})
+    names = ("dest_db", "dest_folder", "dest_file")
+    return named.withColumns({c: _maybe_lower(F.col(c), opts.enable_lowercase) for c in names})
 
 
 def hdfs_metadata_names(df: DataFrame, destination: Column | None = None) -> DataFrame:

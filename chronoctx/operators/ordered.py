@@ -128,9 +128,20 @@ class OrderedGroups:
         return replace(self, cold=cold, hot=hot)
 
     def numbered(self, name: str, start: int = 1) -> "OrderedGroups":
-        """Add consecutive numbers from ``start`` in group order."""
-        counted = self.running(**{name: ("sum", F.lit(1).cast("bigint"))})
-        return counted.map(lambda df: df.withColumn(name, F.col(name) + F.lit(start - 1)))
+        """Add consecutive numbers from ``start`` in group order.
+
+        Whole groups get ``row_number()``, so that a filter ``name <= n`` is
+        turned by Spark into a group limit in front of the shuffle.
+        """
+        one = F.lit(1).cast("bigint")
+        hot = None if self.hot is None else replace(self, cold=None).running(**{name: ("sum", one)}).hot
+        cold = self.cold
+        if cold is not None:
+            cold = cold.withColumn(name, F.row_number().over(self._window(self.keys)).cast("bigint"))
+        numbered = replace(self, cold=cold, hot=hot)
+        if start == 1:
+            return numbered
+        return numbered.map(lambda df: df.withColumn(name, F.col(name) + F.lit(start - 1)))
 
     def result(self) -> DataFrame:
         parts = [] if self.cold is None else [self.cold]

@@ -55,13 +55,12 @@ def trajectory(
     """
     points = points.withColumn("_old", F.lit(0))
     if stored is not None:
-        old = stored.withColumns({"_old": F.lit(1), "recv_time_ts": F.col(M.RECV_TIME_TS)})
-        points = points.unionByName(old, allowMissingColumns=True)
+        points = points.unionByName(stored.withColumn("_old", F.lit(1)), allowMissingColumns=True)
     points = points.withColumn("_new", 1 - F.col("_old"))
 
     groups = OrderedGroups.of(points, keys, ["_new", "recv_time_ts", tie_breaker], hot_rows)
     groups = groups.map(lambda df: df.withColumn("_here", F.struct("lon", "lat", "recv_time_ts"))).lag(_before="_here")
-    groups = groups.map(lambda df: _stages(df, scale, stored is not None)).running(**_running(stored is not None, moments))
+    groups = groups.map(lambda df: _stages(df, scale)).running(**_running(stored is not None, moments))
     return groups.map(lambda df: _finish(df, scale, moments, max_seed, min_seed)).result()
 
 
@@ -69,7 +68,7 @@ def _rounded(value: Column, scale: int | None) -> Column:
     return value if scale is None else F.round(value, scale)
 
 
-def _stages(df: DataFrame, scale: int | None, resumed: bool) -> DataFrame:
+def _stages(df: DataFrame, scale: int | None) -> DataFrame:
     before = F.col("_before")
     first = before.isNull()
     metres = G.distance_m(before["lon"], before["lat"], F.col("lon"), F.col("lat"))
@@ -123,7 +122,8 @@ def _finish(df: DataFrame, scale: int | None, moments: bool, max_seed: float, mi
             n = F.nullif(F.col(f"_n{metric}"), F.lit(0))
             mean = F.col(f"_m1{metric}") / n
             columns[f"avg{metric}"] = mean
-            columns[f"var{metric}"] = F.greatest(F.col(f"_m2{metric}") / n - mean * mean, F.lit(0.0))
+            spread = F.greatest(F.col(f"_m2{metric}") / n - mean * mean, F.lit(0.0))
+            columns[f"var{metric}"] = F.when(mean.isNotNull(), spread)
     return out.withColumns(columns).drop(*[c for c in df.columns if c.startswith("_")])
 
 
@@ -137,7 +137,7 @@ def last_rows(results: DataFrame, keys: list[str]) -> DataFrame:
     last = latest(results.select(*keys, *kept), keys, "cartodb_id")
     carried = [c for c in kept if c not in ("recv_time_ts", "lon", "lat")]
     return last.select(
-        *keys, "lon", "lat", F.col("recv_time_ts").alias(M.RECV_TIME_TS),
+        *keys, "recv_time_ts", "lon", "lat",
         *[F.col(c).alias(f"_old_{c}") for c in carried],
     )
 
