@@ -41,6 +41,12 @@ OLD_DENIED = {
 ESCAPED_X = "x(?=[0-9a-fA-F]{4})"
 
 
+def boundary(denied: str) -> str:
+    """Pattern of the places around denied characters, never inside a
+    surrogate pair."""
+    return rf"(?!\p{{Cs}})(?:(?={denied})|(?<={denied}))"
+
+
 def encode(text: Column, kind: str) -> Column:
     """Reversible encoding of ``text`` with the rules of ``kind`` (see DENIED).
 
@@ -49,7 +55,7 @@ def encode(text: Column, kind: str) -> Column:
     """
     denied = DENIED[kind]
     escaped = F.regexp_replace(text, ESCAPED_X, "xx")
-    runs = F.split(escaped, f"(?={denied})|(?<={denied})", -1)
+    runs = F.split(escaped, boundary(denied), -1)
     coded = F.transform(
         runs,
         lambda run: F.when(run == "=", F.lit(CONCATENATOR))

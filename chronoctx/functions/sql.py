@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED
+from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED, boundary
 from chronoctx.functions.geo import EARTH_RADIUS_M
 from chronoctx.functions.times import RESOLUTIONS
 
@@ -16,7 +16,7 @@ def _encoder(kind: str) -> str:
         f"CASE WHEN p = '=' THEN '{CONCATENATOR}' WHEN p RLIKE r'{denied}' "
         "THEN regexp_replace(lower(hex(encode(p, 'UTF-16BE'))), '(.{4})', 'x$1') ELSE p END"
     )
-    return f"array_join(transform(split({escaped}, r'(?={denied})|(?<={denied})', -1), p -> {piece}), '')"
+    return f"array_join(transform(split({escaped}, r'{boundary(denied)}', -1), p -> {piece}), '')"
 
 
 def _old(kind: str) -> str:

@@ -90,6 +90,7 @@ def occurrence_points(
     different values is spread over several rows, told apart by ``part``;
     ``samples`` is always the count of the whole bucket."""
     point = [*keys, *BUCKET]
+    occurrences = occurrences.select(*point, value, "samples")  # the same columns for both uses below
     sizes = occurrences.groupBy(*point).agg(
         F.sum("samples").alias("samples"), F.ceil(F.count("*") / F.lit(max_values)).alias("_parts")
     )

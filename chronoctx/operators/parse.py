@@ -229,7 +229,12 @@ def entity_rows(parsed: DataFrame) -> DataFrame:
 
 def attribute_rows(parsed: DataFrame) -> DataFrame:
     """One row per attribute, in document order."""
-    entities = entity_rows(parsed)
+    return explode_attributes(entity_rows(parsed))
+
+
+def explode_attributes(entities: DataFrame) -> DataFrame:
+    """One row per attribute of entity rows; what is computed per entity
+    (its destination) is best added before. Entities without them give none."""
     kept = [c for c in entities.columns if c != "attrs"]
     rows = entities.select(*kept, F.posexplode("attrs").alias("attr_pos", "_attr"))
     fields = ["name", "type", "value"]

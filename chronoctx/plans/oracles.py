@@ -384,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_trajectory": f"WITH {trajectory('eid')} {RESUMED}",
         "trajectory_moments": f"""WITH {trajectory('eid')}, x AS (SELECT *, avg(CASE WHEN rn > 1 THEN D END) OVER w AS ad, var_pop(CASE WHEN rn > 1 THEN D END) OVER w AS vd,
             avg(CASE WHEN rn > 1 THEN T END) OVER w AS tt FROM v WINDOW w AS (PARTITION BY eid ORDER BY ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-            SELECT event_id, eid AS entity_id, round(coalesce(ad, -1.0) / 1000, 3) AS avg_km, round(coalesce(vd / 1e6, -1.0), 2) AS var_km2, round(coalesce(tt, -1.0) / 1000, 2) AS avg_s FROM x""",
+            SELECT event_id, eid AS entity_id, round(coalesce(ad, -1.0) / 1000, 3) AS avg_km, round(coalesce(vd / 1e6, -1.0), 2) AS var_km2, round(coalesce(tt, -1.0) / 1000, 9) AS avg_s FROM x""",
         "trajectory_raw": f"""WITH {EV} SELECT 'web' AS dest_db, {by_path} AS dest_table, {column_columns()}, CAST((user_id * 37 + event_id * 13) % 360 - 180 AS DOUBLE) AS lon,
             CAST((user_id * 17 + event_id * 7) % 180 - 90 AS DOUBLE) AS lat, CAST(3857 AS BIGINT) AS srid,
             row_number() OVER (PARTITION BY path ORDER BY ms, event_id) AS cartodb_id FROM ev""",

@@ -41,20 +41,30 @@ def history_of(
     names: list[str] | dict[str, list[str]] | None = None,
 ) -> Outcome:
     """The same for notifications that are parsed already."""
-    rows = None
-    if persistence == "row" or names is None or opts.data_model == BY_ATTRIBUTE:
-        rows = P.attribute_rows(parsed)
-    named = N.NAMERS[store](rows if persistence == "row" else P.entity_rows(parsed), opts)
-    good = named.filter(F.col("name_reject").isNull())
-    if persistence == "row":
+    entities = P.entity_rows(parsed)
+    if opts.data_model == BY_ATTRIBUTE:
+        named = N.NAMERS[store](P.explode_attributes(entities), opts)
+        good = named.filter(F.col("name_reject").isNull())
         out = _row(good, store, opts)
     else:
-        if names is None:
-            names = L.discover_sub_attributes(rows) if opts.version == "ld" else L.discover_attributes(rows)
-        out = _column(good, store, opts, names)
+        # named per entity, before the attributes multiply the rows
+        named = N.NAMERS[store](entities, opts)
+        valid = F.col("name_reject").isNull()
+        if persistence == "row":
+            # no attributes, no rows: cheaper than a filter, which would
+            # evaluate the names once more below the explode
+            good = named.withColumn("attrs", F.when(valid, F.col("attrs")))
+            out = _row(P.explode_attributes(good), store, opts)
+        else:
+            out = _column(named.filter(valid), store, opts, _names(parsed, opts) if names is None else names)
     return Outcome(out, P.rejects(parsed), N.rejected_names(named))
 
 
+def _names(parsed: DataFrame, opts: Options):
+    rows = P.attribute_rows(parsed)
+    return L.discover_sub_attributes(rows) if opts.version == "ld" else L.discover_attributes(rows)
+
+
 def _row(rows: DataFrame, store: str, opts: Options) -> DataFrame:
     if store == "mongo":
         return L.mongo_row_documents(rows, opts)

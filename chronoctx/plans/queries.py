@@ -610,7 +610,7 @@ def trajectory_moments(spark, d):
     km2 = F.col("varDistance") / 1e6
     return out.select(
         "event_id", "entity_id", F.round(F.coalesce("avgDistance", F.lit(-1.0)) / 1000, 3).alias("avg_km"),
-        F.round(F.coalesce(km2, F.lit(-1.0)), 2).alias("var_km2"), F.round(F.coalesce("avgTime", F.lit(-1.0)) / 1000, 2).alias("avg_s"),
+        F.round(F.coalesce(km2, F.lit(-1.0)), 2).alias("var_km2"), F.round(F.coalesce("avgTime", F.lit(-1.0)) / 1000, 9).alias("avg_s"),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove what ``store`` writes inside the block when the block ends. For
+    jobs that finish their own actions, such as a micro-batch."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -53,5 +73,8 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    paths = _SCRATCH.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from chronoctx.operators.fragments import INVALID, READY, WAIT, fragment_status, split_by_status
-from chronoctx.plans.session import store
+from chronoctx.plans.session import scratch, store
 from chronoctx.sinks.files import write_batch
 from chronoctx.streaming.runtime import read_or_none
 
@@ -22,9 +22,10 @@ def fragment_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         waiting = read_or_none(batch.sparkSession, f"{out}/pending/batch_id={batch_id - 1}")
         pieces = batch if waiting is None else batch.unionByName(waiting.select(*batch.columns))
-        pieces = store(pieces, "fragments")
-        parts = split_by_status(pieces, fragment_status(pieces, now_ms(), timeout_ms))
-        for status, table in ((READY, "ready"), (INVALID, "invalid"), (WAIT, "pending")):
-            write_batch(parts[status], f"{out}/{table}", batch_id)
+        with scratch(batch.sparkSession):
+            pieces = store(pieces, "fragments")
+            parts = split_by_status(pieces, fragment_status(pieces, now_ms(), timeout_ms))
+            for status, table in ((READY, "ready"), (INVALID, "invalid"), (WAIT, "pending")):
+                write_batch(parts[status], f"{out}/{table}", batch_id)
 
     return write

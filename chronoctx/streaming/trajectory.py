@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chronoctx.operators import trajectory as T
 from chronoctx.operators.ordered import HOT_ROWS
-from chronoctx.plans.session import store
+from chronoctx.plans.session import scratch, store
 from chronoctx.sinks.files import write_batch
 from chronoctx.streaming.runtime import read_or_none
 
@@ -28,12 +28,13 @@ def trajectory_writer(
     follow each other in arrival order."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        points = store(points_of(batch), "points")
-        before = state_before(spark, out, keys, batch_id)
-        if before is not None:
-            before = before.join(points.select(*keys).distinct(), keys, "left_semi")
-        result = T.trajectory(points, keys, tie_breaker, stored=before, scale=scale, hot_rows=hot_rows)
-        write_batch(result, f"{out}/trajectory", batch_id)
+        with scratch(spark):
+            points = store(points_of(batch), "points")
+            before = state_before(spark, out, keys, batch_id)
+            if before is not None:
+                before = before.join(points.select(*keys).distinct(), keys, "left_semi")
+            result = T.trajectory(points, keys, tie_breaker, stored=before, scale=scale, hot_rows=hot_rows)
+            write_batch(result, f"{out}/trajectory", batch_id)
         written = spark.read.parquet(f"{out}/trajectory/batch_id={batch_id}")
         write_batch(T.last_rows(written, keys), f"{out}/state", batch_id)
 

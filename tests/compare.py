@@ -27,10 +27,6 @@ def _canonical(value):
     return value if isinstance(value, str) else str(value)
 
 
-def _kind(value):
-    return "n" if isinstance(value, (int, float)) else "s"
-
-
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_canonical(r[i]) for i in order) for r in rows]
@@ -47,8 +43,9 @@ def differences(df, con, sql: str, limit: int = 3) -> list[str]:
         return [f"columns {got_columns} != {want_columns}"]
     problems = [] if len(got) == len(want) else [f"{len(got)} rows, {len(want)} expected"]
     if got != want:
-        missing = [r for r in want if r not in set(got)][:limit] if len(want) < 2_000_000 else []
-        extra = [r for r in got if r not in set(want)][:limit] if len(got) < 2_000_000 else []
+        have, need = set(got), set(want)
+        missing = [r for r in want if r not in have][:limit]
+        extra = [r for r in got if r not in need][:limit]
         if missing or extra or problems:
             problems += [f"missing {r}" for r in missing] + [f"extra {r}" for r in extra]
     return problems
