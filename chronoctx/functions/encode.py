@@ -41,32 +41,20 @@ OLD_DENIED = {
 ESCAPED_X = "x(?=[0-9a-fA-F]{4})"
 
 
-def boundary(denied: str) -> str:
-    """Pattern of the places around denied characters, never inside a
-    surrogate pair."""
-    return rf"(?!\p{{Cs}})(?:(?={denied})|(?<={denied}))"
-
-
 def encode(text: Column, kind: str) -> Column:
     """Reversible encoding of ``text`` with the rules of ``kind`` (see DENIED).
 
-    The per-character work runs only on values that hold a denied character,
-    and then only on runs split at those characters.
+    One replacement per different denied character: no code holds a character
+    that any encoder denies, so the replacements do not touch each other.
     """
-    denied = DENIED[kind]
     escaped = F.regexp_replace(text, ESCAPED_X, "xx")
-    runs = F.split(escaped, boundary(denied), -1)
-    coded = F.transform(
-        runs,
-        lambda run: F.when(run == "=", F.lit(CONCATENATOR))
-        .when(run.rlike(denied), _utf16_codes(run))
-        .otherwise(run),
-    )
-    return F.when(escaped.rlike(denied), F.array_join(coded, "")).otherwise(escaped)
-
-
-def _utf16_codes(char: Column) -> Column:
-    return F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", "x$1")
+    found = F.array_distinct(F.regexp_extract_all(escaped, F.lit(DENIED[kind]), F.lit(0)))
+    return F.aggregate(found, escaped, lambda coded, char: F.replace(coded, char, _code(char)))
+
+
+def _code(char: Column) -> Column:
+    units = F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", "x$1")
+    return F.when(char == "=", F.lit(CONCATENATOR)).otherwise(units)
 
 
 def encode_postgresql(text: Column) -> Column:

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED, boundary
+from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED
 from chronoctx.functions.geo import EARTH_RADIUS_M
 from chronoctx.functions.times import RESOLUTIONS
 
 
 def _encoder(kind: str) -> str:
-    denied = DENIED[kind]
     escaped = f"regexp_replace(s, r'{ESCAPED_X}', 'xx')"
-    piece = (
-        f"CASE WHEN p = '=' THEN '{CONCATENATOR}' WHEN p RLIKE r'{denied}' "
-        "THEN regexp_replace(lower(hex(encode(p, 'UTF-16BE'))), '(.{4})', 'x$1') ELSE p END"
+    found = f"array_distinct(regexp_extract_all({escaped}, r'{DENIED[kind]}', 0))"
+    code = (
+        f"CASE WHEN c = '=' THEN '{CONCATENATOR}' "
+        "ELSE regexp_replace(lower(hex(encode(c, 'UTF-16BE'))), '(.{4})', 'x$1') END"
     )
-    return f"array_join(transform(split({escaped}, r'{boundary(denied)}', -1), p -> {piece}), '')"
+    return f"aggregate({found}, {escaped}, (coded, c) -> replace(coded, c, {code}))"
 
 
 def _old(kind: str) -> str:

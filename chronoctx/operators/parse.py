@@ -107,6 +107,11 @@ def _event_problem(entities: Column, paths: Column) -> Column:
     )
 
 
+def _object(text: Column) -> Column:
+    """Members of a JSON object text; anything else is NULL without a try."""
+    return F.when(F.startswith(text, F.lit("{")), F.from_json(text, _OBJECT))
+
+
 def _text(obj: Column, key: str) -> Column:
     """Value of a key that is present; a JSON null is the text ``null``."""
     return F.when(F.map_contains_key(obj, key), F.coalesce(obj[key], F.lit("null")))
@@ -137,14 +142,14 @@ def _v2_attribute(entry: Column) -> Column:
         )
 
     return bind(
-        F.from_json(entry["value"], _OBJECT),
+        _object(entry["value"]),
         lambda obj: bind(_metadata(obj["metadata"]), lambda md: build(obj, md)),
     )
 
 
 def _metadata(text: Column) -> Column:
     empty = F.create_map().cast(_OBJECTS)
-    return F.when(text == "{}", empty).otherwise(F.from_json(text, _OBJECTS))
+    return F.when(text == "{}", empty).when(F.startswith(text, F.lit("{")), F.from_json(text, _OBJECTS))
 
 
 def _ld_value(obj: Column) -> Column:
@@ -169,7 +174,7 @@ def _ld_attribute(entry: Column) -> Column:
     def sub_attribute(item: Column) -> Column:
         literal = item["key"].isin(*LITERAL_SUB_ATTRIBUTES)
         return bind(
-            F.from_json(item["value"], _OBJECT),
+            F.when(~literal, _object(item["value"])),
             lambda obj: F.struct(
                 item["key"].alias("name"),
                 F.when(~literal, obj["type"]).alias("type"),
@@ -196,7 +201,7 @@ def _ld_attribute(entry: Column) -> Column:
         ).otherwise(F.array().cast("array<struct<name:string,type:string,value:string,problem:string>>"))
 
     return bind(
-        F.from_json(entry["value"], _OBJECT),
+        _object(entry["value"]),
         lambda obj: bind(sub_attributes(obj), lambda subs: build(obj, subs)),
     )
 
