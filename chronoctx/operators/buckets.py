@@ -1,9 +1,10 @@
 """Multi-resolution time buckets.
 
-A bucket is one slot (``offset``) of a range that starts at ``origin``. Rows
-are first combined in the finest unit that is asked for and only those partial
-aggregates are rolled up to the other resolutions; both steps combine before
-they shuffle, so a hot key costs one row per bucket and task.
+A bucket is one slot (``offset``) of a range that starts at ``origin``. Every
+row takes part once per resolution, in one aggregation with one shuffle: what a
+task has seen of a bucket is combined before it is sent, at every resolution, so
+a hot key costs one row per bucket and task. Rolling up from the finest
+resolution would send nearly all of its buckets twice.
 """
 
 from __future__ import annotations
@@ -40,13 +41,17 @@ def numeric_buckets(
     ``attr_type`` names a column whose latest value is kept per bucket.
     """
     x = F.col(value)
-    kept = rows.filter(x.isNotNull())
     types = [attr_type] if attr_type else []
-    units = kept.groupBy(*keys, *types, _unit(ts, resolutions)).agg(
+    rows = _rolled(rows.filter(x.isNotNull()).select(*keys, *types, value, ts), ts, resolutions)
+    buckets = rows.groupBy(*keys, *types, "resolution", "_start").agg(
         F.count("*").alias("samples"), F.sum(x).alias("sum"), F.sum(x * x).alias("sum2"),
         F.min(x).alias("min"), F.max(x).alias("max"), F.max(ts).alias("last_ts"),
     )
-    return _label(merge_units(_rolled(units, resolutions), [*keys, "resolution", "_start"], attr_type), keys)
+    if attr_type:
+        # the type is a grouping key first, which keeps the large aggregation
+        # on fixed-width buffers; few buckets have more than one type to merge
+        buckets = merge_units(buckets, [*keys, "resolution", "_start"], attr_type)
+    return _label(buckets, keys)
 
 
 def merge_units(partials: DataFrame, keys: list[str], attr_type: str | None = None) -> DataFrame:
@@ -68,13 +73,11 @@ def categorical_buckets(
 ) -> DataFrame:
     """Occurrences per bucket and value, one row each (``samples`` is how often
     the value was seen)."""
-    units = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value, _unit(ts, resolutions)).agg(
+    rows = _rolled(rows.filter(F.col(value).isNotNull()).select(*keys, value, ts), ts, resolutions)
+    counts = rows.groupBy(*keys, value, "resolution", "_start").agg(
         F.count("*").alias("samples"), F.max(ts).alias("last_ts")
     )
-    rolled = _rolled(units, resolutions).groupBy(*keys, value, "resolution", "_start").agg(
-        F.sum("samples").alias("samples"), F.max("last_ts").alias("last_ts")
-    )
-    return _label(rolled, [*keys, value])
+    return _label(counts, [*keys, value])
 
 
 def merge_categorical(partials: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -88,7 +91,8 @@ def occurrence_points(
 ) -> DataFrame:
     """Occurrence maps per bucket. A bucket with more than ``max_values``
     different values is spread over several rows, told apart by ``part``;
-    ``samples`` is always the count of the whole bucket."""
+    ``samples`` is always the count of the whole bucket. The occurrences are
+    read twice, so store them when they are expensive to compute."""
     point = [*keys, *BUCKET]
     occurrences = occurrences.select(*point, value, "samples")  # the same columns for both uses below
     sizes = occurrences.groupBy(*point).agg(
@@ -150,23 +154,15 @@ def _slots() -> Column:
     return out
 
 
-def _finest(resolutions: tuple[str, ...]) -> str:
-    unknown = set(resolutions) - set(ALL_RESOLUTIONS)
-    if unknown or not resolutions:
+def _rolled(rows: DataFrame, ts: str, resolutions: tuple[str, ...]) -> DataFrame:
+    """Every row once per resolution, with the start of its bucket there."""
+    if not resolutions or set(resolutions) - set(ALL_RESOLUTIONS):
         raise ValueError(f"resolutions must be some of {ALL_RESOLUTIONS}")
-    return min(resolutions, key=ALL_RESOLUTIONS.index)
-
-
-def _unit(ts: str, resolutions: tuple[str, ...]) -> Column:
-    return F.date_trunc(_finest(resolutions), F.timestamp_millis(ts)).alias("_unit")
-
-
-def _rolled(units: DataFrame, resolutions: tuple[str, ...]) -> DataFrame:
-    """Every unit once per resolution, with the start of its bucket there."""
+    moment = F.timestamp_millis(ts)
     starts = F.array(*[
-        F.struct(F.lit(r).alias("resolution"), F.date_trunc(r, F.col("_unit")).alias("_start")) for r in resolutions
+        F.struct(F.lit(r).alias("resolution"), F.date_trunc(r, moment).alias("_start")) for r in resolutions
     ])
-    return units.select(*[c for c in units.columns if c != "_unit"], F.inline(starts))
+    return rows.select(*rows.columns, F.inline(starts))
 
 
 def _label(rolled: DataFrame, keys: list[str]) -> DataFrame:

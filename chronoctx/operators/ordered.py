@@ -41,6 +41,13 @@ def _equal(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
 
+def _runs(df: DataFrame, keys: list[str], order: list[str], runs: int) -> DataFrame:
+    """Rows cut into ``runs`` consecutive runs of about the same size, stored:
+    the cuts are sampled, so every later use has to see the same ones."""
+    ranged = df.repartitionByRange(int(runs), *[F.col(k) for k in keys], *[_direction(o) for o in order])
+    return store(ranged.withColumn(_RUN, F.spark_partition_id()), "runs")
+
+
 @dataclass(frozen=True)
 class OrderedGroups:
     """Rows in ordered groups: ``cold`` groups whole, ``hot`` ones in runs.
@@ -57,24 +64,21 @@ class OrderedGroups:
 
     @staticmethod
     def of(df: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS) -> "OrderedGroups":
-        """Group ``df``; with no ``keys`` all rows make one group."""
-        helper = None
+        """Group ``df``; with no ``keys`` all rows make one group, which is
+        always cut into runs, so that no task gets all of it."""
         if not keys:
-            helper, keys = "_all", ["_all"]
-            df = df.withColumn(helper, F.lit(0))
+            whole = df.withColumn("_all", F.lit(0))
+            cores = df.sparkSession.sparkContext.defaultParallelism
+            runs = max(cores, -(-df.count() // hot_rows))
+            return OrderedGroups(["_all"], order, None, _runs(whole, ["_all"], order, runs), "_all")
         counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
         total = counts.agg(F.sum("_n")).first()[0]
         if not total:
-            return OrderedGroups(keys, order, df, None, helper)
+            return OrderedGroups(keys, order, df)
         hot_keys = store(counts.select(*keys), "hot-keys")
-        runs = -(-total // hot_rows)
-        hot = (
-            df.join(hot_keys, _equal(df, hot_keys, keys), "left_semi")
-            .repartitionByRange(int(runs), *[F.col(k) for k in keys], *[_direction(o) for o in order])
-            .withColumn(_RUN, F.spark_partition_id())
-        )
-        cold = None if helper else df.join(hot_keys, _equal(df, hot_keys, keys), "left_anti")
-        return OrderedGroups(keys, order, cold, store(hot, "hot-rows"), helper)
+        hot = df.join(hot_keys, _equal(df, hot_keys, keys), "left_semi")
+        cold = df.join(hot_keys, _equal(df, hot_keys, keys), "left_anti")
+        return OrderedGroups(keys, order, cold, _runs(hot, keys, order, -(-total // hot_rows)))
 
     def map(self, body) -> "OrderedGroups":
         """Apply a row-wise ``DataFrame -> DataFrame`` to all rows."""

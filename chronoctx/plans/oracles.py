@@ -401,13 +401,13 @@ def oracle_sql() -> dict[str, str]:
         "retain_bytes": f"""WITH {RECORDS} SELECT * FROM rec QUALIFY sum(strlen(props)) OVER (PARTITION BY dest ORDER BY _id DESC) <= 6000
             AND row_number() OVER (PARTITION BY dest ORDER BY _id DESC) <= 900""",
         "delete_by_id": f"WITH {RECORDS} SELECT * FROM rec WHERE _id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)",
-        "catalog_packages": f"""WITH p AS (SELECT DISTINCT o_orderkey % 7 AS g FROM orders) SELECT 'pkg_' || g AS name, 'sales_org' AS owner_org, 'Orders of group ' || g AS notes, 'pkg_' || g AS title,
+        "catalog_packages": f"""WITH p AS (SELECT DISTINCT o_orderkey % 7 AS g FROM orders) SELECT 'pkg_' || g AS name, CASE WHEN g < 5 THEN 'sales_org' ELSE 'other_org' END AS owner_org, 'Orders of group ' || g AS notes, 'pkg_' || g AS title,
             '1.0' AS version, 'https://example.org/orders' AS url, 'public' AS visibility, {EXTRAS} AS extras, 'orders;group' || g AS tags FROM p""",
-        "catalog_resources": """WITH p AS (SELECT DISTINCT o_orderkey % 7 AS g, o_orderkey % 14 AS h FROM orders) SELECT 'pkg_' || g AS package_id, 'sales_org' AS owner_org, 'res ' || h AS name,
+        "catalog_resources": """WITH p AS (SELECT DISTINCT o_orderkey % 7 AS g, o_orderkey % 14 AS h FROM orders) SELECT 'pkg_' || g AS package_id, CASE WHEN g < 5 THEN 'sales_org' ELSE 'other_org' END AS owner_org, 'res ' || h AS name,
             'JSON' AS format, 'https://example.org/' || g || '/' || h AS download_url, 'https://example.org/' || g || '/' || h AS url FROM p""",
-        "catalog_organizations": "SELECT DISTINCT 'sales_org' AS name, 'sales_org' AS title FROM orders",
+        "catalog_organizations": "SELECT DISTINCT CASE WHEN o_orderkey % 7 < 5 THEN 'sales_org' ELSE 'other_org' END AS name, CASE WHEN o_orderkey % 7 < 5 THEN 'sales_org' ELSE 'other_org' END AS title FROM orders",
         "catalog_missing": """WITH p AS (SELECT DISTINCT o_orderkey % 7 AS g, o_orderkey % 14 AS h FROM orders)
-            SELECT 'sales_org' AS org_name, 'pkg_' || g AS pkg_name, 'res ' || h AS res_name, CASE WHEN g >= 4 THEN 'package' WHEN h >= 9 THEN 'resource' ELSE '' END AS create_from,
+            SELECT CASE WHEN g < 5 THEN 'sales_org' ELSE 'other_org' END AS org_name, 'pkg_' || g AS pkg_name, 'res ' || h AS res_name, CASE WHEN g >= 5 THEN 'organization' WHEN g >= 4 THEN 'package' WHEN h >= 9 THEN 'resource' ELSE '' END AS create_from,
             CASE WHEN g >= 4 OR h >= 9 THEN '' ELSE 'id-' || h END AS res_id FROM p""",
         "catalog_join": """SELECT o_orderkey, c_mktsegment AS segment, CASE WHEN c_nationkey < 20 THEN n_name ELSE 'none' END AS publisher FROM orders
             JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey""",

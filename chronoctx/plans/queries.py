@@ -523,7 +523,7 @@ def bucket_hot_path(spark, d):
 
 def bucket_merge(spark, d):
     """Buckets of three batches, merged."""
-    rows = _numeric_rows(spark, d)
+    rows = store(_numeric_rows(spark, d), "numbers")
     parts = [B.numeric_buckets(rows.filter(F.col("event_id") % 3 == i), _BUCKET_KEYS, resolutions=("minute", "day")) for i in range(3)]
     partials = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return _bucket_columns(B.merge_numeric(partials, _BUCKET_KEYS).drop("last_ts"))
@@ -544,7 +544,7 @@ def bucket_categorical(spark, d):
 def bucket_occurrences(spark, d):
     """Occurrence maps per bucket, with every slot of the day documents."""
     rows = event_rows(spark, d).filter(F.col("attr_name") == "kind")
-    flat = B.categorical_buckets(rows, ["entity_id"], "attr_value", resolutions=("day",))
+    flat = store(B.categorical_buckets(rows, ["entity_id"], "attr_value", resolutions=("day",)), "occurrences")
     points = B.explode_points(B.dense_occurrences(B.occurrence_points(flat, ["entity_id"], "attr_value"), ["entity_id"]))
     pairs = F.transform(F.array_sort(F.map_entries("occur")), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
     return points.select(
@@ -688,7 +688,7 @@ def delete_by_id(spark, d):
 # -- catalogue --------------------------------------------------------------
 
 _METADATA = {
-    "organizationName": "'Sales Org'",
+    "organizationName": "CASE WHEN event_id % 7 < 5 THEN 'Sales Org' ELSE 'Other Org' END",
     "packageName": "concat('pkg ', event_id % 7)",
     "packageDescription": "concat('Orders of group ', event_id % 7)",
     "keywords": "concat('orders,group', event_id % 7)",
@@ -732,11 +732,12 @@ def catalog_missing(spark, d):
     """What has to be created, given part of the catalogue."""
     named = _catalog_events(spark, d).select("org_name", "pkg_name", "res_name")
     nation = A.table(spark, d, "nation")
-    orgs = nation.filter(F.col("n_nationkey") == 0).select(F.lit("sales_org").alias("org_name"))
     n = F.col("n_nationkey")
-    pkgs = nation.filter(n < 4).select(F.lit("sales_org").alias("org_name"), F.concat(F.lit("pkg_"), n.cast("string")).alias("pkg_name"))
+    org = F.when(n % 7 < 5, "sales_org").otherwise("other_org").alias("org_name")
+    orgs = nation.filter(n < 4).select(F.when(n % 2 == 0, "sales_org").otherwise("spare_org").alias("org_name")).distinct()
+    pkgs = nation.filter(n < 4).select(org, F.concat(F.lit("pkg_"), n.cast("string")).alias("pkg_name"))
     ress = nation.filter(n < 9).select(
-        F.lit("sales_org").alias("org_name"), F.concat(F.lit("pkg_"), (n % 7).cast("string")).alias("pkg_name"),
+        org, F.concat(F.lit("pkg_"), (n % 7).cast("string")).alias("pkg_name"),
         F.concat(F.lit("res "), n.cast("string")).alias("res_name"), F.concat(F.lit("id-"), n.cast("string")).alias("res_id"),
     )
     out = C.lookup_or_create(named, orgs, pkgs, ress)

@@ -95,7 +95,7 @@ def test_dense_documents(spark, rows):
 
 def test_rows_are_combined_before_the_shuffle(spark, rows):
     plan = B.numeric_buckets(rows, KEYS)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_count") == 1 and "SortAggregate" not in plan
+    assert plan.count("partial_count") == 1 and plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
 
 
 def test_unknown_resolution(spark, rows):

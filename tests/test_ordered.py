@@ -65,6 +65,16 @@ def test_hot_runs_are_bounded(spark, points):
     assert groups.cold.filter("dest = 'hot'").count() == 0
 
 
+def test_one_group_of_all_rows_never_meets_in_one_task(spark, points):
+    plan = TR.with_row_ids(points, [], ["seq"], "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_newest_rows_are_limited_before_the_shuffle(spark, points):
+    plan = R.retain_newest(points, ["dest"], 3, "seq")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_trajectory_is_the_same_with_hot_groups(spark, points):
     plain = TR.trajectory(points, ["dest"], "seq", scale=3)
     runs = TR.trajectory(points, ["dest"], "seq", scale=3, hot_rows=HOT)
