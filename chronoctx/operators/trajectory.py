@@ -48,10 +48,10 @@ def trajectory(
     ``stored`` is the output of ``last_rows`` over earlier results.
 
     ``sum2X`` is the square of the running sum and a zero time difference gives
-    a NULL speed that the sums skip. With ``scale`` stages and sums are rounded
-    to that many decimals, which makes the result independent of the order in
-    which partial sums are added. ``moments`` adds the running mean and
-    variance of the stages.
+    a NULL speed that the sums skip. With ``scale`` the stages are rounded to
+    that many decimals and added up exactly, as decimals, so the result does not
+    depend on the order in which partial sums are added. ``moments`` adds the
+    running mean and variance of the stages.
     """
     points = points.withColumn("_old", F.lit(0))
     if stored is not None:
@@ -60,8 +60,8 @@ def trajectory(
 
     groups = OrderedGroups.of(points, keys, ["_new", "recv_time_ts", tie_breaker], hot_rows)
     groups = groups.map(lambda df: df.withColumn("_here", F.struct("lon", "lat", "recv_time_ts"))).lag(_before="_here")
-    groups = groups.map(lambda df: _stages(df, scale)).running(**_running(stored is not None, moments))
-    return groups.map(lambda df: _finish(df, scale, moments, max_seed, min_seed)).result()
+    groups = groups.map(lambda df: _stages(df, scale)).running(**_running(stored is not None, moments, scale))
+    return groups.map(lambda df: _finish(df, moments, max_seed, min_seed)).result()
 
 
 def _rounded(value: Column, scale: int | None) -> Column:
@@ -86,33 +86,36 @@ def _stages(df: DataFrame, scale: int | None) -> DataFrame:
     return fresh.withColumns({"stageDistance": F.col("_distance"), "stageTime": F.col("_time"), "stageSpeed": speed})
 
 
-def _running(resumed: bool, moments: bool) -> dict[str, tuple[str, Column]]:
+def _running(resumed: bool, moments: bool, scale: int | None) -> dict[str, tuple[str, Column]]:
     """Running aggregates; a stored row contributes what it had reached."""
     def either(old: str, new: Column) -> Column:
         return F.when(F.col("_old") == 1, F.col(old)).otherwise(new) if resumed else new
 
+    def addend(value: Column, digits: int = 30) -> Column:
+        return value.cast("double" if scale is None else f"decimal({digits},{scale})")
+
     moved = ~F.col("_first")
-    out = {"numSamples": ("sum", either("_old_numSamples", F.lit(1).cast("bigint"))),
-           "cartodb_id": ("sum", either("_old_cartodb_id", F.lit(1).cast("bigint")))}
+    one = F.lit(1).cast("bigint")
+    out = {"numSamples": ("sum", either("_old_numSamples", one)), "cartodb_id": ("sum", either("_old_cartodb_id", one))}
     for metric in METRICS:
         stage = F.col(f"stage{metric}")
         sample = F.when(moved, stage)
-        out[f"sum{metric}"] = ("sum", either(f"_old_sum{metric}", stage))
+        out[f"sum{metric}"] = ("sum", addend(either(f"_old_sum{metric}", stage)))
         out[f"max{metric}"] = ("max", either(f"_old_max{metric}", sample))
         out[f"min{metric}"] = ("min", either(f"_old_min{metric}", sample))
         if moments:
+            value = F.coalesce(sample, F.lit(0))
             out[f"_n{metric}"] = ("sum", F.when(moved & stage.isNotNull(), F.lit(1)).otherwise(F.lit(0)))
-            out[f"_m1{metric}"] = ("sum", F.coalesce(sample.cast("double"), F.lit(0.0)))
-            out[f"_m2{metric}"] = ("sum", F.coalesce(sample.cast("double") * sample, F.lit(0.0)))
+            out[f"_m1{metric}"] = ("sum", addend(value))
+            out[f"_m2{metric}"] = ("sum", addend(value, 18) * addend(value, 18))
     return out
 
 
-def _finish(df: DataFrame, scale: int | None, moments: bool, max_seed: float, min_seed: float) -> DataFrame:
+def _finish(df: DataFrame, moments: bool, max_seed: float, min_seed: float) -> DataFrame:
     out = df.filter(F.col("_old") == 0)
     columns = {}
     for metric in METRICS:
         total = F.col(f"sum{metric}").cast("double")
-        total = _rounded(total, scale)
         columns[f"stage{metric}"] = F.col(f"stage{metric}").cast("double")
         columns[f"sum{metric}"] = total
         columns[f"sum2{metric}"] = total * total
@@ -120,9 +123,9 @@ def _finish(df: DataFrame, scale: int | None, moments: bool, max_seed: float, mi
         columns[f"min{metric}"] = F.least(F.col(f"min{metric}").cast("double"), F.lit(min_seed))
         if moments:
             n = F.nullif(F.col(f"_n{metric}"), F.lit(0))
-            mean = F.col(f"_m1{metric}") / n
+            mean = F.col(f"_m1{metric}").cast("double") / n
+            spread = F.greatest(F.col(f"_m2{metric}").cast("double") / n - mean * mean, F.lit(0.0))
             columns[f"avg{metric}"] = mean
-            spread = F.greatest(F.col(f"_m2{metric}") / n - mean * mean, F.lit(0.0))
             columns[f"var{metric}"] = F.when(mean.isNotNull(), spread)
     return out.withColumns(columns).drop(*[c for c in df.columns if c.startswith("_")])
 

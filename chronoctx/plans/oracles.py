@@ -131,11 +131,16 @@ HAVERSINE = (
 )
 
 
+def exact(value: str, window: str) -> str:
+    """Running sum as a decimal, read as the nearest double."""
+    return f"CAST(CAST(sum({value}) OVER {window} AS VARCHAR) AS DOUBLE)"
+
+
 def trajectory(key: str) -> str:
     """CTEs up to ``r``: every point with its stages and running values."""
     frame = f"(PARTITION BY {key} ORDER BY ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     running = ", ".join(
-        f"round(sum({m}) OVER {frame}, 3) AS sum{m}, greatest(max(CASE WHEN rn > 1 THEN {m} END) OVER {frame}, 1.4e-45) AS max{m}, "
+        f"{exact(f'CAST({m} AS DECIMAL(30,3))', frame)} AS sum{m}, greatest(max(CASE WHEN rn > 1 THEN {m} END) OVER {frame}, 1.4e-45) AS max{m}, "
         f"least(min(CASE WHEN rn > 1 THEN {m} END) OVER {frame}, 3.4028235e38) AS min{m}" for m in ("D", "T", "S")
     )
     return f"""{EV},
@@ -147,6 +152,28 @@ v AS (SELECT *, CASE WHEN rn = 1 THEN 0.0::DOUBLE ELSE round(D / nullif(T, 0), 3
 r AS (SELECT *, {running} FROM v)"""
 
 
+def moments() -> str:
+    frame = "(PARTITION BY eid ORDER BY ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    columns = []
+    for m in ("D", "T", "S"):
+        value = f"CAST(CASE WHEN rn > 1 THEN coalesce({m}, 0) ELSE 0 END AS DECIMAL(19,3))"
+        columns.append(f"sum(CASE WHEN rn > 1 AND {m} IS NOT NULL THEN 1 ELSE 0 END) OVER {frame} AS n{m}")
+        columns.append(f"{exact(value, frame)} AS m1{m}")
+        columns.append(f"{exact(f'CAST({value} * {value} AS DECIMAL(38,6))', frame)} AS m2{m}")
+
+    def mean(m: str, name: str) -> str:
+        return f'coalesce(m1{m} / nullif(n{m}, 0), -1.0) AS "{name}"'
+
+    def variance(m: str, name: str) -> str:
+        average = f"(m1{m} / nullif(n{m}, 0))"
+        return f'CASE WHEN n{m} = 0 THEN -1.0 ELSE greatest(m2{m} / nullif(n{m}, 0) - {average} * {average}, 0.0) END AS "{name}"'
+
+    return (
+        f"WITH {trajectory('eid')}, x AS (SELECT *, {', '.join(columns)} FROM v) SELECT event_id, eid AS entity_id, {mean('D', 'avgDistance')}, "
+        f"{variance('D', 'varDistance')}, {mean('T', 'avgTime')}, {variance('T', 'varTime')}, {mean('S', 'avgSpeed')} FROM x"
+    )
+
+
 RESUMED = (
     "SELECT event_id, eid AS entity_id, rn AS cartodb_id, D AS \"stageDistance\", T AS \"stageTime\", \"sumD\" AS \"sumDistance\", "
     "\"sumT\" AS \"sumTime\", \"sumS\" AS \"sumSpeed\", \"maxT\" AS \"maxTime\", \"minT\" AS \"minTime\", rn AS \"numSamples\" FROM r"
@@ -382,9 +409,7 @@ def oracle_sql() -> dict[str, str]:
             "sumD" AS "sumDistance", "sumT" AS "sumTime", "sumS" AS "sumSpeed", "maxD" AS "maxDistance", "minD" AS "minDistance", "maxS" AS "maxSpeed", "minS" AS "minSpeed", rn AS "numSamples" FROM r""",
         "trajectory_resume": f"WITH {trajectory('eid')} {RESUMED}",
         "stream_trajectory": f"WITH {trajectory('eid')} {RESUMED}",
-        "trajectory_moments": f"""WITH {trajectory('eid')}, x AS (SELECT *, avg(CASE WHEN rn > 1 THEN D END) OVER w AS ad, var_pop(CASE WHEN rn > 1 THEN D END) OVER w AS vd,
-            avg(CASE WHEN rn > 1 THEN T END) OVER w AS tt FROM v WINDOW w AS (PARTITION BY eid ORDER BY ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-            SELECT event_id, eid AS entity_id, round(coalesce(ad, -1.0) / 1000, 3) AS avg_km, round(coalesce(vd / 1e6, -1.0), 2) AS var_km2, round(coalesce(tt, -1.0) / 1000, 9) AS avg_s FROM x""",
+        "trajectory_moments": moments(),
         "trajectory_raw": f"""WITH {EV} SELECT 'web' AS dest_db, {by_path} AS dest_table, {column_columns()}, CAST((user_id * 37 + event_id * 13) % 360 - 180 AS DOUBLE) AS lon,
             CAST((user_id * 17 + event_id * 7) % 180 - 90 AS DOUBLE) AS lat, CAST(3857 AS BIGINT) AS srid,
             row_number() OVER (PARTITION BY path ORDER BY ms, event_id) AS cartodb_id FROM ev""",

@@ -607,11 +607,9 @@ def trajectory_moments(spark, d):
     """Running mean and variance of the stages."""
     points = store(_points(spark, d), "points")
     out = TR.trajectory(points, ["entity_id"], "event_id", scale=3, moments=True)
-    km2 = F.col("varDistance") / 1e6
-    return out.select(
-        "event_id", "entity_id", F.round(F.coalesce("avgDistance", F.lit(-1.0)) / 1000, 3).alias("avg_km"),
-        F.round(F.coalesce(km2, F.lit(-1.0)), 2).alias("var_km2"), F.round(F.coalesce("avgTime", F.lit(-1.0)) / 1000, 9).alias("avg_s"),
-    )
+    return out.select("event_id", "entity_id", *[
+        F.coalesce(c, F.lit(-1.0)).alias(c) for c in ("avgDistance", "varDistance", "avgTime", "varTime", "avgSpeed")
+    ])
 
 
 def trajectory_raw(spark, d):
