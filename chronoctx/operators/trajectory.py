@@ -33,7 +33,7 @@ def with_row_ids(
 def trajectory(
     points: DataFrame,
     keys: list[str],
-    tie_breaker: str,
+    tie_breaker: str | list[str],
     stored: DataFrame | None = None,
     scale: int | None = None,
     moments: bool = False,
@@ -58,7 +58,8 @@ def trajectory(
         points = points.unionByName(stored.withColumn("_old", F.lit(1)), allowMissingColumns=True)
     points = points.withColumn("_new", 1 - F.col("_old"))
 
-    groups = OrderedGroups.of(points, keys, ["_new", "recv_time_ts", tie_breaker], hot_rows)
+    ties = [tie_breaker] if isinstance(tie_breaker, str) else tie_breaker
+    groups = OrderedGroups.of(points, keys, ["_new", "recv_time_ts", *ties], hot_rows)
     groups = groups.map(lambda df: df.withColumn("_here", F.struct("lon", "lat", "recv_time_ts"))).lag(_before="_here")
     groups = groups.map(lambda df: _stages(df, scale)).running(**_running(stored is not None, moments, scale))
     return groups.map(lambda df: _finish(df, moments, max_seed, min_seed)).result()

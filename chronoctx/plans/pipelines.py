@@ -7,10 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoctx.functions import geo as G
 from chronoctx.operators import layout as L
 from chronoctx.operators import naming as N
 from chronoctx.operators import parse as P
+from chronoctx.operators import trajectory as T
 from chronoctx.options import BY_ATTRIBUTE, Options
+from chronoctx.plans.session import store as stored_copy
 
 
 @dataclass(frozen=True)
@@ -93,3 +96,33 @@ def _column(entities: DataFrame, store: str, opts: Options, names) -> DataFrame:
     if store == "dynamo":
         return L.dynamo_layout(L.column_layout(entities, names, opts, strip_path=False))
     return L.column_layout(entities, names, opts)
+
+
+def located_points(raw: DataFrame, opts: Options = Options(), tie_breaker: str = "event_id") -> DataFrame:
+    """Named positions of the entities that have a geo attribute, stored, since
+    the statistics below pass over them more than once."""
+    named = N.accepted_names(N.carto_names(P.entity_rows(P.parse(raw, opts)), opts))
+    located = L.with_geometry(named, opts)
+    points = located.select(
+        "dest_db", "dest_table", tie_breaker, "entity_pos", "recv_time_ts", "service_path", "entity_id", "entity_type",
+        F.col("the_geom.lon").alias("lon"), F.col("the_geom.lat").alias("lat"),
+        G.as_text(F.col("the_geom")).alias("the_geom"), G.as_text(F.col("the_geom_webmercator")).alias("the_geom_webmercator"),
+    )
+    return stored_copy(points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()), "points")
+
+
+def distance_history(
+    raw: DataFrame, opts: Options = Options(), stored: DataFrame | None = None, tie_breaker: str = "event_id",
+    per_entity: bool = True, **settings,
+) -> DataFrame:
+    """Trajectory statistics of geographic notifications.
+
+    ``per_entity`` compares a point with the previous one of the same entity;
+    without it, with the previous one of the destination. ``stored`` is an
+    earlier result of this function, which is continued. ``trajectory_layout``
+    gives the columns to store.
+    """
+    keys = ["dest_db", "dest_table"] + (["entity_id"] if per_entity else [])
+    before = None if stored is None else T.last_rows(stored, keys)
+    points = located_points(raw, opts, tie_breaker)
+    return T.trajectory(points, keys, [tie_breaker, "entity_pos"], stored=before, **settings)

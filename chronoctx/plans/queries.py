@@ -374,7 +374,7 @@ def encode_all(spark, d):
         .unionByName(A.table(spark, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.concat("c_name", F.lit("=x00ffé")).alias("s")))
         .unionByName(A.table(spark, d, "documents").select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("s")))
     )
-    texts = texts.repartition(spark.sparkContext.defaultParallelism, "kind", "id")
+    texts = spread(texts, "id")
     coded = {f"enc_{kind}": E.encode(F.col("s"), kind) for kind in E.DENIED}
     coded.update({
         "old": E.encode_old(F.col("s")),

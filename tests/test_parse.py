@@ -10,8 +10,10 @@ from chronoctx import model as M
 from chronoctx.operators import graph
 from chronoctx.operators import layout as L
 from chronoctx.operators import parse as P
+from chronoctx.operators.trajectory import trajectory_layout
 from chronoctx.options import Options
-from chronoctx.plans.pipelines import history
+from chronoctx.plans.pipelines import distance_history, history
+from chronoctx.plans.session import store
 from chronoctx.sources.notifications import from_kafka
 
 TS = datetime(2019, 7, 8, 4, 55, 34, 983000, tzinfo=timezone.utc)
@@ -189,6 +191,23 @@ def test_geometry(spark):
     assert "location" not in layout and layout["temperature"] == "1"
 
 
+@pytest.mark.parametrize("per_entity", [True, False])
+def test_distance_history_continues(spark, per_entity):
+    def body(eid, lat):
+        return {"data": [{"id": eid, "type": "geo", "location": attr("geo:point", f"{lat}, 1")}, {"id": "still", "type": "x", "t": attr("n", 1)}]}
+
+    opts = Options(data_model="db-by-service-path", swap_coordinates=True)
+    data = raw(spark, *[body("ab"[i % 2], i) for i in range(6)])
+    whole = distance_history(data, opts, per_entity=per_entity, scale=2)
+    first = store(distance_history(data.filter("event_id < 3"), opts, per_entity=per_entity, scale=2), "first")
+    rest = distance_history(data.filter("event_id >= 3"), opts, stored=first, per_entity=per_entity, scale=2)
+    out = first.unionByName(rest)
+    assert out.select(whole.columns).exceptAll(whole).count() == 0 and out.count() == 6
+    last = whole.orderBy(F.desc("event_id")).first()
+    assert last.numSamples == (3 if per_entity else 6) and last.sumDistance == pytest.approx((4 if per_entity else 5) * 111195.08, abs=0.1)
+    assert trajectory_layout(whole).columns == ["dest_db", "dest_table", *M.TRAJECTORY_COLUMNS]
+
+
 def test_too_many_attribute_names(spark):
     rows = P.attribute_rows(P.parse(raw(spark, CAR)))
     assert L.discover_attributes(rows) == ["oil_level", "speed"]
