@@ -39,6 +39,14 @@ OLD_DENIED = {
 }
 
 ESCAPED_X = "x(?=[0-9a-fA-F]{4})"
+# between any two characters, but not inside a surrogate pair
+BETWEEN = r"(?!\p{Cs})"
+
+
+def allowed(kind: str) -> str:
+    """Character class of what an encoder keeps."""
+    denied = DENIED[kind]
+    return "[" + denied[2:] if denied.startswith("[^") else "[^" + denied[1:]
 
 
 def encode(text: Column, kind: str) -> Column:
@@ -48,7 +56,8 @@ def encode(text: Column, kind: str) -> Column:
     that any encoder denies, so the replacements do not touch each other.
     """
     escaped = F.regexp_replace(text, ESCAPED_X, "xx")
-    found = F.array_distinct(F.regexp_extract_all(escaped, F.lit(DENIED[kind]), F.lit(0)))
+    denied = F.regexp_replace(escaped, f"{allowed(kind)}+", "")
+    found = F.array_distinct(F.split(denied, BETWEEN))
     return F.aggregate(found, escaped, lambda coded, char: F.replace(coded, char, _code(char)))
 
 

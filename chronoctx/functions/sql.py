@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED
+from chronoctx.functions.encode import BETWEEN, CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED, allowed
 from chronoctx.functions.geo import EARTH_RADIUS_M
 from chronoctx.functions.times import RESOLUTIONS
 
 
 def _encoder(kind: str) -> str:
     escaped = f"regexp_replace(s, r'{ESCAPED_X}', 'xx')"
-    found = f"array_distinct(regexp_extract_all({escaped}, r'{DENIED[kind]}', 0))"
+    denied = f"regexp_replace({escaped}, r'{allowed(kind)}+', '')"
+    found = f"array_distinct(split({denied}, r'{BETWEEN}'))"
     code = (
         f"CASE WHEN c = '=' THEN '{CONCATENATOR}' "
         "ELSE regexp_replace(lower(hex(encode(c, 'UTF-16BE'))), '(.{4})', 'x$1') END"

@@ -372,9 +372,8 @@ def encode_all(spark, d):
         A.table(spark, d, "pages").select(F.lit("url").alias("kind"), F.col("page_id").alias("id"), F.col("url").alias("s"))
         .unionByName(A.table(spark, d, "part").select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_name").alias("s")))
         .unionByName(A.table(spark, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.concat("c_name", F.lit("=x00ffé")).alias("s")))
-        .unionByName(A.table(spark, d, "documents").select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("s")))
+        .unionByName(spread(A.table(spark, d, "documents"), "doc_id").select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("s")))
     )
-    texts = spread(texts, "id")
     coded = {f"enc_{kind}": E.encode(F.col("s"), kind) for kind in E.DENIED}
     coded.update({
         "old": E.encode_old(F.col("s")),

@@ -14,6 +14,7 @@ TEXTS = {
     "postgresql": {
         "/somePath": "x002fsomex0050ath", "someService": "somex0053ervice", "a=b": "axffffb", "x002fq": "xx002fq",
         "xyz": "xyz", "é": "x00e9", "": "", "😀": "xd83dxde00", "x12": "x12", "axABCDz": "axxx0041x0042x0043x0044z",
+        "a 😀😀b é\n": "ax0020xd83dxde00xd83dxde00bx0020x00e9x000a", "==": "xffffxffff", " ": "x0020",
     },
     "mysql": {"/somePath": "x002fsomePath", "someService": "someService"},
     "mongo_database": {"Sth.a$b": "x0053thx002eax0024b", 'a/b\\c"d=': "ax002fbx005ccx0022dxffff", "a b": "a b"},
