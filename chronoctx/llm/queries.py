@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoctx.llm import pii
+from chronoctx.llm import bpe, fingerprints, pii
 from chronoctx.llm.common import prepare, table
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(table(prepare(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(prepare(spark), sf_dir, "documents")))
 
 
-QUERIES = [op9_pii]
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared_with_next(table(prepare(spark), sf_dir, "documents"))
+
+
+QUERIES = [op2_bpe, op9_pii, op10_fingerprints]
 #: Twins for what SQL can express over whole tables.
 ORACLES: dict[str, str] = {}
