@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoctx.llm import bpe, fingerprints, pii
+from chronoctx.llm import bpe, fingerprints, licenses, pii
 from chronoctx.llm.common import prepare, table
 
 
@@ -14,6 +14,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(prepare(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(prepare(spark), sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(prepare(spark), sf_dir, "documents")))
 
@@ -22,6 +26,6 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = [op2_bpe, op9_pii, op10_fingerprints]
+QUERIES = [op2_bpe, op3_licenses, op9_pii, op10_fingerprints]
 #: Twins for what SQL can express over whole tables.
 ORACLES: dict[str, str] = {}
