@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoctx.llm import bpe, fingerprints, licenses, pii
+from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, pii
 from chronoctx.llm.common import prepare, table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(prepare(spark), sf_dir, "documents"), least=10)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(prepare(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -26,6 +30,23 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = [op2_bpe, op3_licenses, op9_pii, op10_fingerprints]
+QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op9_pii, op10_fingerprints]
 #: Twins for what SQL can express over whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": r"""
+        WITH cut AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+            FROM documents
+        ), keyed AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM cut
+        ), frequent AS (
+            SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+        )
+        SELECT k.doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+        FROM keyed k LEFT JOIN frequent f USING (key) GROUP BY k.doc_id
+    """,
+}
