@@ -47,9 +47,12 @@ def _hashes(text: Column) -> Column:
 def line_index(lines: DataFrame, n_shards: int) -> DataFrame:
     """``shard, perfect_hash, fingerprints, counts`` over all distinct lines of
     ``lines`` (an array ``hashes`` per document), by the number of documents."""
+    # As text a hash can be told apart in a hash set; structs are compared one by one.
+    digits = F.transform(F.array_compact("hashes"), lambda h: F.concat(*[F.lpad(F.hex(h[c]), 16, "0") for c in "ab"]))
     counted = (
-        lines.select(F.explode(F.array_compact(F.array_distinct("hashes"))).alias("h"))
-        .groupBy("h.a", "h.b").agg(F.count(F.lit(1)).alias("n"))
+        lines.select(F.explode(F.array_distinct(digits)).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.conv(F.left("h", F.lit(16)), 16, -10).cast("long").alias("a"),
+                F.conv(F.right("h", F.lit(16)), 16, -10).cast("long").alias("b"), "n")
         .withColumn("shard", _shard("a", n_shards))
     )
 
@@ -139,7 +142,7 @@ def drop_frequent_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     lines = lines.withColumn("block", F.pmod(F.xxhash64("k.b"), F.lit(n_blocks)).cast("int"))
     index = store(line_index(lines, n_shards), "line-index")
     probes = (
-        lines.select("block", F.explode(F.array_compact(F.array_distinct("hashes"))).alias("h"))
+        lines.select("block", F.explode(F.array_compact("hashes")).alias("h"))
         .select("block", "h.a", "h.b").distinct().withColumn("shard", _shard("a", n_shards))
     )
     marks = (

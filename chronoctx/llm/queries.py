@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, packing, pii
+from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, packing, pii, quality
 from chronoctx.llm.common import prepare, table
 
 
@@ -22,6 +22,11 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(prepare(spark), sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed_documents(table(prepare(spark), sf_dir, "documents"), path)
@@ -35,7 +40,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op7_packing, op9_pii, op10_fingerprints]
+QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op4_quality, op7_packing, op9_pii, op10_fingerprints]
 #: Twins for what SQL can express over whole tables.
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
