@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, neighbours, packing, pii, quality
+from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, near_duplicates, neighbours, packing, pii, quality
 from chronoctx.llm.common import prepare, table
 
 
@@ -31,6 +31,10 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(prepare(spark), sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(prepare(spark), sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed_documents(table(prepare(spark), sf_dir, "documents"), path)
@@ -44,7 +48,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op4_quality, op5_neighbours, op7_packing, op9_pii, op10_fingerprints]
+QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op4_quality, op5_neighbours, op6_near_duplicates, op7_packing, op9_pii, op10_fingerprints]
 #: Twins for what SQL can express over whole tables.
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
