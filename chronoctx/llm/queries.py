@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, near_duplicates, neighbours, packing, pii, quality
+from chronoctx.llm import bpe, fingerprints, licenses, line_dedup, near_duplicates, neighbours, packing, pii, quality, repeats
 from chronoctx.llm.common import prepare, table
 
 
@@ -40,6 +40,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(prepare(spark), sf_dir, "documents"), path)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(prepare(spark), sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(prepare(spark), sf_dir, "documents")))
 
@@ -48,7 +52,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op4_quality, op5_neighbours, op6_near_duplicates, op7_packing, op9_pii, op10_fingerprints]
+QUERIES = [op1_line_dedup, op2_bpe, op3_licenses, op4_quality, op5_neighbours, op6_near_duplicates, op7_packing, op8_repeats, op9_pii, op10_fingerprints]
 #: Twins for what SQL can express over whole tables.
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
