@@ -128,9 +128,8 @@ def _marks(lines: DataFrame, frequent: DataFrame) -> DataFrame:
         mark, "k struct<a:bigint,b:bigint>, drop array<boolean>")
 
 
-def drop_frequent_lines(docs: DataFrame, least: int = 10) -> DataFrame:
-    """``docs`` with ``text`` without the lines that at least ``least`` documents
-    have, and the columns ``n_lines`` and ``n_dropped``."""
+def _marked(docs: DataFrame, least: int) -> DataFrame:
+    """``docs`` with ``_line_drop``: which of its lines at least ``least`` documents have."""
     spark = docs.sparkSession
     shape = docs.select(row_key("doc_id", "text").alias("k"), _hashes(text_of("text")).alias("hashes"))
     dealt = DEAL * partitions(spark)
@@ -147,17 +146,27 @@ def drop_frequent_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     )
     marks = (
         _marks(lines.select("block", "k", "hashes"), _frequent(probes, index, least))
-        .groupBy("k").agg(F.first("drop").alias("drop")).select(F.struct("k.a", "k.b").alias("_line_key"), F.col("drop").alias("_line_drop"))
-    )
-    joined = docs.withColumn("_line_key", row_key("doc_id", "text")).join(marks.hint("shuffle_hash"), "_line_key", "left")
-    kept = F.filter(F.split(text_of("text"), "\n", -1), lambda _, i: ~F.coalesce(F.get("_line_drop", i), F.lit(False)))
-    return (
-        joined.withColumn("n_lines", F.size("_line_drop").cast("long"))
-        .withColumn("n_dropped", F.size(F.filter("_line_drop", lambda d: d)).cast("long"))
-        .withColumn("text", F.array_join(kept, "\n")).drop("_line_key", "_line_drop")
+        .groupBy("k").agg(F.first("drop").alias("drop"))
+        .select(F.struct("k.a", "k.b").alias("_line_key"), F.col("drop").alias("_line_drop"))
     )
+    keyed = docs.withColumn("_line_key", row_key("doc_id", "text"))
+    return keyed.join(marks.hint("shuffle_hash"), "_line_key", "left").drop("_line_key")
+
+
+def _kept() -> Column:
+    return F.array_join(F.filter(
+        F.split(text_of("text"), "\n", -1), lambda _, i: ~F.coalesce(F.get("_line_drop", i), F.lit(False))), "\n")
+
+
+def drop_frequent_lines(docs: DataFrame, least: int = 10) -> DataFrame:
+    """``docs`` with the columns it has, but ``text`` without the lines that at
+    least ``least`` documents have, and ``n_chars``, if there is one, set anew."""
+    out = _marked(docs, least).withColumn("text", _kept()).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def digest(docs: DataFrame, least: int = 10) -> DataFrame:
-    return drop_frequent_lines(docs.select("doc_id", "text"), least).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    """Numbers of lines and of dropped ones, and a hash of what is kept."""
+    return _marked(docs.select("doc_id", "text"), least).select(
+        "doc_id", F.size("_line_drop").cast("long").alias("n_lines"),
+        F.size(F.filter("_line_drop", lambda d: d)).cast("long").alias("n_dropped"), F.sha2(_kept(), 256).alias("kept_sha256"))
