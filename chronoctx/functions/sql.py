@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from chronoctx.functions.encode import BETWEEN, CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED, allowed
+from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED, allowed
 from chronoctx.functions.geo import EARTH_RADIUS_M
 from chronoctx.functions.times import RESOLUTIONS
 
 
 def _encoder(kind: str) -> str:
     escaped = f"regexp_replace(s, r'{ESCAPED_X}', 'xx')"
-    denied = f"regexp_replace({escaped}, r'{allowed(kind)}+', '')"
-    found = f"array_distinct(split({denied}, r'{BETWEEN}'))"
+    parts = f"regexp_extract_all({escaped}, r'{allowed(kind)}+|(?s:.)', 0)"
     code = (
-        f"CASE WHEN c = '=' THEN '{CONCATENATOR}' "
+        f"CASE WHEN c = '=' THEN '{CONCATENATOR}' WHEN NOT c RLIKE r'{DENIED[kind]}' THEN c "
         "ELSE regexp_replace(lower(hex(encode(c, 'UTF-16BE'))), '(.{4})', 'x$1') END"
     )
-    return f"aggregate({found}, {escaped}, (coded, c) -> replace(coded, c, {code}))"
+    return f"CASE WHEN s RLIKE r'{DENIED[kind]}|{ESCAPED_X}' THEN array_join(transform({parts}, c -> {code}), '') ELSE s END"
 
 
 def _old(kind: str) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chronoctx import options as O
 from chronoctx.functions import times as T
+from chronoctx.operators.layout import JSON_NUMBER
 
 ALL_RESOLUTIONS = tuple(T.RESOLUTIONS)
 
@@ -28,8 +29,10 @@ BUCKET = ["resolution", "range", "origin", "offset"]
 
 
 def numeric_value(text: Column) -> Column:
-    """Number of an attribute value, NULL when it is none."""
-    return text.try_cast("double")
+    """Number of an attribute value. NULL when the text is no JSON number, or
+    one beyond the doubles: one of those would spoil its bucket for good."""
+    number = F.when(text.rlike(JSON_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def numeric_buckets(
@@ -86,23 +89,16 @@ def merge_categorical(partials: DataFrame, keys: list[str], value: str = "value"
     )
 
 
-def occurrence_points(
-    occurrences: DataFrame, keys: list[str], value: str = "value", max_values: int = 10_000
-) -> DataFrame:
-    """Occurrence maps per bucket. A bucket with more than ``max_values``
-    different values is spread over several rows, told apart by ``part``;
-    ``samples`` is always the count of the whole bucket. The occurrences are
-    read twice, so store them when they are expensive to compute."""
+def occurrence_points(occurrences: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """The occurrence map of each bucket, and how many values it saw in all.
+
+    Occurrences are counted per value before they meet, so a map gets one entry
+    for each different value of its bucket."""
     point = [*keys, *BUCKET]
-    occurrences = occurrences.select(*point, value, "samples")  # the same columns for both uses below
-    sizes = occurrences.groupBy(*point).agg(
-        F.sum("samples").alias("samples"), F.ceil(F.count("*") / F.lit(max_values)).alias("_parts")
-    )
-    parted = occurrences.withColumnRenamed("samples", "_count").join(sizes, point).withColumn(
-        "part", F.pmod(F.xxhash64(value), F.col("_parts"))
-    )
-    return parted.groupBy(*point, "samples", "part").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(value), F.col("_count")))).alias("occur")
+    counts = occurrences.groupBy(*point, value).agg(F.sum("samples").alias("samples"))
+    return counts.groupBy(*point).agg(
+        F.sum("samples").alias("samples"),
+        F.map_from_entries(F.collect_list(F.struct(F.col(value), F.col("samples")))).alias("occur"),
     )
 
 
@@ -124,9 +120,9 @@ def dense_points(buckets: DataFrame, keys: list[str]) -> DataFrame:
 def dense_occurrences(points: DataFrame, keys: list[str]) -> DataFrame:
     """Categorical documents with every slot, empty ones with an empty map.
 
-    Takes ``occurrence_points``; the slots of one document part are at most 60.
+    Takes ``occurrence_points``; a document has at most 60 slots.
     """
-    documents = points.groupBy(*keys, "resolution", "range", "origin", "part").agg(
+    documents = points.groupBy(*keys, "resolution", "range", "origin").agg(
         F.map_from_entries(F.collect_list(F.struct("offset", F.struct("samples", "occur")))).alias("_seen")
     )
     empty = F.struct(

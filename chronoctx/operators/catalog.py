@@ -61,7 +61,7 @@ def enrich(events: DataFrame, metadata: dict[str, str]) -> DataFrame:
         value = F.expr(expression).cast("string")
         entries.append(F.struct(F.lit(name).alias("key"), (json_list(value) if name in LIST_FIELDS else value).alias("value")))
     added = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-    kept = F.map_filter("headers", lambda k, _: ~F.array_contains(added["key"], k))
+    kept = F.map_filter("headers", lambda k, _: ~F.array_contains(F.transform(added, lambda e: F.lower(e["key"])), F.lower(k)))
     return events.withColumn("headers", F.map_concat(kept, F.map_from_entries(added)))
 
 
@@ -146,7 +146,7 @@ def lookup_or_create(
         (resources, ["org_name", "pkg_name", "res_name"], "_has_res"),
     ]
     for table, keys, flag in levels:
-        known = table.select(*keys, *(["res_id"] if flag == "_has_res" else [])).dropDuplicates(keys)
+        known = table.groupBy(*keys).agg(F.min("res_id").alias("res_id")) if flag == "_has_res" else table.select(*keys).distinct()
         wanted = wanted.join(known.withColumn(flag, F.lit(True)), keys, "left")
     create = (
         F.when(F.col("_has_org").isNull(), F.lit("organization"))

@@ -16,7 +16,8 @@ from chronoctx.functions import geo as G
 from chronoctx.functions import times as T
 from chronoctx.options import Options
 
-MAX_COLUMNS = 4000
+# Fixed value: the text of a JSON number.
+JSON_NUMBER = r"^-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$"
 
 
 def stored_path(path: Column) -> Column:
@@ -64,21 +65,16 @@ def as_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in names})
 
 
-def discover_attributes(rows: DataFrame, limit: int = MAX_COLUMNS) -> list[str]:
-    """Attribute names in use, sorted. They become columns, so more than
-    ``limit`` of them is an error that points to the map layout."""
-    found = rows.select("attr_name").distinct().orderBy("attr_name").limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} attribute names; use column_map_layout")
-    return [r[0] for r in found]
+def discover_attributes(rows: DataFrame) -> list[str]:
+    """Attribute names in use, sorted, to become columns. Where names are many
+    or not known to be few, ``column_map_layout`` is the layout to choose."""
+    return [r[0] for r in rows.select("attr_name").distinct().orderBy("attr_name").collect()]
 
 
-def discover_sub_attributes(rows: DataFrame, limit: int = MAX_COLUMNS) -> dict[str, list[str]]:
-    """LD attribute names with the names of their sub-attributes."""
+def discover_sub_attributes(rows: DataFrame) -> dict[str, list[str]]:
+    """LD attribute names with the names of their sub-attributes, as above."""
     pairs = rows.select("attr_name", F.explode_outer("sub_attrs.name").alias("sub_name")).distinct()
-    found = pairs.orderBy("attr_name", "sub_name").limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} attribute columns")
+    found = pairs.orderBy("attr_name", "sub_name").collect()
     names: dict[str, list[str]] = {}
     for attr, sub in found:
         names.setdefault(attr, [])
@@ -254,7 +250,7 @@ def cassandra_layout(rows: DataFrame) -> DataFrame:
 def json_value(text: Column) -> Column:
     """JSON form of an attribute value: numbers, literals and nested values as
     they are, anything else as a JSON string."""
-    number = text.rlike(r"^-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$")
+    number = text.rlike(JSON_NUMBER)
     literal = text.isin("true", "false", "null")
     nested = text.rlike(r"^\s*[{\[]") & F.try_parse_json(text).isNotNull()
     quoted = F.to_json(F.array(text))

@@ -31,8 +31,19 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def first_entries(entries: Column) -> Column:
+    """A map of ``(key, value)`` entries; of equal keys the first one counts."""
+    def is_first(entry: Column, place: Column, all_: Column) -> Column:
+        return F.array_position(all_["key"], entry["key"]) == place + 1
+
+    return bind(entries, lambda all_: F.map_from_entries(
+        F.filter(all_, lambda entry, place: entry["key"].isNotNull() & is_first(entry, place, all_))))
+
+
 def lower_headers(headers: Column) -> Column:
-    return F.transform_keys(headers, lambda k, _: F.lower(k))
+    """Headers under lower-case names; of names that differ by case the first counts."""
+    return first_entries(F.transform(
+        F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))))
 
 
 def capture_headers(headers: Column) -> Column:
@@ -41,6 +52,13 @@ def capture_headers(headers: Column) -> Column:
     return lower_headers(F.map_filter(headers, lambda k, _: F.lower(k).isin(*kept)))
 
 
+def _own_correlator() -> Column:
+    """A correlator made from the notification, so that every evaluation of the
+    same notification gives the same one."""
+    digest = F.md5(F.concat_ws("\n", F.col("body"), F.col("ingest_ts").cast("string"), F.to_json(F.map_entries("headers"))))
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+
+
 def with_event_columns(df: DataFrame, opts: Options = Options()) -> DataFrame:
     """Tenant, paths, correlator and reception time of every notification.
 
@@ -57,7 +75,7 @@ def with_event_columns(df: DataFrame, opts: Options = Options()) -> DataFrame:
         "service_paths": F.split(
             F.when(F.lower(path) == "/nd", F.lit(opts.default_service_path)).otherwise(path), r"\s*,\s*"
         ),
-        "correlator": F.coalesce(headers[M.HEADER_CORRELATOR], F.uuid()),
+        "correlator": F.coalesce(headers[M.HEADER_CORRELATOR], _own_correlator()),
         "recv_time_ts": F.unix_millis("ingest_ts"),
     }).drop("_headers")
 
@@ -94,6 +112,12 @@ def parse(df: DataFrame, opts: Options = Options()) -> DataFrame:
     )
 
 
+def _repeats(entity: Column) -> Column:
+    """Whether a name stands twice among the attributes."""
+    names = entity["attrs"]["name"]
+    return F.size(F.array_distinct(names)) < F.size(names)
+
+
 def _event_problem(entities: Column, paths: Column) -> Column:
     problems = F.filter(
         F.flatten(F.transform(entities, lambda e: e["attrs"]["problem"])), lambda p: p.isNotNull()
@@ -103,6 +127,7 @@ def _event_problem(entities: Column, paths: Column) -> Column:
         .when(F.exists(entities, lambda e: e["id"].isNull()), F.lit("entity-id-missing"))
         .when(F.exists(entities, lambda e: e["type"].isNull()), F.lit("entity-type-missing"))
         .when((F.size(paths) > 1) & (F.size(paths) != F.size(entities)), F.lit("service-path-count"))
+        .when(F.exists(entities, _repeats), F.lit("attribute-repeated"))
         .otherwise(F.get(problems, F.lit(0)))
     )
 

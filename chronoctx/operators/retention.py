@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chronoctx.operators.ordered import HOT_ROWS, OrderedGroups
 
@@ -14,11 +15,13 @@ def expired(recv_time_ms: Column, now_ms: Column | int, expiration_s: int) -> Co
 
 
 def retain_newest(
-    df: DataFrame, keys: list[str], max_records: int, id_: str = "_id", hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], max_records: int, id_: str = "_id"
 ) -> DataFrame:
-    """The ``max_records`` rows with the greatest id of every destination."""
-    ranked = OrderedGroups.of(df, keys, [f"-{id_}"], hot_rows).numbered("_rank").result()
-    return ranked.filter(F.col("_rank") <= max_records).drop("_rank")
+    """The ``max_records`` rows with the greatest id of every destination. Each
+    task keeps so many of a destination before the shuffle, so a large one sends
+    no more than that from any task."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(id_).desc()))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= max_records).drop("_rank")
 
 
 def retain_age(df: DataFrame, recv_time_ms: Column, now_ms: int, expiration_s: int) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chronoctx import model as M
 from chronoctx.functions import geo as G
@@ -147,11 +148,10 @@ def last_rows(results: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the greatest ``order`` of every group, as an aggregation
-    (combined before the shuffle, so a large group costs one row per task)."""
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_last"))
-    return last.select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
+    """The row with the greatest ``order`` of every group. Each task keeps one
+    row of a group before the shuffle, however large the group is."""
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
+    return df.withColumn("_newest", newest).filter(F.col("_newest") == 1).drop("_newest")
 
 
 def trajectory_layout(results: DataFrame) -> DataFrame:

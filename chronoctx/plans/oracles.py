@@ -396,6 +396,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_live_buckets": numeric_buckets(["day"], "event_type"),
         "bucket_dense": f"WITH {EV} {dense('hour', 0, 23)} UNION ALL {dense('month', 1, 12)}",
         "bucket_categorical": f"WITH {EV} " + " UNION ALL ".join(categorical_bucket(r) for r in ("hour", "day", "month")),
+        "stream_occurrences": f"WITH {EV} " + " UNION ALL ".join(categorical_bucket(r) for r in ("hour", "day", "month")),
+        "v2_hostile_input": """SELECT event_id, CASE WHEN event_id % 8 = 5 THEN 'first' ELSE 'web' END AS service,
+            CASE event_id % 8 WHEN 0 THEN 'attribute-repeated' WHEN 6 THEN 'malformed-notification' ELSE 'accepted' END AS outcome,
+            CAST(CASE WHEN event_id % 8 IN (0, 1, 6) THEN 0 ELSE 1 END AS BIGINT) AS n_attrs,
+            CASE WHEN event_id % 8 IN (5, 7) THEN CAST(event_id AS DOUBLE) END AS number FROM events""",
         "bucket_occurrences": f"""WITH {EV}, f AS ({categorical_bucket('day')}),
             k AS (SELECT DISTINCT entity_id, origin FROM f), s AS (SELECT unnest(range(1, 32)) AS o)
             SELECT k.entity_id, k.origin, s.o AS "offset", CAST(coalesce(sum(f.samples), 0) AS BIGINT) AS samples,

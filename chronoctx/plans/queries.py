@@ -37,7 +37,7 @@ from chronoctx.plans.session import shared_dir, store
 from chronoctx.sinks import files
 from chronoctx.sources import adapters as A
 from chronoctx.sources import history as H
-from chronoctx.sources.notifications import spread
+from chronoctx.sources.adapters import spread
 from chronoctx.streaming import buckets as SB
 from chronoctx.streaming import fragments as SF
 from chronoctx.streaming import history as SH
@@ -854,6 +854,29 @@ def sql_functions(spark, d):
     )
 
 
+def v2_hostile_input(spark, d):
+    """Notifications that must not end a job: repeated attributes, nothing
+    inside, texts that only look like numbers, headers twice, broken JSON."""
+    case = F.col("event_id") % 8
+    x = F.when(case == 2, F.lit('"NaN"')).when(case == 3, F.lit('"3d"')).when(case == 4, F.lit("1e400")).otherwise(
+        F.col("event_id").cast("string"))
+    attribute = F.concat(F.lit('"x":{"type":"Number","value":'), x, F.lit(',"metadata":{}}'))
+    members = F.when(case == 0, F.concat_ws(",", attribute, attribute)).otherwise(attribute)
+    body = (
+        F.when(case == 1, F.lit('{"data":[]}')).when(case == 6, F.lit('{"data":[{"id":'))
+        .otherwise(F.concat(F.lit('{"data":[{"id":"e","type":"T",'), members, F.lit("}]}")))
+    )
+    headers = F.when(case == 5, F.create_map(F.lit("Fiware-Service"), F.lit("first"), F.lit("fiware-service"), F.lit("second"))).otherwise(
+        F.create_map(F.lit("Fiware-Service"), F.lit("web")))
+    raw = A.table(spark, d, "events").select("event_id", headers.alias("headers"), body.alias("body"), F.col("ts").cast("timestamp").alias("ingest_ts"))
+    attributes = F.flatten(F.transform("entities", lambda e: e["attrs"]))
+    return P.parse(raw, V2).select(
+        "event_id", "service", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"),
+        F.coalesce(F.size(attributes), F.lit(0)).cast("bigint").alias("n_attrs"),
+        B.numeric_value(F.get(attributes, F.lit(0))["value"]).alias("number"),
+    )
+
+
 def header_capture(spark, d):
     """Protocol headers, tenant defaults and correlation ids."""
     n = F.col("event_id") % 4
@@ -871,9 +894,19 @@ def header_capture(spark, d):
 
 # -- streams ----------------------------------------------------------------
 
-def _event_stream(spark, d) -> DataFrame:
-    schema = A.table(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(d)
+def _event_stream(spark, d, out: str, mixed: bool = False) -> DataFrame:
+    """The events landed in three files, one per micro-batch: in order of time,
+    or ``mixed``, so that most rows come late."""
+    events = A.table(spark, d, "events")
+    place = F.unix_millis(F.col("ts").cast("timestamp"))
+    if mixed:
+        part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    else:
+        low, high = events.select(place.cast("double").alias("ms")).approxQuantile("ms", [0.33, 0.66], 0.01)
+        part = F.when(place <= low, 0).when(place <= high, 1).otherwise(2)
+    for number in range(3):
+        events.filter(part == number).coalesce(1).write.mode("append").parquet(f"{out}/landed")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landed")
 
 
 def _run(stream, write, out) -> None:
@@ -885,7 +918,7 @@ def stream_row_history(spark, d):
     """The row history, ingested by a stream."""
     out = work_dir(spark, "stream-rows")
     write = SH.history_writer(out, "postgresql", V2)
-    _run(_event_stream(spark, d), lambda b, i: write(A.event_notifications(spread(b, "event_id")), i), out)
+    _run(_event_stream(spark, d, out), lambda b, i: write(A.event_notifications(spread(b, "event_id")), i), out)
     return split_value(runtime.read_committed(spark, out, "history").drop("batch_id"))
 
 
@@ -899,7 +932,7 @@ def stream_dead_letter(spark, d):
         cut = F.when(F.col("event_id") % 5 == 0, F.substring("body", F.lit(1), F.lit(40))).otherwise(F.col("body"))
         write(raw.withColumn("body", cut), batch_id)
 
-    _run(_event_stream(spark, d), damaged, out)
+    _run(_event_stream(spark, d, out), damaged, out)
     dead = runtime.read_committed(spark, out, "dead_letter").select("event_id", "reject_reason")
     alive = runtime.read_committed(spark, out, "history").select("event_id", F.lit("accepted").alias("reject_reason")).distinct()
     return dead.unionByName(alive)
@@ -914,10 +947,24 @@ def stream_buckets(spark, d):
         return rows.select("entity_id", "attr_name", "recv_time_ts", B.numeric_value(F.col("attr_value")).alias("value"))
 
     write = SB.bucket_writer(out, rows_of, _BUCKET_KEYS, resolutions=("minute", "day"))
-    _run(_event_stream(spark, d), write, out)
+    _run(_event_stream(spark, d, out), write, out)
     return _bucket_columns(SB.read_buckets(spark, out, _BUCKET_KEYS).drop("last_ts"))
 
 
+def stream_occurrences(spark, d):
+    """Partial occurrences of a stream of mixed rows, merged on reading."""
+    out = work_dir(spark, "stream-occurrences")
+
+    def rows_of(batch: DataFrame) -> DataFrame:
+        rows = P.attribute_rows(P.parse(A.event_notifications(spread(batch, "event_id"))))
+        return rows.filter(F.col("attr_name") == "kind").select("entity_id", "attr_value", "recv_time_ts")
+
+    write = SB.categorical_writer(out, rows_of, ["entity_id"], "attr_value", resolutions=("hour", "day", "month"))
+    _run(_event_stream(spark, d, out, mixed=True), write, out)
+    merged = SB.read_occurrences(spark, out, ["entity_id"], "attr_value")
+    return merged.drop("last_ts").withColumns({"origin": iso("origin"), "offset": F.col("offset").cast("bigint")})
+
+
 def stream_trajectory(spark, d):
     """Trajectory statistics with the last rows as the state of the stream."""
     out = work_dir(spark, "stream-trajectory")
@@ -926,7 +973,7 @@ def stream_trajectory(spark, d):
         return _points(spark, d, A.event_notifications(spread(batch, "event_id"), geo=True))
 
     write = ST.trajectory_writer(out, points_of, ["entity_id"], "event_id", scale=3)
-    _run(_event_stream(spark, d), write, out)
+    _run(_event_stream(spark, d, out), write, out)
     return _rounded_results(runtime.read_committed(spark, out, "trajectory")).select(
         "event_id", "entity_id", "cartodb_id", "stageDistance", "stageTime", "sumDistance", "sumTime", "sumSpeed",
         "maxTime", "minTime", "numSamples",
@@ -945,9 +992,9 @@ def stream_fragments(spark, d):
 
 
 def stream_live_buckets(spark, d):
-    """Day buckets as a streaming aggregation under a watermark."""
+    """Day buckets as a streaming aggregation of rows that come late and mixed."""
     out = work_dir(spark, "stream-live")
-    rows = _event_stream(spark, d).select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    rows = _event_stream(spark, d, out, mixed=True).select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
     live = SB.live_buckets(rows, ["event_type"], "day")
     query = live.writeStream.outputMode("update").option("checkpointLocation", f"{out}/checkpoint").foreachBatch(
         lambda b, i: files.write_batch(b, f"{out}/updates", i)
@@ -970,6 +1017,6 @@ QUERIES = [
     page_read, existing_row_counts, retain_newest, retain_age, retain_prefix, retain_bytes, delete_by_id,
     catalog_packages, catalog_resources, catalog_organizations, catalog_missing, catalog_join,
     vocab_invalid, vocab_valid, format_lookup, new_columns, typed_params, fragments_status, fragments_ready,
-    json_valid, sql_functions, header_capture,
-    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_live_buckets,
+    json_valid, sql_functions, header_capture, v2_hostile_input,
+    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_live_buckets, stream_occurrences,
 ]

@@ -38,15 +38,26 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster.
 
-    Only a session without one (local runs, tests) gets a folder of its own.
+    Only a local session without one (tests) gets a folder of its own. On a
+    cluster a missing setting is an error: a folder of one machine would lose
+    what the other machines write.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         folder = tempfile.mkdtemp(prefix="chronoctx-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
@@ -61,8 +72,7 @@ def scratch(spark: SparkSession):
     finally:
         _SCRATCH.reset(token)
         for path in paths:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, path)
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

@@ -62,13 +62,10 @@ def append_csv(df: DataFrame, path: str, partitions: tuple[str, ...] = ("dest_db
 
 
 def export_by_destination(
-    df: DataFrame, path: str, column: str = "dest_folder", fmt: str = "text", limit: int = 10_000
+    df: DataFrame, path: str, column: str = "dest_folder", fmt: str = "text"
 ) -> None:
-    """One folder per destination, for few destinations: more than ``limit`` of
-    them is an error, since each one makes files of its own."""
-    found = df.select(column).distinct().limit(limit + 1).count()
-    if found > limit:
-        raise ValueError(f"more than {limit} destinations; use the shared layout")
+    """One folder per destination, for few destinations: each one makes files of
+    its own. The shared layout serves any number of them."""
     clustered(df, [column], []).write.mode("append").partitionBy(column).format(fmt).save(path)
 
 

@@ -106,3 +106,10 @@ def order_notifications(orders: DataFrame) -> DataFrame:
         body.alias("body"),
         F.col("o_orderdate").cast("timestamp").alias("ingest_ts"),
     )
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread the rows of few large files over all cores by a key, because
+    parsing is bound by CPU. Tables of enough files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df

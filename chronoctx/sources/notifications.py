@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoctx import model as M
+from chronoctx.operators.parse import first_entries
 
 
 def _header_map(headers: dict[str, str] | None) -> Column:
@@ -56,17 +57,10 @@ def stream_envelopes(spark: SparkSession, path: str, max_files: int | None = Non
 
 def from_kafka(records: DataFrame) -> DataFrame:
     """Records of Spark's Kafka source read with ``includeHeaders``."""
-    headers = F.map_from_entries(F.transform(
+    headers = first_entries(F.transform(
         F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")),
         lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value")),
     ))
     return records.select(
         headers.alias("headers"), F.col("value").cast("string").alias("body"), F.col("timestamp").alias("ingest_ts")
     )
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread the rows of few large files over all cores by a key, because
-    parsing is bound by CPU. A scan with enough partitions stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

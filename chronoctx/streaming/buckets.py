@@ -30,6 +30,23 @@ def bucket_writer(
     return write
 
 
+def categorical_writer(
+    out: str, rows_of: Callable[[DataFrame], DataFrame], keys: list[str], value: str = "value",
+    resolutions: tuple[str, ...] = B.ALL_RESOLUTIONS,
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler for categorical buckets, as ``bucket_writer``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial = B.categorical_buckets(rows_of(batch), keys, value, resolutions=resolutions)
+        write_batch(partial, f"{out}/partials", batch_id)
+
+    return write
+
+
+def read_occurrences(spark: SparkSession, out: str, keys: list[str], value: str = "value") -> DataFrame:
+    """The merged occurrences of all batches."""
+    return B.merge_categorical(spark.read.parquet(f"{out}/partials"), keys, value)
+
+
 def read_buckets(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     """The merged buckets of all batches."""
     partials = spark.read.parquet(f"{out}/partials")
@@ -48,15 +65,17 @@ def compact(spark: SparkSession, out: str, keys: list[str], upto: int) -> None:
     B.merge_numeric(partials, keys).write.mode("overwrite").parquet(f"{out}/compacted/upto={upto}")
 
 
-def live_buckets(rows: DataFrame, keys: list[str], resolution: str, value: str = "value", lateness: str = "1 hour") -> DataFrame:
-    """Buckets of one resolution as a streaming aggregation (update mode), with
-    the state bounded by a watermark. ``rows`` has a ``ts`` timestamp; months
-    have no fixed length, use the partial buckets for them."""
+def live_buckets(rows: DataFrame, keys: list[str], resolution: str, value: str = "value") -> DataFrame:
+    """Buckets of one resolution as a streaming aggregation (update mode). Late
+    rows merge into their buckets, however late they are, so there is no watermark
+    and the state holds a row per bucket; ``bucket_writer`` needs no state.
+    ``rows`` has a ``ts`` timestamp; months have no fixed length, use the partial
+    buckets for them."""
     if resolution == "month":
         raise ValueError("no streaming window has the length of a month")
     x = F.col(value)
     window = F.window("ts", f"1 {resolution}")
-    grouped = rows.withWatermark("ts", lateness).groupBy(*keys, window.alias("_window")).agg(
+    grouped = rows.groupBy(*keys, window.alias("_window")).agg(
         F.count(x).alias("samples"), F.sum(x).alias("sum"), F.sum(x * x).alias("sum2"),
         F.min(x).alias("min"), F.max(x).alias("max"),
     )

@@ -5,12 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from chronoctx.operators.fragments import INVALID, READY, WAIT, fragment_status, split_by_status
 from chronoctx.plans.session import scratch, store
 from chronoctx.sinks.files import write_batch
-from chronoctx.streaming.runtime import read_or_none
+from chronoctx.streaming.runtime import batches, read_or_none, remove_batches
 
 
 def fragment_writer(
@@ -18,14 +18,37 @@ def fragment_writer(
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler: complete transactions to ``<out>/ready`` (fragments carry
     their index as the order), broken and late ones to ``<out>/invalid``; the
-    others wait in ``<out>/pending`` for the next batch."""
+    others wait in ``<out>/pending`` for the next batch, which takes the newest
+    state before its own. The state before that one stays for a repeat."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        waiting = read_or_none(batch.sparkSession, f"{out}/pending/batch_id={batch_id - 1}")
+        before, waiting = pending_before(batch.sparkSession, out, batch_id)
         pieces = batch if waiting is None else batch.unionByName(waiting.select(*batch.columns))
         with scratch(batch.sparkSession):
             pieces = store(pieces, "fragments")
             parts = split_by_status(pieces, fragment_status(pieces, now_ms(), timeout_ms))
             for status, table in ((READY, "ready"), (INVALID, "invalid"), (WAIT, "pending")):
                 write_batch(parts[status], f"{out}/{table}", batch_id)
+        if before is not None:
+            remove_batches(batch.sparkSession, f"{out}/pending", "batch_id", before)
 
+    write.stateful = True
     return write
+
+
+def pending_before(spark: SparkSession, out: str, batch_id: int) -> tuple[int | None, DataFrame | None]:
+    """The batch that left the newest state before this one, and the fragments
+    that waited then. A state without rows counts."""
+    numbers = [n for n in batches(spark, f"{out}/pending") if n < batch_id]
+    if not numbers:
+        return None, None
+    return max(numbers), read_or_none(spark, f"{out}/pending/batch_id={max(numbers)}")
+
+
+def expire(spark: SparkSession, out: str, timeout_ms: int, now_ms: int | None = None) -> DataFrame:
+    """The waiting fragments whose time is over, while no batch comes that would
+    sort them out. The next batch still does."""
+    _, waiting = pending_before(spark, out, 1 << 62)
+    if waiting is None:
+        raise ValueError(f"nothing has run below {out}")
+    now = int(time.time() * 1000) if now_ms is None else now_ms
+    return split_by_status(waiting, fragment_status(waiting, now, timeout_ms))[INVALID]

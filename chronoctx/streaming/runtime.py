@@ -1,10 +1,8 @@
-"""Micro-batch handling: triggers, retries, routing and commits."""
+"""Micro-batch handling: triggers, routing and commits."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -12,56 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chronoctx.plans.session import remove
 from chronoctx.sinks.files import write_batch
 
-SUCCESS, RETRY, FAILURE = "success", "retry", "failure"
-
-
-@dataclass(frozen=True)
-class RetryPolicy:
-    """``ttl`` repeats (0 none, -1 no end) with the pauses of ``intervals``, in
-    seconds; the last pause is used again when the list is over."""
-
-    ttl: int = 10
-    intervals: tuple[float, ...] = (5.0,)
-    retryable: Callable[[Exception], bool] = lambda error: isinstance(error, OSError)
-    sleep: Callable[[float], None] = field(default=time.sleep)
-
-    def pause(self, attempt: int) -> None:
-        self.sleep(self.intervals[min(attempt, len(self.intervals)) - 1])
-
-    def allows(self, attempt: int) -> bool:
-        return self.ttl < 0 or attempt <= self.ttl
+SUCCESS, FAILURE = "success", "failure"
 
 
 def run_batch(
     batch: DataFrame, batch_id: int, write: Callable[[DataFrame, int], None], out: str,
-    policy: RetryPolicy = RetryPolicy(),
+    faults: tuple[type[Exception], ...] = (),
 ) -> str:
     """Run one micro-batch to its end and record where it went.
 
-    A transient error repeats the batch. Any other error, or a batch that has
-    used up its repeats, sends the batch as received to ``<out>/failed`` with
-    the error. The commit record is written last: readers that go through
-    ``read_committed`` see all of a batch or nothing of it.
+    ``faults`` are the errors that a batch's own data can cause. Such a batch
+    goes to ``<out>/failed`` as received, with the error, and the job goes on.
+    Any other error ends the job, which starts again with this batch: tasks are
+    repeated by Spark, batches by the job's checkpoint. A handler with state
+    (``write.stateful``) cannot do without a batch, so it allows no faults. The
+    commit record is written last: readers that go through ``read_committed`` see
+    all of a batch or nothing of it.
     """
-    attempt, error, route = 0, None, FAILURE
-    while True:
-        attempt += 1
-        try:
-            write(batch, batch_id)
-            route, error = SUCCESS, None
-        except Exception as problem:  # noqa: BLE001 - every error is routed
-            error = problem
-            if policy.retryable(problem) and policy.allows(attempt):
-                policy.pause(attempt)
-                continue
-        break
-    if route == FAILURE:
-        write_batch(batch.withColumn("error", F.lit(str(error)[:2000])), f"{out}/failed", batch_id)
+    if faults and getattr(write, "stateful", False):
+        raise ValueError("a job with state cannot leave out a batch")
+    route, error = SUCCESS, None
+    try:
+        write(batch, batch_id)
+    except faults as problem:
+        route, error = FAILURE, problem
+        write_batch(batch.withColumn("error", F.lit(str(problem))), f"{out}/failed", batch_id)
     record = batch.sparkSession.range(1).select(
-        F.lit(route).alias("route"), F.lit(attempt).alias("attempts"),
-        F.lit(None if error is None else type(error).__name__).cast("string").alias("error"),
+        F.lit(route).alias("route"), F.lit(None if error is None else type(error).__name__).cast("string").alias("error"),
     )
     write_batch(record, f"{out}/commits", batch_id)
     return route
@@ -69,17 +47,33 @@ def run_batch(
 
 def start(
     stream: DataFrame, write: Callable[[DataFrame, int], None], out: str, checkpoint: str,
-    every: str | None = "30 seconds", policy: RetryPolicy = RetryPolicy(),
+    every: str | None = "30 seconds", faults: tuple[type[Exception], ...] = (),
 ) -> StreamingQuery:
     """Start a job; ``every`` is the accumulation time of a micro-batch, None
     runs what is there now and ends."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: run_batch(batch, batch_id, write, out, policy) and None
+        lambda batch, batch_id: run_batch(batch, batch_id, write, out, faults) and None
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def batches(spark: SparkSession, table: str, column: str = "batch_id") -> list[int]:
+    """The numbers of the folders ``<column>=<number>`` of a table."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+    found = [name.partition("=") for name in names]
+    return sorted(int(number) for name, _, number in found if name == column and number.isdigit())
+
+
+def remove_batches(spark: SparkSession, table: str, column: str, below: int) -> None:
+    """Delete the folders of batches that a later one has replaced."""
+    for number in batches(spark, table, column):
+        if number < below:
+            remove(spark, f"{table}/{column}={number}")
+
+
 def kept(df: DataFrame) -> DataFrame:
     """A micro-batch intermediate that is used more than once. Lost blocks are
     computed again from the source."""

@@ -16,16 +16,18 @@ from chronoctx.operators import trajectory as T
 from chronoctx.operators.ordered import HOT_ROWS
 from chronoctx.plans.session import scratch, store
 from chronoctx.sinks.files import write_batch
-from chronoctx.streaming.runtime import read_or_none
+from chronoctx.streaming.runtime import read_or_none, remove_batches
 
 
 def trajectory_writer(
     out: str, points_of: Callable[[DataFrame], DataFrame], keys: list[str], tie_breaker: str,
-    scale: int | None = None, hot_rows: int = HOT_ROWS,
+    scale: int | None = None, hot_rows: int = HOT_ROWS, snapshot_every: int = 16,
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler: statistics to ``<out>/trajectory``, last rows to
     ``<out>/state``. Rows of one batch are put in time order; the batches
-    follow each other in arrival order."""
+    follow each other in arrival order. Every ``snapshot_every`` batches the
+    state becomes one snapshot, so a batch reads one snapshot and at most so many
+    changes."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with scratch(spark):
@@ -37,7 +39,10 @@ def trajectory_writer(
             write_batch(result, f"{out}/trajectory", batch_id)
         written = spark.read.parquet(f"{out}/trajectory/batch_id={batch_id}")
         write_batch(T.last_rows(written, keys), f"{out}/state", batch_id)
+        if batch_id % snapshot_every == snapshot_every - 1:
+            compact_state(spark, out, keys, batch_id)
 
+    write.stateful = True
     return write
 
 
@@ -60,7 +65,15 @@ def state_before(spark: SparkSession, out: str, keys: list[str], batch_id: int)
 
 
 def compact_state(spark: SparkSession, out: str, keys: list[str], upto: int) -> None:
-    """Replace the changes up to a batch by one snapshot."""
+    """Replace the changes up to a batch by one snapshot. The snapshot before it
+    and the changes since then stay until the next one, for batches that are
+    repeated."""
     snapshot = state_before(spark, out, keys, upto + 1)
-    if snapshot is not None:
-        snapshot.write.mode("overwrite").parquet(f"{out}/snapshots/upto={upto}")
+    if snapshot is None:
+        return
+    older = read_or_none(spark, f"{out}/snapshots")
+    before = None if older is None else older.filter(F.col("upto") < upto).agg(F.max("upto")).first()[0]
+    snapshot.write.mode("overwrite").parquet(f"{out}/snapshots/upto={upto}")
+    if before is not None:
+        remove_batches(spark, f"{out}/snapshots", "upto", before)
+        remove_batches(spark, f"{out}/state", "batch_id", before + 1)

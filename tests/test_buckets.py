@@ -68,14 +68,13 @@ def test_categorical_and_parts(spark, rows):
     flat = B.categorical_buckets(rows, KEYS, "word", resolutions=("day", "month"))
     want = brute(rows, ("day", "month"))
     assert sum(r.samples for r in flat.collect()) == 800
-    for parts in (1, 2, 100):
-        points = B.occurrence_points(flat, KEYS, "word", max_values=parts).collect()
-        seen = defaultdict(dict)
-        for p in points:
-            seen[p.entity, p.resolution, p.origin, p.offset].update(p.occur)
-            assert p.samples == len(want[p.entity, p.resolution, p.origin, p.offset])
-        for key, members in want.items():
-            assert sum(seen[key].values()) == len(members) and set(seen[key]) == {m.word for m in members}
+    seen = {(p.entity, p.resolution, p.origin, p.offset): p for p in B.occurrence_points(flat, KEYS, "word").collect()}
+    assert set(seen) == set(want)
+    for key, members in want.items():
+        assert seen[key].samples == sum(seen[key].occur.values()) == len(members) and set(seen[key].occur) == {m.word for m in members}
+    documents = B.dense_occurrences(B.occurrence_points(flat, KEYS, "word"), KEYS)
+    assert documents.count() == documents.select(*KEYS, "resolution", "range", "origin").distinct().count()
+    assert B.explode_points(documents).groupBy("resolution").agg(F.sum("samples")).collect()[0][1] == 400
     assert B.merge_categorical(flat.unionByName(flat), KEYS, "word").agg(F.sum("samples")).first()[0] == 1600
 
 
@@ -98,6 +97,12 @@ def test_rows_are_combined_before_the_shuffle(spark, rows):
     assert plan.count("partial_count") == 1 and plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
 
 
+def test_texts_that_are_no_numbers(spark):
+    texts = ["1", "-2.5e3", "0", "NaN", "Infinity", "3d", "1e400", "-1e400", "05", "", " 7", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(B.numeric_value(F.col("t")).alias("n"))
+    assert [r.n for r in df.collect()] == [1.0, -2500.0, 0.0] + [None] * 9
+
+
 def test_unknown_resolution(spark, rows):
     with pytest.raises(ValueError):
         B.numeric_buckets(rows, KEYS, resolutions=("week",))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronoctx import model as M
+from chronoctx.operators import catalog as C
 from chronoctx.operators import graph
 from chronoctx.operators import layout as L
 from chronoctx.operators import parse as P
@@ -123,8 +124,9 @@ def test_service_paths_go_to_entities_by_position(spark):
 
 def test_correlator_is_kept_or_made(spark):
     given = P.with_event_columns(raw(spark, CAR, headers={M.HEADER_CORRELATOR: "c1"})).first().correlator
-    made = [r.correlator for r in P.with_event_columns(raw(spark, CAR, CAR)).collect()]
-    assert given == "c1" and len(set(made)) == 2 and all(len(m) == 36 for m in made)
+    other = {"data": [{"id": "other", "type": "T"}]}
+    made = [[r.correlator for r in P.with_event_columns(raw(spark, CAR, other)).collect()] for _ in range(2)]
+    assert given == "c1" and len(set(made[0])) == 2 and made[0] == made[1] and all(len(m) == 36 for m in made[0])
 
 
 def test_ld_columns(spark):
@@ -208,11 +210,28 @@ def test_distance_history_continues(spark, per_entity):
     assert trajectory_layout(whole).columns == ["dest_db", "dest_table", *M.TRAJECTORY_COLUMNS]
 
 
-def test_too_many_attribute_names(spark):
-    rows = P.attribute_rows(P.parse(raw(spark, CAR)))
-    assert L.discover_attributes(rows) == ["oil_level", "speed"]
-    with pytest.raises(ValueError):
-        L.discover_attributes(rows, limit=1)
+def test_attribute_names_are_found(spark):
+    assert L.discover_attributes(P.attribute_rows(P.parse(raw(spark, CAR)))) == ["oil_level", "speed"]
+
+
+def test_of_equal_headers_the_first_counts(spark):
+    headers = "map('Keywords', 'k1', 'keywords', 'k2', 'FIWARE-Service', 'one', 'fiware-service', 'two')"
+    df = spark.sql(f"SELECT {headers} AS headers, '{{}}' AS body, timestamp'2024-01-01' AS ingest_ts")
+    parsed = P.parse(df).first()
+    assert parsed.service == "one" and parsed.correlator == P.parse(df).first().correlator
+    assert C.catalog_columns(C.enrich(df, {"keywords": "'x,y'"})).first().keywords == ["x", "y"]
+    assert C.catalog_columns(df).first().keywords == ["k1"]
+    kafka = spark.sql(
+        "SELECT array(named_struct('key', 'a', 'value', cast('1' AS BINARY)), named_struct('key', 'a', 'value', cast('2' AS BINARY))) AS headers,"
+        " cast('{}' AS BINARY) AS value, timestamp'2024-01-01' AS timestamp")
+    assert from_kafka(kafka).first().headers == {"a": "1"}
+
+
+def test_repeated_attributes_are_rejected(spark):
+    body = '{"data":[{"id":"e","type":"T","x":{"type":"N","value":1,"metadata":{}},"x":{"type":"N","value":2,"metadata":{}}}]}'
+    df = spark.createDataFrame([(body,)], "body string").selectExpr("map() AS headers", "body", "timestamp'2024-01-01' AS ingest_ts")
+    df = df.withColumn("headers", F.col("headers").cast("map<string,string>"))
+    assert P.parse(df).first().reject_reason == "attribute-repeated"
 
 
 def test_kafka_records(spark):

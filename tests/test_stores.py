@@ -154,8 +154,22 @@ def test_export_by_destination(spark, out):
     df = spark.createDataFrame([("a/b", "1"), ("a/b", "2"), ("c", "3")], "dest_folder string, line string")
     files.export_by_destination(df, out)
     assert spark.read.text(out).count() == 3
+
+
+def test_clusters_need_a_shared_folder(monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+            set = staticmethod(lambda key, value: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
+    Session.sparkContext.master = "local-cluster[2,1,1024]"
     with pytest.raises(ValueError):
-        files.export_by_destination(df, out, limit=1)
+        shared_dir(Session)
 
 
 def test_external_table(spark, out):
@@ -191,8 +205,8 @@ def _body(i, value):
     return {"data": [{"id": f"e{i}", "type": "T", "x": {"type": "Number", "value": value, "metadata": {}}}]}
 
 
-def _run(stream, write, out, policy=runtime.RetryPolicy()):
-    runtime.start(stream, write, out, f"{out}/checkpoint", every=None, policy=policy).awaitTermination()
+def _run(stream, write, out):
+    runtime.start(stream, write, out, f"{out}/checkpoint", every=None).awaitTermination()
 
 
 def test_ingest_stream(spark, tmp_path, out):
@@ -218,25 +232,20 @@ def test_bodies_read_as_text(spark, tmp_path):
     assert NS.stream_bodies(spark, str(tmp_path / "b"), max_files=1).columns == ["headers", "body", "ingest_ts"]
 
 
-def test_retries_and_routes(spark, out):
-    pauses, calls = [], []
-    policy = runtime.RetryPolicy(ttl=3, intervals=(1, 5), sleep=pauses.append)
-
-    def flaky(batch, batch_id):
-        calls.append(batch_id)
-        if len(calls) < 4:
-            raise ConnectionError("down")
-
-    assert runtime.run_batch(spark.range(2), 0, flaky, out, policy) == runtime.SUCCESS and pauses == [1, 5, 5]
+def test_faults_are_routed_and_other_errors_raised(spark, out):
+    long = "no " * 2000
 
     def broken(batch, batch_id):
-        raise (OSError if batch_id == 1 else ValueError)("no")
+        raise (ValueError if batch_id == 1 else OSError)(long)
 
-    assert runtime.run_batch(spark.range(2), 1, broken, out, policy) == runtime.FAILURE and len(pauses) == 6
-    assert runtime.run_batch(spark.range(2), 2, broken, out, policy) == runtime.FAILURE and len(pauses) == 6
-    assert spark.read.parquet(f"{out}/failed").filter("error = 'no'").count() == 4
-    routes = {r.batch_id: (r.route, r.attempts) for r in spark.read.parquet(f"{out}/commits").collect()}
-    assert routes == {0: ("success", 4), 1: ("failure", 4), 2: ("failure", 1)}
+    assert runtime.run_batch(spark.range(2), 0, lambda b, i: None, out, (ValueError,)) == runtime.SUCCESS
+    assert runtime.run_batch(spark.range(2), 1, broken, out, (ValueError,)) == runtime.FAILURE
+    for faults in ((ValueError,), ()):
+        with pytest.raises(OSError):
+            runtime.run_batch(spark.range(2), 2, broken, out, faults)
+    assert [r.error for r in spark.read.parquet(f"{out}/failed").collect()] == [long] * 2
+    routes = {r.batch_id: (r.route, r.error) for r in spark.read.parquet(f"{out}/commits").collect()}
+    assert routes == {0: ("success", None), 1: ("failure", "ValueError")}
 
 
 def test_failed_batches_are_not_read(spark, out):
@@ -246,10 +255,40 @@ def test_failed_batches_are_not_read(spark, out):
             raise ValueError("after the first write")
 
     for i in range(3):
-        runtime.run_batch(spark.range(2), i, half, out)
+        runtime.run_batch(spark.range(2), i, half, out, (ValueError,))
     assert {r.batch_id for r in runtime.read_committed(spark, out, "history").collect()} == {0, 2}
 
 
+def test_jobs_with_state_leave_out_no_batch(spark, out):
+    for write in (SF.fragment_writer(out), ST.trajectory_writer(out, lambda b: b, ["dest"], "seq")):
+        with pytest.raises(ValueError, match="state"):
+            runtime.run_batch(spark.range(1), 0, write, out, (ValueError,))
+
+
+def test_waiting_fragments_outlive_gaps_and_repeats(spark, out):
+    schema = "fragment_identifier string, fragment_index string, fragment_count string, last_queue_ts long"
+    write = SF.fragment_writer(out, timeout_ms=50, now_ms=lambda: 1)
+    first, second = ([("a", str(i), "2", 1)] for i in (0, 1))
+    write(spark.createDataFrame(first, schema), 0)
+    assert [r.fragment_identifier for r in SF.expire(spark, out, 50, 100).collect()] == ["a"]
+    for _ in range(2):  # batch 1 never came, batch 2 is repeated
+        write(spark.createDataFrame(second, schema), 2)
+    ready = spark.read.parquet(f"{out}/ready").filter("batch_id = 2").collect()
+    assert sorted(r.fragment_index for r in ready) == ["0", "1"]
+
+
+def test_state_folders_are_replaced(spark, out):
+    import os
+
+    points = spark.createDataFrame([("a", i, i * 1000, float(i), 0.0) for i in range(12)], "dest string, seq long, recv_time_ts long, lon double, lat double")
+    write = ST.trajectory_writer(out, lambda b: b, ["dest"], "seq", scale=3, snapshot_every=2)
+    for i in range(6):
+        runtime.run_batch(points.filter(F.floor(F.col("seq") / 2) == i), i, write, out)
+    assert sorted(f for f in os.listdir(f"{out}/snapshots") if "=" in f) == ["upto=3", "upto=5"]
+    assert sorted(f for f in os.listdir(f"{out}/state") if "=" in f) == ["batch_id=4", "batch_id=5"]
+    assert spark.read.parquet(f"{out}/trajectory").agg(F.max("numSamples")).first()[0] == 12
+
+
 def _bucket_rows(batch):
     from chronoctx.operators import parse as P
 
