@@ -26,6 +26,8 @@ class Options:
     db_prefix: str = "sth_"
     collection_prefix: str = "sth_"
     swap_coordinates: bool = False
+    #: Rows of an attribute with ``TimeInstant`` metadata take their time from it.
+    time_instant: bool = False
 
     def __post_init__(self):
         if self.version not in ("v2", "ld"):

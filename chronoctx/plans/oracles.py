@@ -8,12 +8,33 @@ from __future__ import annotations
 
 from chronoctx import model as M
 from chronoctx.functions import vocab
-from chronoctx.functions.encode import DENIED, OLD_DENIED
 from chronoctx.functions.geo import EARTH_RADIUS_M, MERCATOR_RADIUS_M
 
 NOW_MS = 1705708800000
 PATH = f'"{M.SERVICE_PATH}"'
 
+# Fixed values, stated here on their own: what each encoder replaces.
+DENIED = {
+    "postgresql": "[^a-z0-9_]",
+    "mysql": "[^A-Za-z0-9_]",
+    "cassandra": "[^A-Za-z0-9_]",
+    "mongo_database": r'[A-Z/\\."$=]',
+    "mongo_collection": "[/$=]",
+    "hdfs": "[=/]",
+    "hdfs_path": "[=]",
+    "dynamo": r"[^A-Za-z0-9_.\-]",
+    "hive": "[^a-z0-9_]",
+    "kafka": r"[^A-Za-z0-9_.\-]",
+    "ckan": r"[^a-z0-9_\-]",
+}
+OLD_DENIED = {
+    "plain": r"[^a-zA-Z0-9.\-]",
+    "plain_slash": r"[^a-zA-Z0-9.\-/]",
+    "ld_table": "[^a-zA-Z0-9/]",
+    "sth_database": r'[=/\\.$" ]',
+    "sth_collection": "[=$]",
+}
+
 
 def enc(text: str, kind: str) -> str:
     """Reversible encoding, character by character."""

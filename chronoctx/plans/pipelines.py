@@ -69,6 +69,8 @@ def _names(parsed: DataFrame, opts: Options):
 
 
 def _row(rows: DataFrame, store: str, opts: Options) -> DataFrame:
+    if opts.time_instant and "md" in rows.columns:
+        rows = P.use_time_instant(rows)
     if store == "mongo":
         return L.mongo_row_documents(rows, opts)
     if store == "hdfs":

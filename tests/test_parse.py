@@ -227,6 +227,15 @@ def test_of_equal_headers_the_first_counts(spark):
     assert from_kafka(kafka).first().headers == {"a": "1"}
 
 
+def test_time_instant_is_an_option_of_pipelines(spark):
+    md = {"TimeInstant": {"type": "DateTime", "value": "2020-05-06T07:08:09.010Z"}}
+    body = {"data": [{"id": "e", "type": "T", "x": {"type": "N", "value": 1, "metadata": md}, "y": {"type": "N", "value": 2, "metadata": {}}}]}
+    rows = {r.attrName: r.recvTimeTs for r in history(raw(spark, body), "postgresql", Options(time_instant=True)).accepted.collect()}
+    assert rows["x"] == 1588748889010 and rows["y"] != rows["x"]
+    plain = history(raw(spark, body), "postgresql", Options()).accepted.collect()
+    assert {r.recvTimeTs for r in plain} == {rows["y"]}
+
+
 def test_repeated_attributes_are_rejected(spark):
     body = '{"data":[{"id":"e","type":"T","x":{"type":"N","value":1,"metadata":{}},"x":{"type":"N","value":2,"metadata":{}}}]}'
     df = spark.createDataFrame([(body,)], "body string").selectExpr("map() AS headers", "body", "timestamp'2024-01-01' AS ingest_ts")
