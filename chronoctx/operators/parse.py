@@ -52,10 +52,11 @@ def capture_headers(headers: Column) -> Column:
     return lower_headers(F.map_filter(headers, lambda k, _: F.lower(k).isin(*kept)))
 
 
-def _own_correlator() -> Column:
+def _own_correlator(df: DataFrame) -> Column:
     """A correlator made from the notification, so that every evaluation of the
     same notification gives the same one."""
-    digest = F.md5(F.concat_ws("\n", F.col("body"), F.col("ingest_ts").cast("string"), F.to_json(F.map_entries("headers"))))
+    body = F.col("body") if "body" in df.columns else F.lit("")
+    digest = F.md5(F.concat_ws("\n", body, F.col("ingest_ts").cast("string"), F.to_json(F.map_entries("headers"))))
     return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
@@ -75,7 +76,7 @@ def with_event_columns(df: DataFrame, opts: Options = Options()) -> DataFrame:
         "service_paths": F.split(
             F.when(F.lower(path) == "/nd", F.lit(opts.default_service_path)).otherwise(path), r"\s*,\s*"
         ),
-        "correlator": F.coalesce(headers[M.HEADER_CORRELATOR], _own_correlator()),
+        "correlator": F.coalesce(headers[M.HEADER_CORRELATOR], _own_correlator(df)),
         "recv_time_ts": F.unix_millis("ingest_ts"),
     }).drop("_headers")
 
