@@ -17,6 +17,13 @@ def page(
     return records.orderBy(*order).offset(offset).limit(limit)
 
 
+def page_after(records: DataFrame, last: Column | int | None, limit: int, order: str = "_id") -> DataFrame:
+    """The page behind the record ``last`` (None: the first page). However deep,
+    no task holds more than ``limit`` rows; ``page`` holds the offset's too."""
+    behind = records if last is None else records.filter(F.col(order) > last)
+    return behind.orderBy(order).limit(limit)
+
+
 def query_text(spark: SparkSession, statement: str, properties: dict[str, str] | None = None) -> DataFrame:
     """Rows of a stored query as comma-joined text."""
     result = run_statement(spark, statement, properties)

@@ -125,6 +125,7 @@ def test_params(spark):
 def test_page(spark):
     df = spark.range(50).withColumnRenamed("id", "_id").repartition(4)
     assert [r._id for r in H.page(df, 3, 4, F.col("_id") % 2 == 0).collect()] == [6, 8, 10, 12]
+    assert [r._id for r in H.page_after(df, None, 2).collect()] == [0, 1] and [r._id for r in H.page_after(df, 7, 3).collect()] == [8, 9, 10]
 
 
 # -- sinks ------------------------------------------------------------------
