@@ -8,8 +8,7 @@ one class; the join runs between classes, and copies are never expanded.
 2. In a bucket members are compared with leaders only. A member near a leader is
    absorbed, others become leaders; by the triangle inequality a wider radius
    around leaders holds every class that is similar to an absorbed one. What lies
-   in it becomes one candidate cluster, so a bucket of any size gives edges in
-   proportion to its members.
+   in it becomes one candidate cluster. A bucket gives one edge per member.
 3. Within a cluster, in blocks, pairs compare their MinHash values step by step.
    A pair is dropped when the posterior probability that its similarity reaches
    the threshold falls below the tolerance; all others are verified exactly.
@@ -155,21 +154,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cluster_bucket(rows: pa.Table) -> pa.Table:
-    """Edges between the members of a bucket and their leaders."""
+    """The components of a bucket's members and leaders, one edge per member."""
     order = np.argsort(rows.column("rep").to_numpy(), kind="stable")
     reps = rows.column("rep").to_numpy()[order]
     sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)[order]
-    left, u, v = np.arange(len(reps)), [], []
+    left, root = np.arange(len(reps)), np.arange(len(reps))
     while len(left):
         leader, rest = left[0], left[1:]
         # Members absorbed earlier may be near this leader too.
         equal = (sketch == sketch[leader]).sum(axis=1)
-        near = np.flatnonzero(equal >= NEAR_LEADER)
-        near = near[near != leader]
-        u.append(np.full(len(near), reps[leader]))
-        v.append(reps[near])
+        met = np.unique(root[equal >= NEAR_LEADER])
+        if len(met) > 1:
+            root[np.isin(root, met)] = met[0]
         left = rest[equal[rest] < ABSORBED]
-    return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
+    hung = np.flatnonzero(root != np.arange(len(reps)))
+    return pa.table({"u": reps[hung], "v": reps[root[hung]]})
 
 
 def _sorted_by_key(rows: DataFrame, n: int) -> DataFrame:
