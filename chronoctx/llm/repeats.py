@@ -36,6 +36,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from chronoctx.llm.common import partitions, text_of
@@ -156,7 +157,8 @@ def _name(place: int, phrase: bytes) -> int:
     return xxhash.xxh64_intdigest(phrase, place)
 
 
-_PHRASES = "shard int, block int, names binary, triggers binary, places binary, lengths binary, docs binary, content binary"
+#: ``docs`` and ``content`` are compressed; names follow from the content.
+_PHRASES = "shard int, block int, triggers binary, places binary, lengths binary, docs binary, content binary"
 
 
 def _phrases(n_shards: int):
@@ -175,8 +177,7 @@ def _phrases(n_shards: int):
                     known[name] = [trigger, place - first, own, phrase]
                 elif own < seen[2]:
                     seen[2] = own
-        names = np.fromiter(known, np.uint64, len(known))
-        values = list(known.values())
+        values, packer = list(known.values()), zstandard.ZstdCompressor(level=3)
         triggers = np.array([v[0] for v in values], np.uint64)
         order, shard = _by_shard(triggers, n_shards)
         shards, starts = np.unique(shard[order], return_index=True)
@@ -185,12 +186,12 @@ def _phrases(n_shards: int):
             part = order[a:b]
             some = [values[i] for i in part.tolist()]
             for column, value in zip(out, (
-                number, key[0].as_py(), names[part].tobytes(), triggers[part].tobytes(),
+                number, key[0].as_py(), triggers[part].tobytes(),
                 np.array([v[1] for v in some], np.uint8).tobytes(), np.array([len(v[3]) for v in some], np.uint8).tobytes(),
-                np.array([v[2] for v in some], np.int64).tobytes(), b"".join(v[3] for v in some),
+                packer.compress(np.array([v[2] for v in some], np.int64).tobytes()), packer.compress(b"".join(v[3] for v in some)),
             )):
                 out[column].append(value)
-        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 6
+        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
         return pa.table({c: pa.array(v, kind) for (c, v), kind in zip(out.items(), kinds)})
 
     return run
@@ -244,34 +245,36 @@ def smallest_documents(triggers: np.ndarray, places: np.ndarray, lengths: np.nda
 
 def _resolve(key: tuple, rows: pa.Table) -> pa.Table:
     """Step 2 in a shard: ``block, names, hashes, counts, smallest`` of each
-    block's phrases, without those that no other document shares."""
+    block's phrases."""
     rows = rows.to_pylist()
     number: dict[int, int] = {}
     parts: list[list] = []
+    asked: list[list[int]] = []
     for row in rows:
-        at = 0
-        values = zip(*(np.frombuffer(row[c], kind).tolist() for c, kind in (
-            ("names", np.uint64), ("triggers", np.uint64), ("places", np.uint8), ("lengths", np.uint8), ("docs", np.int64))))
-        for name, trigger, place, length, doc in values:
+        at, own = 0, []
+        content = zstandard.decompress(row["content"])
+        docs = np.frombuffer(zstandard.decompress(row["docs"]), np.int64).tolist()
+        for trigger, place, length, doc in zip(np.frombuffer(row["triggers"], np.uint64).tolist(), row["places"], row["lengths"], docs):
+            phrase = content[at:at + length]
+            at += length
+            name = _name(place, phrase)
+            own.append(name)
             i = number.get(name)
             if i is None:
                 number[name] = len(parts)
-                parts.append([trigger, place, length, doc, row["content"][at:at + length], 1])
-            else:
-                parts[i][5] += 1
-                if doc < parts[i][3]:
-                    parts[i][3] = doc
-            at += length
+                parts.append([trigger, place, length, doc, phrase])
+            elif doc < parts[i][3]:
+                parts[i][3] = doc
+        asked.append(own)
     columns = list(zip(*parts))
     found = smallest_documents(
         np.array(columns[0], np.uint64), np.array(columns[1], np.int64), np.array(columns[2], np.int64),
         np.array(columns[3], np.int64), np.frombuffer(b"".join(columns[4]), np.uint8))
     out: dict[str, list] = {"block": [], "names": [], "hashes": [], "counts": [], "smallest": []}
-    for row in rows:
-        names = np.frombuffer(row["names"], np.uint64)
-        mine = [found[number[name]] for name in names.tolist()]
+    for row, own in zip(rows, asked):
+        mine = [found[number[name]] for name in own]
         out["block"].append(row["block"])
-        out["names"].append(row["names"])
+        out["names"].append(np.array(own, np.uint64).tobytes())
         out["hashes"].append(row["triggers"])
         out["counts"].append(np.array([len(m) for m in mine], np.uint8).tobytes())
         out["smallest"].append(np.concatenate(mine).tobytes())
