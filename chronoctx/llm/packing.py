@@ -43,13 +43,26 @@ MAX_WORDS = 1 << 19
 #: White space as the tokenizer's own rules have it.
 _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
-#: Words that are one part, or one part and a mark, to the tokenizer.
-_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,])?")
+_LETTERS = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_NUMBERS = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+#: The tokenizer's own parts, for texts of the first 256 characters.
+_PARTS = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
+
+
+def _narrow(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class Tokens:
-    """A tokenizer whose parts never span white space: words are encoded once and
-    remembered. Unknown plain words go to the tokenizer in one text."""
+    """A tokenizer that remembers what it made of a part. Parts never span white
+    space. Texts of the first 256 characters are lower-cased and split here, and
+    unknown parts go to the tokenizer in one text, as each ends with one token
+    that marks a part's end. Of other texts it gets every unknown word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,35 +72,32 @@ class Tokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-
-    def learn(self, words: list[str]) -> None:
-        plain, parts, other = [], [], []
-        for word in words:
-            match = _PLAIN.fullmatch(word)
-            if match:
-                plain.append(word)
-                parts.append(2 if match[1] else 1)
-            else:
-                other.append(word)
-        for i in range(0, len(plain), 4096):
-            some = plain[i:i + 4096]
+        self.known: dict[str, bytes] = {}
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for i in range(0, len(parts), 4096):
+            some = parts[i:i + 4096]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1)[np.cumsum(parts[i:i + 4096]) - 1] * 4
-            data, start = ids.tobytes(), 0
-            for word, cut in zip(some, cuts.tolist()):
-                self.words[word] = data[start:cut]
-                start = cut
-        for word, encoded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.words[word] = array("I", encoded.ids).tobytes()
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            data = ids.tobytes()
+            self.known.update(zip(some, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
+
+    def _learn_words(self, words: list[str]) -> None:
+        for word, encoded in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self.known[word] = array("I", encoded.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.words) > MAX_WORDS:
-            self.words.clear()
-        split = [_SPACE.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        self.learn(list(set().union(*split) - self.words.keys()))
-        known = self.words.__getitem__
+        if len(self.known) > MAX_WORDS:
+            self.known.clear()
+        narrow = [_narrow(t) for t in texts]
+        split = [
+            _PARTS.findall(t.lower()) if n else _SPACE.split(t) if _ODD_SPACE.search(t) else t.split()
+            for t, n in zip(texts, narrow)
+        ]
+        self._learn_parts(list(set().union(*(s for s, n in zip(split, narrow) if n)).difference(self.known)))
+        self._learn_words(list(set().union(*(s for s, n in zip(split, narrow) if not n)).difference(self.known)))
+        known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
 
