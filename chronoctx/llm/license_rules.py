@@ -2,8 +2,10 @@
 
 A rule is written for normalised text: lower-case words of letters and digits,
 one space between them, so "GPL-3.0-or-later" reads ``gpl 3 0 or later``. Each
-line holds the label, the priority (0 to 100, also the confidence), the word
-that a text must have for the rule to be tried, and the pattern.
+line holds the label, the priority (0 to 100, also the confidence), the keywords
+and the pattern. The rule is tried on texts with one of its keywords as a whole
+word, so every match of the pattern must have one: a keyword for each branch and
+for each form that joins words ("gpl2", "gplv 2").
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from typing import NamedTuple
 class Rule(NamedTuple):
     label: str
     priority: int
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern
 
 
@@ -30,10 +32,10 @@ gpl-3.0 88 gnu version 3(?: 0)? of the gnu general public license
 gpl-3.0-or-later 94 gnu gnu general public license(?: as published by the free software foundation)?(?: either)? version 3(?: of the license)? or at your option any later version
 gpl-3.0-or-later 93 gnu gnu general public license version 3(?: 0)? or later
 gpl 70 gpl (?:released|licensed|distributed|available|published|covered) under (?:the )?(?:terms of the )?(?:gnu )?gpl
-gpl-2.0 86 gpl gpl ?v? ?2(?: 0)?(?: only)?
-gpl-2.0-or-later 91 gpl gpl ?v? ?2(?: 0)? or later
-gpl-3.0 86 gpl gpl ?v? ?3(?: 0)?(?: only)?
-gpl-3.0-or-later 91 gpl gpl ?v? ?3(?: 0)? or later
+gpl-2.0 86 gpl,gplv,gpl2,gplv2 gpl ?v? ?2(?: 0)?(?: only)?
+gpl-2.0-or-later 91 gpl,gplv,gpl2,gplv2 gpl ?v? ?2(?: 0)? or later
+gpl-3.0 86 gpl,gplv,gpl3,gplv3 gpl ?v? ?3(?: 0)?(?: only)?
+gpl-3.0-or-later 91 gpl,gplv,gpl3,gplv3 gpl ?v? ?3(?: 0)? or later
 gpl-2.0 86 gplv2 gplv2(?: 0)?
 gpl-2.0-or-later 91 gplv2 gplv2 or (?:any )?later
 gpl-3.0 86 gplv3 gplv3(?: 0)?
@@ -57,10 +59,10 @@ lgpl-2.1-or-later 95 gnu gnu lesser general public license(?: as published by th
 lgpl-3.0 92 gnu gnu lesser general public license(?: as published by the free software foundation)?(?: either)? version 3(?: 0)?
 lgpl-3.0-or-later 95 gnu gnu lesser general public license(?: as published by the free software foundation)?(?: either)? version 3(?: of the license)? or (?:at your option )?(?:any )?later
 lgpl 80 gnu gnu lesser general public license
-lgpl-2.1 87 lgpl lgpl ?v? ?2 1(?: only)?
-lgpl-2.1-or-later 91 lgpl lgpl ?v? ?2 1 or later
-lgpl-3.0 87 lgpl lgpl ?v? ?3(?: 0)?(?: only)?
-lgpl-3.0-or-later 91 lgpl lgpl ?v? ?3(?: 0)? or later
+lgpl-2.1 87 lgpl,lgplv,lgpl2,lgplv2 lgpl ?v? ?2 1(?: only)?
+lgpl-2.1-or-later 91 lgpl,lgplv,lgpl2,lgplv2 lgpl ?v? ?2 1 or later
+lgpl-3.0 87 lgpl,lgplv,lgpl3,lgplv3 lgpl ?v? ?3(?: 0)?(?: only)?
+lgpl-3.0-or-later 91 lgpl,lgplv,lgpl3,lgplv3 lgpl ?v? ?3(?: 0)? or later
 lgpl-2.1 87 lgplv2 lgplv2(?: 1)?
 lgpl-3.0 87 lgplv3 lgplv3
 lgpl-2.1 97 spdx spdx license identifier lgpl 2 1(?: only)?
@@ -72,8 +74,8 @@ agpl-1.0 90 affero affero general public license version 1
 agpl-3.0 92 affero (?:gnu )?affero general public license(?: as published by the free software foundation)?(?: either)? version 3(?: 0)?
 agpl-3.0-or-later 95 affero (?:gnu )?affero general public license(?: as published by the free software foundation)?(?: either)? version 3(?: of the license)? or (?:at your option )?(?:any )?later
 agpl 82 affero gnu affero general public license
-agpl-3.0 87 agpl agpl ?v? ?3(?: 0)?(?: only)?
-agpl-3.0-or-later 91 agpl agpl ?v? ?3(?: 0)? or later
+agpl-3.0 87 agpl,agplv,agpl3,agplv3 agpl ?v? ?3(?: 0)?(?: only)?
+agpl-3.0-or-later 91 agpl,agplv,agpl3,agplv3 agpl ?v? ?3(?: 0)? or later
 agpl-3.0 87 agplv3 agplv3
 agpl-3.0 97 spdx spdx license identifier agpl 3 0(?: only)?
 agpl-3.0-or-later 98 spdx spdx license identifier agpl 3 0 or later
@@ -140,23 +142,23 @@ mpl-1.1 90 mozilla mozilla public license(?: version| v)? 1 1
 mpl-2.0 92 mozilla mozilla public license(?: version| v)? 2 0
 mpl-2.0 96 mozilla subject to the terms of the mozilla public license v 2 0
 mpl 78 mozilla mozilla public license
-mpl-1.1 86 mpl mpl ?v? ?1 1
-mpl-2.0 86 mpl mpl ?v? ?2(?: 0)?
+mpl-1.1 86 mpl,mplv,mpl1,mplv1 mpl ?v? ?1 1
+mpl-2.0 86 mpl,mplv,mpl2,mplv2 mpl ?v? ?2(?: 0)?
 mpl-2.0 97 spdx spdx license identifier mpl 2 0
 epl-1.0 90 eclipse eclipse public license(?: version| v)? 1 0
 epl-2.0 92 eclipse eclipse public license(?: version| v)? 2 0
 epl 78 eclipse eclipse public license
 edl-1.0 90 eclipse eclipse distribution license(?: version| v)?(?: 1 0)?
-epl-1.0 86 epl epl ?v? ?1 0
-epl-2.0 86 epl epl ?v? ?2 0
+epl-1.0 86 epl,eplv,epl1,eplv1 epl ?v? ?1 0
+epl-2.0 86 epl,eplv,epl2,eplv2 epl ?v? ?2 0
 epl-2.0 97 spdx spdx license identifier epl 2 0
 cddl-1.0 90 cddl cddl(?: version| v)?(?: 1 0)?
 cddl-1.1 91 cddl cddl(?: version| v)? 1 1
 cddl 86 distribution common development and distribution license
 cpl-1.0 88 common common public license(?: version 1 0)?
 ipl-1.0 88 ibm ibm public license(?: version 1 0)?
-eupl-1.1 90 eupl eupl ?v? ?1 1
-eupl-1.2 90 eupl eupl ?v? ?1 2
+eupl-1.1 90 eupl,euplv,eupl1,euplv1 eupl ?v? ?1 1
+eupl-1.2 90 eupl,euplv,eupl1,euplv1 eupl ?v? ?1 2
 eupl 85 european european union public licen[cs]e
 osl-3.0 90 open open software license(?: version| v)? 3 0
 osl 76 open open software license
@@ -169,7 +171,7 @@ artistic 78 artistic (?:the )?artistic license
 artistic-2.0 97 spdx spdx license identifier artistic 2 0
 artistic-perl 84 perl (?:same|the) terms as perl(?: itself)?
 unlicense 90 unlicense (?:the )?unlicense
-unlicense 94 encumbered this is free and unencumbered software released into the public domain
+unlicense 94 unencumbered this is free and unencumbered software released into the public domain
 unlicense 97 spdx spdx license identifier unlicense
 wtfpl 92 wtfpl wtfpl(?: version 2)?
 wtfpl 92 fuck do what the fuck you want to public license
@@ -180,7 +182,7 @@ bsl-1.0 97 spdx spdx license identifier bsl 1 0
 busl-1.1 92 business business source license(?: version)?(?: 1 1)?
 busl-1.1 97 spdx spdx license identifier busl 1 1
 sspl-1.0 92 server server side public license(?: version| v)?(?: 1(?: 0)?)?
-sspl-1.0 86 sspl sspl(?: ?v? ?1(?: 0)?)?
+sspl-1.0 86 sspl,ssplv,sspl1,ssplv1 sspl(?: ?v? ?1(?: 0)?)?
 elastic-2.0 92 elastic elastic license(?: version| v)? 2(?: 0)?
 elastic 80 elastic elastic license
 commons-clause 92 clause commons clause(?: license condition| restriction)?
@@ -189,7 +191,7 @@ polyform-shield 90 polyform polyform shield(?: license)?(?: 1 0 0)?
 polyform 76 polyform polyform
 parity 84 parity parity public license(?: \\d)*
 ncsa 90 ncsa (?:university of illinois )?(?:ncsa )?open source license ncsa|ncsa(?: open source)? license
-psf-2.0 90 python (?:python software foundation|psf) license(?: agreement)?(?: version 2)?
+psf-2.0 90 python,psf (?:python software foundation|psf) license(?: agreement)?(?: version 2)?
 python-2.0 88 python python license(?: 2 0)?
 php-3.01 90 php php license(?: version)? 3 01
 php-3.0 89 php php license(?: version)? 3 0(?! 1)
@@ -206,7 +208,7 @@ ms-rl 90 microsoft microsoft reciprocal license
 ms-pl 84 ms ms pl
 ms-rl 84 ms ms rl
 apsl-2.0 88 apple apple public source license(?: version)?(?: 2 0)?
-qpl-1.0 88 qt q public license(?: version 1 0)?|qt public license
+qpl-1.0 88 qt,q q public license(?: version 1 0)?|qt public license
 sleepycat 88 sleepycat sleepycat(?: public)? license
 watcom-1.0 88 watcom sybase open watcom public license
 intel 76 intel intel open source license
@@ -218,7 +220,7 @@ ofl-1.1 97 spdx spdx license identifier ofl 1 1
 bitstream-vera 86 bitstream bitstream vera(?: fonts)? (?:copyright|license)
 unicode-dfs 88 unicode unicode(?: inc)? license agreement(?: data files and software)?
 odbl-1.0 92 database open (?:data commons open )?database license(?: odbl)?(?: v?1 0)?
-odbl-1.0 86 odbl odbl(?: ?v? ?1 0)?
+odbl-1.0 86 odbl,odblv,odbl1,odblv1 odbl(?: ?v? ?1 0)?
 odc-by-1.0 92 attribution open data commons attribution license(?: v?1 0)?
 odc-by-1.0 86 odc odc by(?: 1 0)?
 pddl-1.0 92 pddl pddl(?: 1 0)?
@@ -227,7 +229,7 @@ cdla-permissive 90 cdla cdla permissive(?: \\d 0)?
 cdla-sharing 90 cdla cdla sharing(?: 1 0)?
 cdla 84 community community data license agreement
 ogl-3.0 90 government open government licen[cs]e(?: v?3(?: 0)?)?
-etalab-2.0 90 etalab (?:etalab(?: open licen[cs]e)?|licence ouverte)(?: 2 0)?
+etalab-2.0 90 etalab,ouverte (?:etalab(?: open licen[cs]e)?|licence ouverte)(?: 2 0)?
 dl-de-by-2.0 90 datenlizenz datenlizenz deutschland namensnennung(?: version)?(?: 2 0)?
 cc0-1.0 92 cc0 cc0(?: 1 0)?(?: universal)?
 cc0-1.0 94 creative creative commons (?:zero|cc0)(?: v?1 0)?(?: universal)?
@@ -290,8 +292,8 @@ all-rights-reserved 62 rights all rights reserved
 
 
 def _rule(line: str) -> Rule:
-    label, priority, keyword, pattern = line.split(" ", 3)
-    return Rule(label, int(priority), keyword.encode(), re.compile(rb"(?<![^ ])(?:" + pattern.encode() + rb")(?![^ ])"))
+    label, priority, keywords, pattern = line.split(" ", 3)
+    return Rule(label, int(priority), tuple(keywords.encode().split(b",")), re.compile(rb"(?<![^ ])(?:" + pattern.encode() + rb")(?![^ ])"))
 
 
 #: In order: of equal detections the earlier rule's stays.

@@ -38,7 +38,8 @@ _NORMAL = bytes(
 _BASE = [(label, phrase.split()[0], re.compile(rb"(?<![^ ])" + phrase + rb"(?![^ ])")) for label, phrase in PHRASES]
 _BY_KEYWORD: dict[bytes, list[int]] = defaultdict(list)
 for _i, _r in enumerate(RULES):
-    _BY_KEYWORD[_r.keyword].append(_i)
+    for _k in _r.keywords:
+        _BY_KEYWORD[_k].append(_i)
 _KEYWORDS = frozenset(_BY_KEYWORD) | {keyword for _, keyword, _ in _BASE}
 
 
@@ -82,7 +83,7 @@ def scan(text: str) -> tuple[int, list[tuple[int, str]], list[tuple[int, int, in
         word += normal.count(b" ", at, start)
         at = start
         base.append((word, label))
-    rules = sorted(i for keyword in hits for i in _BY_KEYWORD.get(keyword, ()))
+    rules = sorted({i for keyword in hits for i in _BY_KEYWORD.get(keyword, ())})
     found = [(m.start(), m.end(), i) for i in rules for m in RULES[i].pattern.finditer(normal)]
     return len(words), base, kept_detections(found)
 

@@ -1,5 +1,6 @@
 import random
 import re
+from re import _constants as kinds, _parser as parser
 
 from chronoctx.llm import licenses
 from chronoctx.llm.license_rules import RULES
@@ -58,3 +59,39 @@ def test_documents(spark):
     assert by_id[20].base_labels == "gpl,mit" and by_id[20].labels == "gpl,gpl-3.0,mit"
     assert (by_id[20].n_base, by_id[20].first_word, by_id[20].last_word) == (2, 3, 6)
     assert licenses.scan_licenses(empty(spark)).collect() == []
+
+
+def forms(parsed):
+    """Texts that a pattern matches: every branch, with and without each option."""
+    out = [""]
+    for kind, value in parsed:
+        if kind is kinds.LITERAL:
+            ends = [chr(value)]
+        elif kind is kinds.IN:
+            ends = ["7" if v is kinds.CATEGORY_DIGIT else "w" if k is kinds.CATEGORY else chr(v) for k, v in value]
+        elif kind is kinds.SUBPATTERN:
+            ends = forms(value[3])
+        elif kind is kinds.BRANCH:
+            ends = [f for branch in value[1] for f in forms(branch)]
+        elif kind is kinds.MAX_REPEAT:
+            least, most, inner = value
+            ends = [f * n for f in forms(inner) for n in range(least, min(most, least + 1) + 1)]
+        else:
+            assert kind in (kinds.ASSERT, kinds.ASSERT_NOT)
+            ends = [""]
+        out = [start + end for start in out for end in ends]
+    return out
+
+
+def test_keywords_lose_no_form_of_any_rule():
+    for rule in RULES:
+        for form in forms(parser.parse(rule.pattern.pattern)):
+            for text in (form, f"see {form} here"):
+                normal = b" ".join(licenses.words_of(text))
+                ungated = [(m.start(), m.end(), i) for i, r in enumerate(RULES) for m in r.pattern.finditer(normal)]
+                assert licenses.scan(text)[2] == licenses.kept_detections(ungated), text
+    labels = lambda text: {RULES[i].label for _, _, i in licenses.scan(text)[2]}
+    assert labels("distributed under the Q Public License version 1.0") == {"qpl-1.0"}
+    assert labels("This is free and unencumbered software released into the public domain.") >= {"unlicense"}
+    assert labels("GPL3") == {"gpl-3.0"} and labels("LGPL2.1") == {"lgpl-2.1"} and labels("PSF license") == {"psf-2.0"}
+    assert labels("Licence Ouverte 2.0") == {"etalab-2.0"} and labels("MPLv2") == {"mpl-2.0"} and labels("EUPL1.2") == {"eupl-1.2"}
