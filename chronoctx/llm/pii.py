@@ -4,6 +4,7 @@ adjust their score. Column expressions only.
 Patterns are leftmost and non-overlapping within a kind. They are written with
 possessive repeats and anchors at the start of a run, which match the same
 spans as the plain forms in one pass without backtracking or deep recursion.
+Account numbers are confirmed before they are matched, so what is none hides none.
 
 Positions count code points. A null text counts as empty and has no spans;
 rows stand alone, so repeated rows, ties and clashing extra columns are
@@ -23,15 +24,19 @@ from chronoctx.llm.common import let, text_of
 #: Positions are summed in runs of this many spans, so a text with very many
 #: spans costs n * RUN steps rather than n * n.
 RUN = 128
-#: Context is looked for in this many characters before a span.
+#: Context is looked for in this many characters before a span, whatever they are.
 NEAR = 40
+#: Every match has two characters or more, so as many earlier ones reach NEAR back.
+NEAR_MATCHES = NEAR // 2
 
 
 @dataclass(frozen=True)
 class Kind:
     """``gate`` is a cheap test that a text can have such a span at all;
     ``valid`` confirms a match; ``score`` is its weight, ``lift`` what a context
-    word adds. Spans below ``least`` are dropped."""
+    word adds. Spans below ``least`` are dropped. ``confirmed`` makes of a text
+    the pattern of its confirmed spans, for a kind whose unconfirmed matches could
+    reach into another span."""
 
     name: str
     gate: Callable[[Column], Column]
@@ -41,6 +46,7 @@ class Kind:
     context: str
     lift: float = 0.0
     least: float = 0.0
+    confirmed: Callable[[Column], Column] | None = None
 
 
 def digits_of(match: Column) -> Column:
@@ -86,6 +92,46 @@ def _iban(match: Column) -> Column:
     return let(F.regexp_replace(match, " ", ""), lambda c: F.when(F.length(c).between(15, 34), mod97(c)).otherwise(F.lit(False)))
 
 
+#: Countries by the length of their account numbers.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_COUNTRIES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+
+
+def _iban_forms() -> str:
+    """Each country's number in groups of four, with or without spaces; of other
+    countries the longest that can be one."""
+    forms = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}(?![A-Za-z0-9])")
+    other = rf"(?!{_COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}+(?:\x20?[A-Z0-9]{{1,3}})?+"
+    return "|".join([*forms, other])
+
+
+_IBAN_START = r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}[\x20A-Z0-9])"
+#: Takes only the first four characters, so each place that can begin a number is seen.
+_IBAN = rf"{_IBAN_START}(?=({_iban_forms()}))[A-Z]{{2}}[0-9]{{2}}"
+
+
+def _confirmed_ibans(text: Column) -> Column:
+    """A pattern of the account numbers in a text, longer ones before those they
+    begin with. Of a country without a known length every cut is tried."""
+    def cuts(longest: Column) -> Column:
+        return F.when(longest.rlike(f"^(?:{_COUNTRIES})"), F.array(longest)).otherwise(F.transform(
+            F.sequence(F.lit(1), F.length(longest)), lambda n: F.rtrim(F.substring(longest, F.lit(1), n))))
+
+    found = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(_IBAN), F.lit(1)), cuts))
+    return let(F.sort_array(F.filter(F.array_distinct(found), _iban), asc=False), lambda codes: F.when(
+        F.size(codes) > 0, F.concat(F.lit(f"{_IBAN_START}(?:"), F.array_join(codes, "|"), F.lit(")(?![A-Za-z0-9])")),
+    ).otherwise(F.lit("(?!)")))
+
+
 def _has_digit(text: Column) -> Column:
     return text.rlike("[0-9]")
 
@@ -106,9 +152,8 @@ BASE = (
 #: Kinds of the method: mod-97 confirms account numbers, context words carry
 #: social security numbers, whose form alone says little.
 ADDED = (
-    Kind("iban", _has_digit,
-         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", _iban, 0.9,
-         r"(?i)\b(iban|account|bank|konto|compte|cuenta)\b", 0.1),
+    Kind("iban", lambda t: t.rlike(_IBAN), _IBAN, lambda m: F.lit(True), 0.9,
+         r"(?i)\b(iban|account|bank|konto|compte|cuenta)\b", 0.1, confirmed=_confirmed_ibans),
     Kind("ssn", _has_digit, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda m: ~m.rlike("^(000|666|9)"), 0.3,
          r"(?i)\b(ssn|social security|tax id|steuernummer)\b", 0.5, 0.5),
 )
@@ -148,7 +193,7 @@ def spans_of_kind(text: Column, kind: Kind, order: int) -> Column:
             at = start + F.length(gap)
             return F.struct(
                 at.alias("start"), F.lit(order).alias("kind"), (at + F.length(match)).alias("end"),
-                _score(kind, gap).alias("score"), kind.valid(match).alias("valid"),
+                _score(kind, pair, i).alias("score"), kind.valid(match).alias("valid"),
             )
 
         return F.filter(F.transform(before, span), lambda s: s["valid"] & (s["score"] >= kind.least))
@@ -163,15 +208,28 @@ def spans_of_kind(text: Column, kind: Kind, order: int) -> Column:
 
 
 def _matches(text: Column, kind: Kind) -> Column:
-    """All matches and the parts between them, one part more than matches."""
-    return F.struct(
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"),
-        F.split(text, kind.pattern, -1).alias("gaps"),
-    )
+    """All matches and the parts between them, one part more than matches, and
+    the last characters of each part with the match after it."""
+    def cut(pattern: Column) -> Column:
+        return F.struct(
+            F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+
+    def with_ends(pair: Column) -> Column:
+        ends = F.transform(pair["found"], lambda m, i: F.right(F.concat(F.get(pair["gaps"], i), m), F.lit(NEAR)))
+        return F.struct(pair["found"].alias("found"), pair["gaps"].alias("gaps"), ends.alias("ends"))
+
+    return let(let(kind.confirmed(text), cut) if kind.confirmed else cut(F.lit(kind.pattern)), with_ends)
+
+
+def _before(pair: Column, i: Column) -> Column:
+    """The characters before match ``i`` that context is looked for in."""
+    gap, first = F.get(pair["gaps"], i), F.greatest(i - NEAR_MATCHES, F.lit(0))
+    earlier = F.array_join(F.slice(pair["ends"], first + 1, i - first), "")
+    return F.right(F.when(F.length(gap) < NEAR, F.concat(earlier, gap)).otherwise(gap), F.lit(NEAR))
 
 
-def _score(kind: Kind, gap: Column) -> Column:
-    near = F.right(gap, F.lit(NEAR)).rlike(kind.context)
+def _score(kind: Kind, pair: Column, i: Column) -> Column:
+    near = _before(pair, i).rlike(kind.context)
     return F.round(F.lit(kind.score) + F.when(near, F.lit(kind.lift)).otherwise(0.0), 3)
 
 
@@ -192,11 +250,11 @@ def _mask_kind(kind: Kind, text: Column) -> Column:
     def rebuilt(pair: Column) -> Column:
         found, gaps = pair["found"], pair["gaps"]
 
-        def tagged(match: Column, gap: Column) -> Column:
-            return F.when(kind.valid(match) & (_score(kind, gap) >= kind.least), F.lit(f"[{kind.name.upper()}]")).otherwise(match)
+        def tagged(match: Column, i: Column) -> Column:
+            return F.when(kind.valid(match) & (_score(kind, pair, i) >= kind.least), F.lit(f"[{kind.name.upper()}]")).otherwise(match)
 
         parts = F.transform(gaps, lambda gap, i: F.concat(
-            gap, F.when(i < F.size(found), tagged(F.get(found, i), gap)).otherwise("")))
+            gap, F.when(i < F.size(found), tagged(F.get(found, i), i)).otherwise("")))
         return F.when(F.size(found) > 0, F.array_join(parts, "")).otherwise(text)
 
     return F.when(kind.gate(text), let(_matches(text, kind), rebuilt)).otherwise(text)

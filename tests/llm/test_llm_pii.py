@@ -64,3 +64,38 @@ def test_masking_leaves_the_rest_alone(spark):
 def test_no_python_on_the_way(spark):
     plan = pii.masked_documents(hostile(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_account_numbers_beside_other_words(spark):
+    es, at, se, de = "ES9121000418450200051332", "AT611904300234573201", "SE45 5000 0000 0583 9825 7466", "DE89 3704 0044 0532 0130 00"
+    other = next(f"ZZ{i:02d}12345678901234" for i in range(2, 99) if int(f"123456789012343535{i:02d}") % 97 == 1)
+    cases = {
+        f"IBAN {es} BIC CAIXESBB": [es], f"{at} EUR": [at], f"{se} BANK X": [se], f"{es} {at} {se}": [es, at, se],
+        f"{de} 12 EUR": [de], f"AT12 {de}, {es}0": [de], f"😀 {other} BANK {other}": [other, other], f"{de[:-1]}1 {at}": [at],
+        f"{other}, {other} EUROpe": [other, other], f"AB12 {es} and {es}": [es, es],
+    }
+    docs = hostile(spark, list(cases), extra=False).where("doc_id is not null").distinct()
+    spans = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(docs)).collect()}
+    texts = {r.doc_id: r.text for r in pii.masked_documents(docs).collect()}
+    for i, (text, codes) in enumerate(cases.items()):
+        want, masked, at_ = [], text, 0
+        for code in codes:
+            at_ = text.index(code, at_)
+            want.append(f"iban:{at_}:{at_ + len(code)}")
+            at_ += len(code)
+            masked = masked.replace(code, "[IBAN]")
+        assert [s for s in spans[i].split(",") if s.startswith("iban")] == want, text
+        assert texts[i].count("[IBAN]") == len(codes), texts[i]
+    assert texts[0] == "IBAN [IBAN] BIC CAIXESBB" and texts[3] == "[IBAN] [IBAN] [IBAN]"
+
+
+def test_context_reaches_over_earlier_matches(spark):
+    texts = ["SSN: 123-45-6789, 234-56-7890", "SSN: 123-45-6789, 234-56-7890, 345-67-8901, 456-78-9012",
+             "ssn" + "x" * 40 + " 123-45-6789, 234-56-7890", "card 11 22 33, 44, 55, 66, 77, 4111 1111 1111 1111"]
+    docs = hostile(spark, texts, extra=False).where("doc_id is not null").distinct()
+    rows = {r.doc_id: (r.spans, r.scores) for r in pii.digest(pii.find_personal_data(docs)).collect()}
+    assert rows[0] == ("ssn:5:16,ssn:18:29", "0.8,0.8")
+    assert rows[1] == ("ssn:5:16,ssn:18:29,ssn:31:42", "0.8,0.8,0.8")  # 44 characters lie before the fourth
+    assert rows[2] == ("", "") and rows[3] == ("card:31:50", "1.0")
+    clean = {r.doc_id: r.text for r in pii.masked_documents(docs).collect()}
+    assert clean[0] == "SSN: [SSN], [SSN]"
