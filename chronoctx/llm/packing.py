@@ -10,7 +10,8 @@ After each epoch every island sends its elite to the next one. A cell's best
 packing is its result. A cell leaves at most about one sequence part empty.
 
 A null or empty text is one piece, the end token. Very long texts become many
-pieces, which are dealt out like any others. Equal rows are pieces of their own.
+pieces, which are dealt out like any others. Added tokens that stand in a text
+("<|endoftext|>") are those tokens, as the tokenizer has it. Equal rows are pieces of their own.
 Ids may be null. Extra columns are not read; an empty table gives an empty
 result.
 """
@@ -62,13 +63,22 @@ class Tokens:
     """A tokenizer that remembers what it made of a part. Parts never span white
     space. Texts of the first 256 characters are lower-cased and split here, and
     unknown parts go to the tokenizer in one text, as each ends with one token
-    that marks a part's end. Of other texts it gets every unknown word."""
+    that marks a part's end. Of other texts it gets every unknown word.
 
-    def __init__(self, path: str):
+    With ``added``, texts are cut at the tokenizer's added tokens first and those
+    get their own ids, as the tokenizer does unless told otherwise; without, they
+    are spelled like any other text."""
+
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        known = self.tokenizer.get_added_tokens_decoder() if added else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in known.values()):
+            raise ValueError("added tokens that depend on the text around them are not supported")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in known.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -88,6 +98,13 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if not self.added:
+            return self._encode(texts)
+        cut = [self.cut.split(t) for t in texts]  # every second one is an added token
+        plain = iter(self._encode([p for parts in cut for p in parts[::2]]))
+        return [b"".join(self.added[p] if i % 2 else next(plain) for i, p in enumerate(parts)) for parts in cut]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > MAX_WORDS:
             self.known.clear()
         narrow = [_narrow(t) for t in texts]
@@ -110,7 +127,7 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
 
     def run(columns):
         if path not in _TOKENS:
-            _TOKENS[path] = Tokens(path)
+            _TOKENS[path] = Tokens(path, added=True)
         for doc_id, ids in zip(columns[0], _TOKENS[path].encode(columns[1])):
             ids += end
             for piece, start in enumerate(range(0, len(ids) // 4, CAPACITY)):

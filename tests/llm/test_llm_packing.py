@@ -62,3 +62,20 @@ def test_evolution_keeps_every_piece_and_never_gets_worse():
     child = packing.crossover(start[0], start[1], lengths, chance)
     assert sorted(i for _, group in child for i in group) == list(range(400))
     assert packing._from_bytes(packing._to_bytes(child, 400), lengths) != [] and packing.evolve([[]], [], chance) == [[]]
+
+
+def test_added_tokens_in_a_text_have_their_own_ids(spark):
+    plain, chance = Tokenizer.from_file(PATH), random.Random(4)
+    some = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", " ", "a", "é", "\u0301", "漢", "'s", "7", "\x1c"]
+    texts = ["".join(chance.choice(some) for _ in range(chance.randrange(12))) for _ in range(2000)]
+    texts += ["one <|endoftext|> two<|startoftext|>x", "<|endoftext|>" * 3000]
+    tokens = packing.Tokens(PATH, added=True)
+    for text, ids in zip(texts, tokens.encode(texts)):
+        assert array("I", ids).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    rows = packing.pieces(hostile(spark, texts[-12:], extra=False).where("doc_id is not null").distinct(), PATH).collect()
+    want = []
+    for i, text in enumerate(texts[-12:]):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 0]
+        want += [(i, k, s, len(ids[s:s + 2048]), zlib.crc32(array("I", ids[s:s + 2048]).tobytes())) for k, s in enumerate(range(0, len(ids), 2048))]
+    assert sorted(map(tuple, rows)) == sorted(want)
+    assert [r.length for r in rows if r.doc_id == 10] == [6]
