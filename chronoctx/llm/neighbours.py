@@ -9,7 +9,8 @@ reach. The candidates of the opened leaves are ranked by their exact cosines.
 The forest is fitted on at most ``SAMPLE`` vectors, taken by hash, and every
 vector is indexed. Its reach is set so that, within the sample, searches find the
 share ``AIM`` of the true neighbours; among more vectors neighbours are nearer
-and more of them within reach. Equal vectors are indexed once, with the smallest
+and more of them within reach. What rounding alone could have put beyond a split,
+or behind the last of the nearest, is looked at too. Equal vectors are indexed once, with the smallest
 ``k + 1`` of their ids: no others can be among the nearest ``k``. Each leaf holds
 more sample vectors than a search has to return, so none ends short.
 
@@ -40,8 +41,8 @@ TRIALS = 128
 #: Rows of a leaf that are compared at a time; larger leaves are split at random.
 CHUNK = 4096
 QUERY_BLOCK = 256
-#: Candidates beyond k whose cosines are computed again, exactly.
-SLACK = 8
+#: Margins and cosines that differ by less may differ by rounding only.
+ROUNDING = 1e-12
 
 
 class Tree:
@@ -130,7 +131,12 @@ class Forest:
                 margins[t][leaf] = margin
             needed.append(np.min([m[home[wanted]] for m, home in zip(margins, homes)], axis=0))
         found = np.sort(np.concatenate(needed))
-        return float(found[min(len(found) - 1, int(np.ceil(AIM * len(found))) - 1)])
+        return max(_rounding(vectors), float(found[min(len(found) - 1, int(np.ceil(AIM * len(found))) - 1)]))
+
+
+def _rounding(vectors: np.ndarray) -> float:
+    """How far two computations of a dot product of unit vectors may differ, at most."""
+    return max(ROUNDING, 4 * (vectors.shape[1] + 8) * np.finfo(float).eps)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -201,11 +207,13 @@ def _rank(k: int):
         if queries.num_rows and rows.num_rows:
             asks, have = _matrix(queries.column("vec")), _matrix(rows.column("vec"))
             query_ids, row_ids = queries.column("rep").to_numpy(), rows.column("rep").to_numpy()
-            unit, most = _unit(have), min(len(have), k + 1 + SLACK)
+            unit, most, bound = _unit(have), min(len(have), k + 1), _rounding(have)
             for start in range(0, len(asks), QUERY_BLOCK):
                 block = asks[start:start + QUERY_BLOCK]
-                near = np.argpartition(-(_unit(block) @ unit.T), most - 1, axis=1)[:, :most]
-                for i, picked in enumerate(near):
+                likeness = _unit(block) @ unit.T
+                last = np.partition(likeness, -most, axis=1)[:, -most]
+                for i in range(len(block)):
+                    picked = np.flatnonzero(likeness[i] >= last[i] - bound)
                     scores = cosines(block[i], have[picked])
                     best = np.lexsort((row_ids[picked], -scores))[: k + 1]
                     out.append((np.full(len(best), query_ids[start + i]), row_ids[picked][best], scores[best]))

@@ -50,3 +50,15 @@ def test_recall_against_brute_force(spark):
     assert hits >= 0.9 * 5 * len(got)
     exact = {q: dict(v) for q, v in want.items()}
     assert all(s == exact[q].get(i, s) for q, v in got.items() for i, s in v)
+
+
+def test_scaled_copies_tie_as_in_brute_force(spark):
+    prepare(spark)
+    chance = np.random.default_rng(5)
+    for others in (0, 300):
+        one = chance.normal(size=16)
+        rows = [(int(i), (one * s).tolist()) for i, s in zip(chance.permutation(400), chance.uniform(0.1, 9, 400))]
+        rows += [(1000 + i, chance.normal(size=16).tolist()) for i in range(others)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        want = {i: v for i, v in brute(rows, 5).items() if i < 400}
+        assert found(neighbours.nearest(df, lambda i: i < 400)) == want
