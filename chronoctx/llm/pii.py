@@ -24,9 +24,9 @@ from chronoctx.llm.common import let, text_of
 #: Positions are summed in runs of this many spans, so a text with very many
 #: spans costs n * RUN steps rather than n * n.
 RUN = 128
-#: Context is looked for in this many characters before a span, whatever they are.
+#: Context is looked for in this many characters on each side of a span, whatever they are.
 NEAR = 40
-#: Every match has two characters or more, so as many earlier ones reach NEAR back.
+#: Every match has two characters or more, so as many neighbouring ones reach as far as NEAR.
 NEAR_MATCHES = NEAR // 2
 
 
@@ -209,14 +209,16 @@ def spans_of_kind(text: Column, kind: Kind, order: int) -> Column:
 
 def _matches(text: Column, kind: Kind) -> Column:
     """All matches and the parts between them, one part more than matches, and
-    the last characters of each part with the match after it."""
+    the last characters of each part with the match after it, the first ones of
+    each match with the part after it."""
     def cut(pattern: Column) -> Column:
         return F.struct(
             F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps"))
 
     def with_ends(pair: Column) -> Column:
         ends = F.transform(pair["found"], lambda m, i: F.right(F.concat(F.get(pair["gaps"], i), m), F.lit(NEAR)))
-        return F.struct(pair["found"].alias("found"), pair["gaps"].alias("gaps"), ends.alias("ends"))
+        heads = F.transform(pair["found"], lambda m, i: F.left(F.concat(m, F.get(pair["gaps"], i + 1)), F.lit(NEAR)))
+        return F.struct(pair["found"].alias("found"), pair["gaps"].alias("gaps"), ends.alias("ends"), heads.alias("heads"))
 
     return let(let(kind.confirmed(text), cut) if kind.confirmed else cut(F.lit(kind.pattern)), with_ends)
 
@@ -228,8 +230,15 @@ def _before(pair: Column, i: Column) -> Column:
     return F.right(F.when(F.length(gap) < NEAR, F.concat(earlier, gap)).otherwise(gap), F.lit(NEAR))
 
 
+def _after(pair: Column, i: Column) -> Column:
+    """The characters after match ``i`` that context is looked for in."""
+    gap = F.get(pair["gaps"], i + 1)
+    later = F.array_join(F.slice(pair["heads"], i + 2, F.lit(NEAR_MATCHES)), "")
+    return F.left(F.when(F.length(gap) < NEAR, F.concat(gap, later)).otherwise(gap), F.lit(NEAR))
+
+
 def _score(kind: Kind, pair: Column, i: Column) -> Column:
-    near = _before(pair, i).rlike(kind.context)
+    near = _before(pair, i).rlike(kind.context) | _after(pair, i).rlike(kind.context)
     return F.round(F.lit(kind.score) + F.when(near, F.lit(kind.lift)).otherwise(0.0), 3)
 
 

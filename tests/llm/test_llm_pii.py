@@ -89,6 +89,17 @@ def test_account_numbers_beside_other_words(spark):
     assert texts[0] == "IBAN [IBAN] BIC CAIXESBB" and texts[3] == "[IBAN] [IBAN] [IBAN]"
 
 
+def test_context_stands_on_either_side(spark):
+    texts = ["123-45-6789 is my SSN", "123-45-6789, 234-56-7890 are tax id s", "123-45-6789 " + "x" * 40 + " ssn",
+             "4111 1111 1111 1111 by visa", "123-45-6789 " + "x" * 36 + " ssn", "é" * 9 + "123-45-6789,\n234-56-7890 (social security)"]
+    docs = hostile(spark, texts, extra=False).where("doc_id is not null").distinct()
+    rows = {r.doc_id: (r.spans, r.scores) for r in pii.digest(pii.find_personal_data(docs)).collect()}
+    assert rows[0] == ("ssn:0:11", "0.8") and rows[1] == ("ssn:0:11,ssn:13:24", "0.8,0.8")
+    assert rows[2] == ("", "") and rows[3] == ("card:0:19", "1.0") and rows[4] == ("", "")
+    assert rows[5] == ("ssn:9:20,ssn:22:33", "0.8,0.8")
+    assert {r.doc_id: r.text for r in pii.masked_documents(docs).collect()}[0] == "[SSN] is my SSN"
+
+
 def test_context_reaches_over_earlier_matches(spark):
     texts = ["SSN: 123-45-6789, 234-56-7890", "SSN: 123-45-6789, 234-56-7890, 345-67-8901, 456-78-9012",
              "ssn" + "x" * 40 + " 123-45-6789, 234-56-7890", "card 11 22 33, 44, 55, 66, 77, 4111 1111 1111 1111"]
