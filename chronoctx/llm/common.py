@@ -33,6 +33,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """A name that no column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is evaluated once however often the body
     uses it; a lambda variable is the one binding that column expressions have."""

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chronoctx.llm.common import partitions, row_key, text_of
+from chronoctx.llm.common import free_name, partitions, row_key, text_of
 from chronoctx.llm.perfect_hash import PerfectHash
 from chronoctx.plans.session import store
 
@@ -128,9 +128,9 @@ def _marks(lines: DataFrame, frequent: DataFrame) -> DataFrame:
         mark, "k struct<a:bigint,b:bigint>, drop array<boolean>")
 
 
-def _marked(docs: DataFrame, least: int) -> DataFrame:
-    """``docs`` with ``_line_drop``: which of its lines at least ``least`` documents have."""
-    spark = docs.sparkSession
+def _marked(docs: DataFrame, least: int, drop: str = "_line_drop") -> DataFrame:
+    """``docs`` with a column ``drop``: which of its lines at least ``least`` documents have."""
+    spark, key = docs.sparkSession, free_name(docs, "_line_key")
     shape = docs.select(row_key("doc_id", "text").alias("k"), _hashes(text_of("text")).alias("hashes"))
     dealt = DEAL * partitions(spark)
     # Written once: the lines are counted, asked for and marked from these rows.
@@ -147,21 +147,22 @@ def _marked(docs: DataFrame, least: int) -> DataFrame:
     marks = (
         _marks(lines.select("block", "k", "hashes"), _frequent(probes, index, least))
         .groupBy("k").agg(F.first("drop").alias("drop"))
-        .select(F.struct("k.a", "k.b").alias("_line_key"), F.col("drop").alias("_line_drop"))
+        .select(F.struct("k.a", "k.b").alias(key), F.col("drop").alias(drop))
     )
-    keyed = docs.withColumn("_line_key", row_key("doc_id", "text"))
-    return keyed.join(marks.hint("shuffle_hash"), "_line_key", "left").drop("_line_key")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    return keyed.join(marks.hint("shuffle_hash"), key, "left").drop(key)
 
 
-def _kept() -> Column:
+def _kept(drop: str = "_line_drop") -> Column:
     return F.array_join(F.filter(
-        F.split(text_of("text"), "\n", -1), lambda _, i: ~F.coalesce(F.get("_line_drop", i), F.lit(False))), "\n")
+        F.split(text_of("text"), "\n", -1), lambda _, i: ~F.coalesce(F.get(drop, i), F.lit(False))), "\n")
 
 
 def drop_frequent_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     """``docs`` with the columns it has, but ``text`` without the lines that at
     least ``least`` documents have, and ``n_chars``, if there is one, set anew."""
-    out = _marked(docs, least).withColumn("text", _kept()).select(*docs.columns)
+    drop = free_name(docs, "_line_drop")
+    out = _marked(docs, least, drop).withColumn("text", _kept(drop)).drop(drop)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chronoctx.llm.common import map_rows, partitions, row_key, text_of
+from chronoctx.llm.common import free_name, map_rows, partitions, row_key, text_of
 from chronoctx.llm.components import components
 from chronoctx.plans.session import store
 
@@ -351,14 +351,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id."""
     seen, known = _members(docs)
+    key = free_name(docs, "_near_key")
     kept = (
         seen.select("doc_id", "row", "k", "a", "b").join(known.select("a", "b", "root"), ["a", "b"])
         .groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "k")).alias("first"))
-        .select(F.col("first.k").alias("_near_key"))
+        .select(F.col("first.k").alias(key))
     )
     return (
-        docs.withColumn("_near_key", row_key("doc_id", "text")).join(kept.hint("shuffle_hash"), "_near_key", "left_semi")
-        .dropDuplicates(["_near_key"]).drop("_near_key")
+        docs.withColumn(key, row_key("doc_id", "text")).join(kept.hint("shuffle_hash"), key, "left_semi")
+        .dropDuplicates([key]).drop(key)
     )
 
 

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chronoctx.llm.common import map_rows, text_of
+from chronoctx.llm.common import free_name, map_rows, text_of
 from chronoctx.plans.session import store
 
 CAPACITY = 2048
@@ -251,13 +251,14 @@ def _epoch(number: int):
 
 def pack(cut: DataFrame) -> DataFrame:
     """``cut`` (pieces of at most the capacity) with ``sequence_id`` and ``offset``."""
-    numbered = store(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    row, place = free_name(cut, "_row"), free_name(cut, "_cell")
+    numbered = store(cut.withColumn(row, F.monotonically_increasing_id()), "pieces")
     n_cells = max(1, -(-numbered.where(F.col("length") < CAPACITY).count() // CELL_PIECES))
-    numbered = numbered.withColumn("_cell", F.pmod(F.xxhash64("_row"), F.lit(n_cells)).cast("int"))
+    numbered = numbered.withColumn(place, F.pmod(F.xxhash64(row), F.lit(n_cells)).cast("int"))
     lengths = (
-        numbered.where(F.col("length") < CAPACITY).groupBy("_cell")
-        .agg(F.array_sort(F.collect_list(F.struct("_row", "length"))).alias("rows"))
-        .select(F.col("_cell").alias("cell"), F.transform("rows", lambda r: r["length"].cast("int")).alias("lengths"))
+        numbered.where(F.col("length") < CAPACITY).groupBy(place)
+        .agg(F.array_sort(F.collect_list(F.struct(row, "length"))).alias("rows"))
+        .select(F.col(place).alias("cell"), F.transform("rows", lambda r: r["length"].cast("int")).alias("lengths"))
     )
 
     def start(columns):
@@ -288,7 +289,7 @@ def pack(cut: DataFrame) -> DataFrame:
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
 
     def assign(key: tuple, rows: pa.Table, chosen: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_row")
+        rows = rows.sort_by(row)
         size = rows.column("length").to_numpy()
         cell, part = key[0].as_py(), size < CAPACITY
         number = np.empty(len(size), np.int64)
@@ -304,7 +305,7 @@ def pack(cut: DataFrame) -> DataFrame:
         out = rows.select(columns.names)
         return out.append_column("sequence_id", pa.array((cell << 32) + number)).append_column("offset", pa.array(offset))
 
-    return numbered.groupBy("_cell").cogroup(best.groupBy("_cell")).applyInArrow(
+    return numbered.groupBy(place).cogroup(best.groupBy("_cell")).applyInArrow(
         assign, f"{shape}, sequence_id long, offset long")
 
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chronoctx.llm.common import let, text_of
+from chronoctx.llm.common import free_name, let, text_of
 
 MAX_ROWS = 12_000
 TREES = 60
@@ -206,7 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     rows = (
         docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(sample), "doc_id")
         .select("label", statistics(F.col("text")).alias("s")).select("label", "s.*")
-        .orderBy(*STATISTICS, "label").limit(max_rows).collect()
+        .orderBy(F.xxhash64(*STATISTICS, "label"), *STATISTICS, "label").limit(max_rows)
+        .orderBy(*STATISTICS, "label").collect()  # repeated ids can give more rows than were taken
     )
     x = np.array([[r[name] for name in STATISTICS] for r in rows], dtype=float).reshape(-1, len(STATISTICS))
     return fit_rules(x, np.array([r["label"] for r in rows], dtype=float))
@@ -221,5 +222,6 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that the model takes for good ones, as they are."""
-    stats = docs.withColumn("_quality_statistics", statistics(text_of("text")))
-    return stats.where(model.column(F.col("_quality_statistics")) >= 0.5).drop("_quality_statistics")
+    name = free_name(docs, "_quality_statistics")
+    stats = docs.withColumn(name, statistics(text_of("text")))
+    return stats.where(model.column(F.col(name)) >= 0.5).drop(name)
