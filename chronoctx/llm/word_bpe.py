@@ -47,11 +47,15 @@ from chronoctx.llm.common import map_rows, text_of
 
 #: Words and token pairs that a worker remembers.
 MAX_WORDS, MAX_PAIRS = 1 << 19, 1 << 21
-#: Words that are encoded between two looks at the size of the tables.
+#: Arcs that the automaton gets beyond those of its tokens.
+MAX_ARCS = 1 << 21
+#: Parts that are encoded between two looks at the size of the tables.
 RUN = 1 << 15
 #: What the symbol of a byte is raised by at a word's end.
 END = 256
 FOREVER = float("inf")
+#: White space to Python, but not to the vocabulary's patterns.
+_NO_SPACE = frozenset("\x1c\x1d\x1e\x1f")
 
 
 def byte_letters() -> list[str]:
@@ -63,19 +67,6 @@ def byte_letters() -> list[str]:
     return [letters[b] if b in letters else chr(next(others)) for b in range(256)]
 
 
-def unassigned() -> re.Pattern:
-    """The characters that ``unicodedata`` does not know. Later versions of Unicode
-    give them classes and cases."""
-    runs: list[list[int]] = []
-    for c in range(0x110000):
-        if unicodedata.category(chr(c)) == "Cn":
-            if runs and runs[-1][1] == c - 1:
-                runs[-1][1] = c
-            else:
-                runs.append([c, c])
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]")
-
-
 class Merges:
     """The ranks of merges, the halves of tokens and who may stand beside whom."""
 
@@ -83,7 +74,8 @@ class Merges:
         #: Per token: what it was merged from and when; symbols have rank -1.
         self.halves, self.ranks = halves, ranks
         self.pairs = {pair: ranks[token] for token, pair in enumerate(halves) if pair}
-        self.known: dict[tuple[int, int], bool] = {}
+        #: What was found before, by both tokens in one number.
+        self.known: dict[int, bool] = {}
         for token, pair in enumerate(halves):
             if pair and max(ranks[pair[0]], ranks[pair[1]]) >= ranks[token]:
                 raise ValueError("a token is merged before its halves are")
@@ -106,12 +98,9 @@ class Merges:
 
     def stand(self, left: int, right: int) -> bool:
         """Whether encoding the two tokens' joined symbols gives these two."""
-        pair = (left, right)
-        found = self.known.get(pair)
-        if found is None:
-            if len(self.known) >= MAX_PAIRS:
-                self.known.clear()
-            found = self.known[pair] = self._stand(left, right)
+        if len(self.known) >= MAX_PAIRS:
+            self.known.clear()
+        found = self.known[left << 32 | right] = self._stand(left, right)
         return found
 
 
@@ -122,6 +111,7 @@ class Suffixes:
     def __init__(self, tokens: list[tuple[str, int]]):
         self.arcs: list[dict[str, int]] = [{}]
         self.token: list[int] = [-1]
+        self.depth: list[int] = [0]
         for symbols, number in tokens:
             node = 0
             for symbol in symbols:
@@ -130,10 +120,12 @@ class Suffixes:
                     following = len(self.arcs)
                     self.arcs.append({})
                     self.token.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                     self.arcs[node][symbol] = following
                 node = following
             self.token[node] = number
         self.link = [0] * len(self.arcs)
+        self.room = 0
         #: The nearest node on the way through the links, itself included, where a token ends.
         self.ends = [0] * len(self.arcs)
         queue = deque(self.arcs[0].values())
@@ -143,12 +135,28 @@ class Suffixes:
             for symbol, child in self.arcs[node].items():
                 self.link[child] = self.step(self.link[node], symbol)
                 queue.append(child)
+        self.room = MAX_ARCS
+        self.chains: list[tuple[tuple[int, int], ...] | None] = [None] * len(self.arcs)
 
     def step(self, node: int, symbol: str) -> int:
-        arcs, link = self.arcs, self.link
+        """Where a symbol leads; an arc over the links is added when it is first taken."""
+        arcs, link, start = self.arcs, self.link, node
         while node and symbol not in arcs[node]:
             node = link[node]
-        return arcs[node].get(symbol, 0)
+        target = arcs[node].get(symbol, 0)
+        if self.room:
+            self.room -= 1
+            arcs[start][symbol] = target
+        return target
+
+    def chain(self, node: int) -> tuple[tuple[int, int], ...]:
+        """The tokens that end at a node, longest first, with their lengths; found once."""
+        found, place = [], self.ends[node]
+        while place:
+            found.append((self.token[place], self.depth[place]))
+            place = self.ends[self.link[place]]
+        self.chains[node] = tuple(found)
+        return self.chains[node]
 
 
 class Vocabulary:
@@ -195,25 +203,27 @@ class Vocabulary:
         if len(splits) != 1 or [n["type"] for n in content["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("this way to normalise or split texts is not supported")
         self.pattern = explicit(splits[0]["pattern"]["Regex"])
-        self.unknown, self._own = unassigned(), None
+        #: Characters seen that Python's tables have an entry for.
+        self.settled: set[str] = set()
+        self._own = None
 
     def last_tokens(self, word: str) -> list[int]:
         """For each prefix of a word, its last token; the word's own at the end."""
         data = word.encode("utf-8", "surrogatepass").decode("latin-1")
-        suffixes, stand, lengths = self.suffixes, self.merges.stand, self.lengths
-        arcs, token_at, ends, link = suffixes.arcs, suffixes.token, suffixes.ends, suffixes.link
+        arcs, step, chains, chain_of = self.suffixes.arcs, self.suffixes.step, self.suffixes.chains, self.suffixes.chain
+        seen, stand = self.merges.known.get, self.merges.stand
         last: list[int] = []
         node = 0
         for i, symbol in enumerate(data[:-1] + chr(ord(data[-1]) + END)):
             following = arcs[node].get(symbol)
-            node = suffixes.step(node, symbol) if following is None else following
-            place = ends[node]
-            while True:
-                token = token_at[place]
-                before = i - lengths[token]
-                if before < 0 or stand(last[before], token):
+            node = step(node, symbol) if following is None else following
+            for token, length in chains[node] or chain_of(node):
+                if i < length:
+                    break
+                left = last[i - length]
+                fits = seen(left << 32 | token)
+                if stand(left, token) if fits is None else fits:
                     break
-                place = ends[link[place]]
             last.append(token)
         return last
 
@@ -225,62 +235,78 @@ class Vocabulary:
             i -= self.lengths[last[i]]
         return out[::-1]
 
-    def _split(self, text: str) -> Iterator[str]:
-        if not text.isascii():
-            if self.unknown.search(text):
-                yield from self._split_by_file(text)
+    def parts(self, text: str) -> Iterator[str | tuple[str]]:
+        """A text between white space, normalised; a word by itself in a tuple
+        where the text holds characters that are not settled."""
+        chars = set(text)
+        for char in chars - self.settled:
+            if unicodedata.category(char) == "Cn":
+                yield from self._words_by_file(text)
                 return
+            self.settled.add(char)
+        if not text.isascii():
             # A lower-case sigma is the same everywhere in a word, unlike in str.lower.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
-        if len(text) > 1 << 20:
-            yield from (m[0] for m in self.pattern.finditer(text))
+        if chars.isdisjoint(_NO_SPACE):
+            yield from text.split()
         else:
-            yield from self.pattern.findall(text)
+            yield from (m[0] for m in self.pattern.finditer(text))
 
-    def _split_by_file(self, text: str) -> Iterator[str]:
+    def _words_by_file(self, text: str) -> Iterator[tuple[str]]:
         if self._own is None:
             from tokenizers import Tokenizer
 
             self._own = Tokenizer.from_file(self.path), {letter: b for b, letter in enumerate(byte_letters())}
         rules, byte_of = self._own
         for piece, _ in rules.pre_tokenizer.pre_tokenize_str(rules.normalizer.normalize_str(text)):
-            yield bytes(map(byte_of.__getitem__, piece)).decode()
+            yield (bytes(map(byte_of.__getitem__, piece)).decode(),)
 
-    def words(self, text: str) -> Iterator[str | int]:
-        """The words of a text; added tokens that stand in it as their ids."""
+    def cut_up(self, text: str) -> Iterator[str | tuple[str] | int]:
+        """The parts of a text; added tokens that stand in it as their ids."""
         if self.cut is None or not any(token in text for token in self.added):
-            yield from self._split(text)
+            yield from self.parts(text)
             return
         for i, part in enumerate(self.cut.split(text)):
             if i % 2:
                 yield self.added[part]
             else:
-                yield from self._split(part)
+                yield from self.parts(part)
 
     def decode(self, ids) -> str:
         return " ".join(map(self.spelled.__getitem__, ids))
 
 
 class Coder(dict):
-    """Packed ids and their decoded text by word, for words seen before."""
+    """Packed ids and their decoded text by part, for parts seen before."""
 
     def __init__(self, path: str):
         super().__init__()
         self.vocabulary = Vocabulary(path)
+        self.words: dict[str, tuple[int, ...]] = {}
 
-    def __missing__(self, word: str | int) -> tuple[bytes, str]:
-        ids = [word] if isinstance(word, int) else self.vocabulary.encode_word(word)
-        found = self[word] = array("I", ids).tobytes(), self.vocabulary.decode(ids)
+    def __missing__(self, part: str | tuple[str] | int) -> tuple[bytes, str]:
+        if isinstance(part, int):
+            ids = [part]
+        else:
+            ids = []
+            # Letters alone are one word.
+            for word in part if isinstance(part, tuple) else (part,) if part.isalpha() else self.vocabulary.pattern.findall(part):
+                known = self.words.get(word)
+                if known is None:
+                    known = self.words[word] = tuple(self.vocabulary.encode_word(word))
+                ids += known
+        found = self[part] = array("I", ids).tobytes(), self.vocabulary.decode(ids)
         return found
 
     def encode_stream(self, text: str) -> Iterator[tuple[bytes, str]]:
-        """Packed ids and decoded text, in runs of words."""
-        words = self.vocabulary.words(text)
+        """Packed ids and decoded text, in runs of parts."""
+        parts = self.vocabulary.cut_up(text)
         while True:
-            if len(self) > MAX_WORDS:
-                self.clear()
-            run = list(map(self.__getitem__, islice(words, RUN)))
+            for table in (self, self.words):
+                if len(table) > MAX_WORDS:
+                    table.clear()
+            run = list(map(self.__getitem__, islice(parts, RUN)))
             if not run:
                 return
             ids, texts = zip(*run)
