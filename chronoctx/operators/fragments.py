@@ -8,10 +8,24 @@ from pyspark.sql import functions as F
 READY, WAIT, INVALID = "READY", "WAIT", "INVALID"
 
 
-def _integer(text: Column) -> Column:
+#: What can be wrong with one fragment, counts before indices.
+FAULTS = ("count-missing", "count-not-an-integer", "count-not-positive", "index-missing", "index-not-an-integer", "index-negative")
+
+
+def integer(text: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int"))
 
 
+def faults(index: Column, count: Column) -> dict[str, Column]:
+    """A condition, never null, for each of ``FAULTS``."""
+    total, place = integer(count), integer(index)
+    found = (
+        count.isNull(), count.isNotNull() & total.isNull(), total < 1,
+        index.isNull(), index.isNotNull() & place.isNull(), place < 0,
+    )
+    return {name: F.coalesce(condition, F.lit(False)) for name, condition in zip(FAULTS, found)}
+
+
 def fragment_status(
     df: DataFrame, now_ms: int, timeout_ms: int | None = None,
     identifier: str = "fragment_identifier", index: str = "fragment_index", count: str = "fragment_count",
@@ -23,19 +37,12 @@ def fragment_status(
     first in the order below is the reason. Fragments are combined per (identifier,
     index) before they are combined per identifier.
     """
-    total, place = _integer(F.col(count)), _integer(F.col(index))
-    flags = {
-        "count-missing": F.col(count).isNull(),
-        "count-not-an-integer": F.col(count).isNotNull() & total.isNull(),
-        "count-not-positive": total < 1,
-        "index-missing": F.col(index).isNull(),
-        "index-not-an-integer": F.col(index).isNotNull() & place.isNull(),
-        "index-negative": place < 0,
-    }
+    total, place = integer(F.col(count)), integer(F.col(index))
+    flags = faults(F.col(index), F.col(count))
     names = {reason: f"_{i}" for i, reason in enumerate(flags)}
     per_index = df.groupBy(identifier, place.alias("_place")).agg(
         F.count("*").alias("_rows"), F.min(total).alias("_low"), F.max(total).alias("_high"),
-        F.max(queued).alias("_queued"), *[F.max(F.coalesce(flag, F.lit(False))).alias(names[r]) for r, flag in flags.items()],
+        F.max(queued).alias("_queued"), *[F.max(flag).alias(names[r]) for r, flag in flags.items()],
     )
     whole = per_index.groupBy(identifier).agg(
         F.sum("_rows").alias("fragments"), F.min("_low").alias("_low"), F.max("_high").alias("expected"),

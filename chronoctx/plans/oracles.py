@@ -443,6 +443,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, round({MERCATOR_RADIUS_M!r} * radians(lon), 2) AS x, round({MERCATOR_RADIUS_M!r} * ln(tan(pi() / 4 + radians(lat) / 2)), 2) AS y, CAST(3857 AS BIGINT) AS srid FROM p""",
         "latest_per_destination": f"""WITH {AR} SELECT 'web' AS dest_db, {by_path} AS dest_table, name AS attr_name, arg_max(eid, event_id) AS entity_id, max(event_id) AS event_id,
             arg_max(ms, event_id) AS recv_time_ts FROM ar GROUP BY ALL""",
+        "stored_retention": f"WITH {RECORDS} SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY dest ORDER BY _id DESC) <= 500",
+        "stored_age": f"WITH {RECORDS} SELECT * FROM rec WHERE recv_ms >= {NOW_MS} - 864000000",
+        "stored_prefix": f"""WITH {RECORDS}, f AS (SELECT dest, min(_id) AS first_live FROM rec WHERE recv_ms >= {NOW_MS} + 864000000 - 604800000 GROUP BY dest)
+            SELECT rec.* FROM rec JOIN f USING (dest) WHERE _id >= first_live""",
+        "stored_bytes": f"""WITH {RECORDS} SELECT * FROM rec QUALIFY sum(strlen(props)) OVER (PARTITION BY dest ORDER BY _id DESC) <= 6000
+            AND row_number() OVER (PARTITION BY dest ORDER BY _id DESC) <= 900""",
+        "stored_delete": f"WITH {RECORDS} SELECT * FROM rec WHERE _id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)",
+        "file_statistics": f"WITH {RECORDS} SELECT strftime(make_timestamp(recv_ms * 1000), '%Y-%m-%d') AS day, count(*) AS n_rows, min(recv_ms) AS low, max(recv_ms) AS high FROM rec GROUP BY 1",
+        "atomic_append": f"""WITH {EV} SELECT event_id, a AS "{M.ATTR_NAME}", '' AS reject_reason FROM ev, unnest(['value', 'kind', 'props']) t(a) WHERE event_id % 5 <> 0
+            UNION ALL SELECT event_id, '', 'malformed-notification' FROM ev WHERE event_id % 5 = 0""",
         "page_read": f"WITH {RECORDS} SELECT * FROM rec WHERE dest = 'click' ORDER BY _id LIMIT 25 OFFSET 40",
         "existing_row_counts": f"WITH {RECORDS} SELECT dest, count(*) AS n_rows FROM rec GROUP BY dest",
         "retain_newest": f"WITH {RECORDS} SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY dest ORDER BY _id DESC) <= 500",
@@ -477,6 +487,14 @@ def oracle_sql() -> dict[str, str]:
         "fragments_status": f"WITH {FRAGMENTS} SELECT id AS fragment_identifier, n AS fragments, status, reason FROM fs",
         "fragments_ready": READY,
         "stream_fragments": READY,
+        "stream_fragments_mixed": """WITH s AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS l, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
+            SELECT CAST(k AS VARCHAR) AS fragment_identifier, CASE k % 40 WHEN 10 THEN '' WHEN 11 THEN 'x1' WHEN 12 THEN CAST(-l AS VARCHAR) WHEN 13 THEN '0' ELSE CAST(l - 1 AS VARCHAR) END AS fragment_index,
+            CASE WHEN k % 40 = 1 THEN 'two' WHEN k % 40 = 2 THEN '0' WHEN k % 40 = 3 THEN CAST(n + l AS VARCHAR) ELSE CAST(n AS VARCHAR) END AS fragment_count,
+            CASE WHEN k % 40 = 1 THEN 'count-not-an-integer' WHEN k % 40 = 2 THEN 'count-not-positive' WHEN k % 40 = 3 THEN 'count-inconsistent'
+              WHEN k % 40 = 10 THEN 'index-missing' WHEN k % 40 = 11 THEN 'index-not-an-integer' WHEN k % 40 = 12 THEN 'index-negative'
+              WHEN k % 40 = 13 AND n > 1 THEN 'index-duplicate' ELSE '' END AS reason
+            FROM s WHERE k % 40 NOT IN (0, 4, 5, 6, 7, 8, 9) AND NOT (k % 40 = 3 AND n = 1)""",
+        "failed_rows": "SELECT event_id, CASE WHEN event_id % 4999 = 7 THEN 'failed' ELSE 'committed' END AS outcome FROM events",
         "json_valid": """WITH t AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN props WHEN 1 THEN substr(props, 1, event_id % 11 + 1) ELSE '[' || event_id % 5 || CASE WHEN event_id % 2 = 0 THEN ']' ELSE '' END END AS s FROM events)
             SELECT event_id, CAST(CASE WHEN regexp_matches(s, '^[{\\[]') AND json_valid(s) THEN 1 ELSE 0 END AS BIGINT) AS valid FROM t""",
         "sql_functions": f"""WITH {EV} SELECT event_id, {enc("('/' || event_type || '=X' || user_id)", 'postgresql')} AS name,

@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import NumberFormatException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chronoctx import model as M
 from chronoctx import options as O
@@ -35,6 +37,8 @@ from chronoctx.options import Options
 from chronoctx.plans.pipelines import history
 from chronoctx.plans.session import shared_dir, store
 from chronoctx.sinks import files
+from chronoctx.sinks import maintenance as MT
+from chronoctx.sinks import versions as V
 from chronoctx.sources import adapters as A
 from chronoctx.sources import history as H
 from chronoctx.sources.adapters import spread
@@ -892,11 +896,96 @@ def header_capture(spark, d):
     )
 
 
+# -- stored tables ----------------------------------------------------------
+
+_DAILY = {"partitions": ("recv_day",), "order": ("dest", "_id"), "time_ms": "recv_ms"}
+
+
+def _stored_records(spark, d) -> tuple[str, DataFrame]:
+    """The records as a table of versions: two appends, partitioned by day."""
+    root = work_dir(spark, "store")
+    records = files.with_day(_records(spark, d), "recv_ms")
+    for part in (0, 1):
+        V.commit(spark, root, {"records": records.filter(F.col("_id") % 2 == part)}, **_DAILY)
+    return root, records
+
+
+def _stored(spark, root: str) -> DataFrame:
+    return V.read(spark, root, "records").select("dest", "_id", "recv_ms", "props")
+
+
+def stored_retention(spark, d):
+    """The newest records of each destination, kept in the stored table."""
+    root, _ = _stored_records(spark, d)
+    MT.keep_newest(spark, root, "records", ["dest"], 500, **_DAILY)
+    return _stored(spark, root)
+
+
+def stored_age(spark, d):
+    root, _ = _stored_records(spark, d)
+    MT.drop_expired(spark, root, "records", NOW_MS, 10 * 86_400, **_DAILY)
+    return _stored(spark, root)
+
+
+def stored_prefix(spark, d):
+    root, _ = _stored_records(spark, d)
+    MT.drop_prefix(spark, root, "records", ["dest"], NOW_MS + 10 * 86_400_000, 7 * 86_400, **_DAILY)
+    return _stored(spark, root)
+
+
+def stored_bytes(spark, d):
+    root, _ = _stored_records(spark, d)
+    MT.keep_capped(spark, root, "records", ["dest"], F.octet_length("props"), 6_000, 900, **_DAILY)
+    return _stored(spark, root)
+
+
+def stored_delete(spark, d):
+    root, _ = _stored_records(spark, d)
+    doomed = A.table(spark, d, "orders").filter(F.col("o_orderkey") % 2 == 0).select(F.col("o_orderkey").alias("_id"))
+    MT.delete_records(spark, root, "records", doomed, ["_id"], **_DAILY)
+    return _stored(spark, root)
+
+
+def file_statistics(spark, d):
+    """What the list of a store's files says about each day."""
+    root, _ = _stored_records(spark, d)
+    listed = V.file_list(spark, root).withColumn("day", F.regexp_extract("path", "recv_day=([0-9-]+)", 1))
+    return listed.groupBy("day").agg(F.sum("n_rows").alias("n_rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def atomic_append(spark, d):
+    """History, dead letters and misnamed rows of two batches in one version each.
+    A batch that is repeated adds nothing; one that dies between two tables is seen
+    by nobody."""
+    root = work_dir(spark, "atomic")
+    raw = A.event_notifications(events(spark, d))
+    body = F.when(F.col("event_id") % 5 == 0, F.substring("body", F.lit(1), F.lit(40))).otherwise(F.col("body"))
+    raw = raw.withColumn("body", body)
+    for batch, token in ((0, "batch-0"), (1, "batch-1"), (1, "batch-1")):
+        outcome = history(raw.filter(F.col("event_id") % 2 == batch), "postgresql", V2)
+        tables = {"history": files.with_day(outcome.accepted), "dead_letter": outcome.rejects.select("event_id", "reject_reason")}
+        V.commit(spark, root, tables, token=token)
+    V.read(spark, root, "history").write.parquet(f"{root}/data/history/commit=died")
+    stored = V.read(spark, root, "history").select("event_id", M.ATTR_NAME, F.lit("").alias("reject_reason"))
+    return stored.unionByName(V.read(spark, root, "dead_letter").withColumn(M.ATTR_NAME, F.lit("")))
+
+
 # -- streams ----------------------------------------------------------------
 
-def _event_stream(spark, d, out: str, mixed: bool = False) -> DataFrame:
-    """The events landed in three files, one per micro-batch: in order of time,
-    or ``mixed``, so that most rows come late."""
+def _in_parts(spark, rows: DataFrame, part: Column, out: str, job) -> None:
+    """``job`` (a stream to a started query) over ``rows`` that land in three parts,
+    each written by as many tasks as the table has. The job ends when a part is done
+    and starts anew with the next one, from its checkpoint."""
+    rows.withColumn("_part", part).write.partitionBy("_part").parquet(f"{out}/parts")
+    for number in range(3):
+        files.move(spark, f"{out}/parts/_part={number}", f"{out}/landed/{number}")
+        landed = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{out}/landed")
+        job(landed).awaitTermination()
+
+
+def _events_in_parts(spark, d, out: str, job, mixed: bool = False) -> None:
+    """The events in three parts: in order of time, or ``mixed``, so that most
+    rows come late."""
     events = A.table(spark, d, "events")
     place = F.unix_millis(F.col("ts").cast("timestamp"))
     if mixed:
@@ -904,21 +993,20 @@ def _event_stream(spark, d, out: str, mixed: bool = False) -> DataFrame:
     else:
         low, high = events.select(place.cast("double").alias("ms")).approxQuantile("ms", [0.33, 0.66], 0.01)
         part = F.when(place <= low, 0).when(place <= high, 1).otherwise(2)
-    for number in range(3):
-        events.filter(part == number).coalesce(1).write.mode("append").parquet(f"{out}/landed")
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landed")
+    _in_parts(spark, events, part, out, job)
 
 
-def _run(stream, write, out) -> None:
-    query = runtime.start(stream, write, out, f"{out}/checkpoint", every=None)
-    query.awaitTermination()
+def _run(spark, d, out, write, mixed: bool = False, of=lambda stream: stream, **routes) -> None:
+    """A job over the events whose batches ``write`` handles; ``of`` is what is
+    done to the stream before."""
+    _events_in_parts(spark, d, out, lambda s: runtime.start(of(s), write, out, f"{out}/checkpoint", every=None, **routes), mixed)
 
 
 def stream_row_history(spark, d):
     """The row history, ingested by a stream."""
     out = work_dir(spark, "stream-rows")
     write = SH.history_writer(out, "postgresql", V2)
-    _run(_event_stream(spark, d, out), lambda b, i: write(A.event_notifications(spread(b, "event_id")), i), out)
+    _run(spark, d, out, lambda b, i: write(A.event_notifications(b), i))
     return split_value(runtime.read_committed(spark, out, "history").drop("batch_id"))
 
 
@@ -928,11 +1016,11 @@ def stream_dead_letter(spark, d):
     write = SH.history_writer(out, "postgresql", V2)
 
     def damaged(batch: DataFrame, batch_id: int) -> None:
-        raw = A.event_notifications(spread(batch, "event_id"))
+        raw = A.event_notifications(batch)
         cut = F.when(F.col("event_id") % 5 == 0, F.substring("body", F.lit(1), F.lit(40))).otherwise(F.col("body"))
         write(raw.withColumn("body", cut), batch_id)
 
-    _run(_event_stream(spark, d, out), damaged, out)
+    _run(spark, d, out, damaged)
     dead = runtime.read_committed(spark, out, "dead_letter").select("event_id", "reject_reason")
     alive = runtime.read_committed(spark, out, "history").select("event_id", F.lit("accepted").alias("reject_reason")).distinct()
     return dead.unionByName(alive)
@@ -943,11 +1031,11 @@ def stream_buckets(spark, d):
     out = work_dir(spark, "stream-buckets")
 
     def rows_of(batch: DataFrame) -> DataFrame:
-        rows = P.attribute_rows(P.parse(A.event_notifications(spread(batch, "event_id"))))
+        rows = P.attribute_rows(P.parse(A.event_notifications(batch)))
         return rows.select("entity_id", "attr_name", "recv_time_ts", B.numeric_value(F.col("attr_value")).alias("value"))
 
     write = SB.bucket_writer(out, rows_of, _BUCKET_KEYS, resolutions=("minute", "day"))
-    _run(_event_stream(spark, d, out), write, out)
+    _run(spark, d, out, write)
     return _bucket_columns(SB.read_buckets(spark, out, _BUCKET_KEYS).drop("last_ts"))
 
 
@@ -956,24 +1044,23 @@ def stream_occurrences(spark, d):
     out = work_dir(spark, "stream-occurrences")
 
     def rows_of(batch: DataFrame) -> DataFrame:
-        rows = P.attribute_rows(P.parse(A.event_notifications(spread(batch, "event_id"))))
+        rows = P.attribute_rows(P.parse(A.event_notifications(batch)))
         return rows.filter(F.col("attr_name") == "kind").select("entity_id", "attr_value", "recv_time_ts")
 
     write = SB.categorical_writer(out, rows_of, ["entity_id"], "attr_value", resolutions=("hour", "day", "month"))
-    _run(_event_stream(spark, d, out, mixed=True), write, out)
+    _run(spark, d, out, write, mixed=True)
     merged = SB.read_occurrences(spark, out, ["entity_id"], "attr_value")
     return merged.drop("last_ts").withColumns({"origin": iso("origin"), "offset": F.col("offset").cast("bigint")})
 
 
 def stream_trajectory(spark, d):
-    """Trajectory statistics with the last rows as the state of the stream."""
+    """Trajectory statistics whose last rows are the state of the stream."""
     out = work_dir(spark, "stream-trajectory")
 
-    def points_of(batch: DataFrame) -> DataFrame:
-        return _points(spark, d, A.event_notifications(spread(batch, "event_id"), geo=True))
+    def of(stream: DataFrame) -> DataFrame:
+        return ST.trajectory_stream(_points(spark, d, A.event_notifications(stream, geo=True)), ["entity_id"], "event_id", scale=3)
 
-    write = ST.trajectory_writer(out, points_of, ["entity_id"], "event_id", scale=3)
-    _run(_event_stream(spark, d, out), write, out)
+    _run(spark, d, out, ST.trajectory_writer(out), of=of)
     return _rounded_results(runtime.read_committed(spark, out, "trajectory")).select(
         "event_id", "entity_id", "cartodb_id", "stageDistance", "stageTime", "sumDistance", "sumTime", "sumSpeed",
         "maxTime", "minTime", "numSamples",
@@ -985,21 +1072,59 @@ def stream_fragments(spark, d):
     out = work_dir(spark, "stream-fragments")
     schema = A.table(spark, d, "lineitem").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
-    write = SF.fragment_writer(out, 50_000, lambda: NOW_MS)
-    _run(stream, lambda b, i: write(_fragment_rows(b), i), out)
+    write = SF.fragment_writer(out)
+    runtime.start(SF.assemble(_fragment_rows(stream)), write, out, f"{out}/checkpoint", every=None).awaitTermination()
     ready = runtime.read_committed(spark, out, "ready")
     return ready.select("fragment_identifier", F.coalesce("fragment_index", F.lit("")).alias("fragment_index"))
 
 
+def stream_fragments_mixed(spark, d):
+    """Transactions whose fragments come in three mixed parts: complete ones, and
+    broken ones with their reasons. What is never complete goes on waiting."""
+    out = work_dir(spark, "stream-mixed")
+    of_order = Window.partitionBy("l_orderkey")
+    lines = A.table(spark, d, "lineitem").select(
+        "l_orderkey", F.count("*").over(of_order).alias("n"), F.row_number().over(of_order.orderBy("l_linenumber")).alias("line"))
+    bad, line = F.col("l_orderkey") % 40, F.col("line")
+    count = F.when(bad == 1, "two").when(bad == 2, "0").when(bad == 3, (F.col("n") + line).cast("string")).when(
+        bad < 10, (F.col("n") + 1).cast("string")).otherwise(F.col("n").cast("string"))
+    index = F.when(bad == 10, F.lit(None)).when(bad == 11, "x1").when(bad == 12, (-line).cast("string")).when(bad == 13, "0").otherwise(
+        (line - 1).cast("string"))
+    pieces = lines.select(
+        F.col("l_orderkey").cast("string").alias("fragment_identifier"), index.alias("fragment_index"), count.alias("fragment_count"))
+    part = F.pmod(F.xxhash64("fragment_identifier", F.monotonically_increasing_id()), F.lit(3))
+    write = SF.fragment_writer(out)
+    _in_parts(spark, pieces, part, out, lambda s: runtime.start(SF.assemble(s), write, out, f"{out}/checkpoint", every=None))
+    return runtime.read_committed(spark, out, "ready").unionByName(runtime.read_committed(spark, out, "invalid")).select(
+        "fragment_identifier", *[F.coalesce(c, F.lit("")).alias(c) for c in ("fragment_index", "fragment_count", "reason")])
+
+
+def failed_rows(spark, d):
+    """Rows that their own data keeps from being stored are told apart, the rest
+    of their batches is committed."""
+    out = work_dir(spark, "failed-rows")
+
+    def typed(batch: DataFrame, batch_id: int) -> None:
+        text = F.when(F.col("event_id") % 4999 == 7, "3x").otherwise(F.col("value").cast("string"))
+        files.write_batch(batch.select("event_id", text.cast("double").alias("value")), f"{out}/history", batch_id)
+
+    _run(spark, d, out, typed, mixed=True, faults=(NumberFormatException,))
+    stored = runtime.read_committed(spark, out, "history").select("event_id", F.lit("committed").alias("outcome"))
+    return stored.unionByName(runtime.read_committed(spark, out, "failed").select("event_id", F.lit("failed").alias("outcome")))
+
+
 def stream_live_buckets(spark, d):
     """Day buckets as a streaming aggregation of rows that come late and mixed."""
     out = work_dir(spark, "stream-live")
-    rows = _event_stream(spark, d, out, mixed=True).select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
-    live = SB.live_buckets(rows, ["event_type"], "day")
-    query = live.writeStream.outputMode("update").option("checkpointLocation", f"{out}/checkpoint").foreachBatch(
-        lambda b, i: files.write_batch(b, f"{out}/updates", i)
-    ).trigger(availableNow=True).start()
-    query.awaitTermination()
+
+    def job(stream: DataFrame):
+        rows = stream.select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+        live = SB.live_buckets(rows, ["event_type"], "day")
+        return live.writeStream.outputMode("update").option("checkpointLocation", f"{out}/checkpoint").foreachBatch(
+            lambda b, i: files.write_batch(b, f"{out}/updates", i)
+        ).trigger(availableNow=True).start()
+
+    _events_in_parts(spark, d, out, job, mixed=True)
     updates = spark.read.parquet(f"{out}/updates")
     final = TR.latest(updates, ["event_type", "origin", "offset"], "batch_id")
     return _bucket_columns(final).select("event_type", "resolution", "range", "origin", "offset", "samples", "sum", "sum2", "min", "max")
@@ -1018,5 +1143,6 @@ QUERIES = [
     catalog_packages, catalog_resources, catalog_organizations, catalog_missing, catalog_join,
     vocab_invalid, vocab_valid, format_lookup, new_columns, typed_params, fragments_status, fragments_ready,
     json_valid, sql_functions, header_capture, v2_hostile_input,
-    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_live_buckets, stream_occurrences,
+    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_fragments_mixed, stream_live_buckets, stream_occurrences,
+    failed_rows, stored_retention, stored_age, stored_prefix, stored_bytes, stored_delete, file_statistics, atomic_append,
 ]

@@ -24,7 +24,7 @@ def with_day(df: DataFrame, ts_ms: str = M.RECV_TIME_TS) -> DataFrame:
 
 def clustered(df: DataFrame, partitions: list[str], order: list[str]) -> DataFrame:
     spread = df.hint("rebalance", *[F.col(c) for c in partitions]) if partitions else df.hint("rebalance")
-    return spread.sortWithinPartitions(*partitions, *order)
+    return spread.sortWithinPartitions(*partitions, *order) if partitions or order else spread
 
 
 def append_table(
@@ -51,6 +51,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within one file system."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def append_lines(lines: DataFrame, path: str, partitions: tuple[str, ...] = ("dest_db",)) -> None:
     """Append text lines (column ``line``) below partition folders."""
     kept = lines.select(*partitions, "line")

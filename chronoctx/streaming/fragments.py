@@ -1,54 +1,157 @@
-"""Streaming assembly of fragmented transactions."""
+"""Streaming assembly of fragmented transactions.
+
+Fragments wait in keyed state: a batch touches the transactions that it has
+fragments of, and no others. What is known about a transaction is a few numbers
+in value state and its places in map state; the fragments themselves are appended
+to list state and only read when they leave.
+"""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import StructType
 
-from chronoctx.operators.fragments import INVALID, READY, WAIT, fragment_status, split_by_status
-from chronoctx.plans.session import scratch, store
+from chronoctx.operators.fragments import FAULTS, INVALID, READY, faults, integer
 from chronoctx.sinks.files import write_batch
-from chronoctx.streaming.runtime import batches, read_or_none, remove_batches
 
+#: Fragments of one transaction that are held outside the state at a time.
+HELD = 1024
+_SUMMARY = "fragments long, low int, high int, faults int, reason string, timer long"
+_TWICE = 1 << len(FAULTS)
 
-def fragment_writer(
-    out: str, timeout_ms: int | None = None, now_ms: Callable[[], int] = lambda: int(time.time() * 1000)
-) -> Callable[[DataFrame, int], None]:
-    """Batch handler: complete transactions to ``<out>/ready`` (fragments carry
-    their index as the order), broken and late ones to ``<out>/invalid``; the
-    others wait in ``<out>/pending`` for the next batch, which takes the newest
-    state before its own. The state before that one stays for a repeat."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        before, waiting = pending_before(batch.sparkSession, out, batch_id)
-        pieces = batch if waiting is None else batch.unionByName(waiting.select(*batch.columns))
-        with scratch(batch.sparkSession):
-            pieces = store(pieces, "fragments")
-            parts = split_by_status(pieces, fragment_status(pieces, now_ms(), timeout_ms))
-            for status, table in ((READY, "ready"), (INVALID, "invalid"), (WAIT, "pending")):
-                write_batch(parts[status], f"{out}/{table}", batch_id)
-        if before is not None:
-            remove_batches(batch.sparkSession, f"{out}/pending", "batch_id", before)
 
-    write.stateful = True
-    return write
+class Assembler(StatefulProcessor):
+    """Gives the fragments of a transaction out when it is complete (READY) or
+    broken, or when ``timeout_ms`` have gone by since its last fragment came
+    (INVALID, with the reason). Fragments of a broken transaction that come later
+    are INVALID as well, until the timeout."""
+
+    def __init__(self, schema: StructType, timeout_ms: int | None, most: int = HELD):
+        self.schema, self.fields, self.timeout_ms, self.most = schema, schema.fieldNames(), timeout_ms, most
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.summary = handle.getValueState("summary", _SUMMARY)
+        self.places = handle.getMapState("places", "place int", "seen boolean")
+        self.waiting = handle.getListState("waiting", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.summary.get()
+        n, low, high, found, reason, timer = known if known is not None else (0, None, None, 0, None, None)
+        if reason is not None:
+            yield from (self._given(self._piece(r), INVALID, reason) for r in rows)
+            return
+        old, held, places = n > 0, [], set()
+        for row in rows:
+            n += 1
+            total, place = row["_total"], row["_place"]
+            if total is not None:
+                low, high = (total, total) if low is None else (min(low, total), max(high, total))
+            found |= row["_faults"]
+            if place is not None:
+                if place in places or old and self.places.containsKey((place,)):
+                    found |= _TWICE
+                places.add(place)
+            held.append(self._piece(row))
+            if len(held) == self.most:
+                self._wait(held, places)
+                old, held, places = True, [], set()
+        status, reason = self._judge(n, low, high, found)
+        if status:
+            if old:
+                yield from (self._given(piece, status, reason) for piece in self.waiting.get())
+            yield from (self._given(piece, status, reason) for piece in held)
+            self._forget(timer)
+            if status == INVALID:
+                self.summary.update((n, low, high, found, reason, self._timer(timerValues)))
+            return
+        self._wait(held, places)
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        self.summary.update((n, low, high, found, None, self._timer(timerValues)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.summary.get()
+        if known is not None and known[4] is None:
+            yield from (self._given(piece, INVALID, "timeout") for piece in self.waiting.get())
+        self._forget(None)
+
+    def close(self) -> None:
+        pass
+
+    def _piece(self, row: Row) -> tuple:
+        return tuple(row[name] for name in self.fields)
 
+    def _given(self, piece: tuple, status: str, reason: str | None) -> Row:
+        return Row(*self.fields, "status", "reason")(*piece, status, reason)
 
-def pending_before(spark: SparkSession, out: str, batch_id: int) -> tuple[int | None, DataFrame | None]:
-    """The batch that left the newest state before this one, and the fragments
-    that waited then. A state without rows counts."""
-    numbers = [n for n in batches(spark, f"{out}/pending") if n < batch_id]
-    if not numbers:
-        return None, None
-    return max(numbers), read_or_none(spark, f"{out}/pending/batch_id={max(numbers)}")
+    def _wait(self, held: list[tuple], places: set[int]) -> None:
+        if held:
+            self.waiting.appendList(held)
+        for place in places:
+            self.places.updateValue((place,), (True,))
 
+    def _judge(self, n: int, low: int | None, high: int | None, found: int) -> tuple[str | None, str | None]:
+        """The rules of ``fragment_status``, in its order."""
+        if n == 1 and found & 1 << FAULTS.index("count-missing"):
+            return READY, None
+        broken = [name for i, name in enumerate(FAULTS) if found & 1 << i]
+        counts = [name for name in broken if name.startswith("count")]
+        inconsistent = ["count-inconsistent"] if low != high else []
+        twice = ["index-duplicate"] if found & _TWICE else []
+        reasons = [*counts, *inconsistent, *(name for name in broken if name not in counts), *twice]
+        if reasons:
+            return INVALID, reasons[0]
+        return (READY, None) if n == high else (None, None)
 
-def expire(spark: SparkSession, out: str, timeout_ms: int, now_ms: int | None = None) -> DataFrame:
-    """The waiting fragments whose time is over, while no batch comes that would
-    sort them out. The next batch still does."""
-    _, waiting = pending_before(spark, out, 1 << 62)
-    if waiting is None:
-        raise ValueError(f"nothing has run below {out}")
-    now = int(time.time() * 1000) if now_ms is None else now_ms
-    return split_by_status(waiting, fragment_status(waiting, now, timeout_ms))[INVALID]
+    def _timer(self, timerValues) -> int | None:
+        if self.timeout_ms is None:
+            return None
+        due = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+        self.handle.registerTimer(due)
+        return due
+
+    def _forget(self, timer: int | None) -> None:
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        for state in (self.waiting, self.places, self.summary):
+            state.clear()
+
+
+def assemble(
+    pieces: DataFrame, timeout_ms: int | None = None, identifier: str = "fragment_identifier",
+    index: str = "fragment_index", count: str = "fragment_count", held: int = HELD,
+) -> DataFrame:
+    """A stream of fragments to a stream of those whose transaction is decided,
+    with ``status`` and ``reason``. The others wait in the state of the job; without
+    a timeout those that never become complete stay there. Within a batch the
+    result is that of ``fragment_status``; over batches a transaction is decided as
+    soon as its fragments so far decide it. Identifiers are not null."""
+    schema = pieces.schema
+    given = StructType([*schema.fields]).add("status", "string").add("reason", "string")
+    flags = faults(F.col(index), F.col(count))
+    bits = sum((F.when(flag, 1 << i).otherwise(0) for i, flag in enumerate(flags.values())), F.lit(0))
+    ready = pieces.withColumns({
+        "_total": integer(F.col(count)), "_place": integer(F.col(index)), "_faults": bits.cast("int"), "_key": F.col(identifier)})
+    return ready.groupBy("_key").transformWithState(
+        Assembler(schema, timeout_ms, held), given, "Append", "None" if timeout_ms is None else "ProcessingTime")
+
+
+def fragment_writer(out: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler of an assembled stream: complete transactions to
+    ``<out>/ready`` (fragments carry their index as the order), broken and late ones
+    to ``<out>/invalid``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            for status, table in ((READY, "ready"), (INVALID, "invalid")):
+                write_batch(kept.filter(F.col("status") == status).drop("status"), f"{out}/{table}", batch_id)
+        finally:
+            kept.unpersist()
+
+    write.stateful = True
+    return write

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -10,49 +11,143 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chronoctx.plans.session import remove
+from chronoctx.plans.session import remove, scratch, store
 from chronoctx.sinks.files import write_batch
 
-SUCCESS, FAILURE = "success", "failure"
+SUCCESS, FAILURE, RETRY = "success", "failure", "retry"
+#: Times that a batch is tried while its errors may pass by themselves.
+ATTEMPTS = 3
+#: Rows of a batch that are told apart as failing ones, one by one.
+MAX_ISOLATED = 64
 
 
 def run_batch(
     batch: DataFrame, batch_id: int, write: Callable[[DataFrame, int], None], out: str,
-    faults: tuple[type[Exception], ...] = (),
+    faults: tuple[type[Exception], ...] = (), transient: tuple[type[Exception], ...] = (),
 ) -> str:
     """Run one micro-batch to its end and record where it went.
 
-    ``faults`` are the errors that a batch's own data can cause. Such a batch
-    goes to ``<out>/failed`` as received, with the error, and the job goes on.
-    Any other error ends the job, which starts again with this batch: tasks are
-    repeated by Spark, batches by the job's checkpoint. A handler with state
-    (``write.stateful``) cannot do without a batch, so it allows no faults. The
-    commit record is written last: readers that go through ``read_committed`` see
-    all of a batch or nothing of it.
+    ``faults`` are the errors that single rows can cause. Such a batch is halved
+    until the failing rows are alone (``isolate``); they go to ``<out>/failed`` as
+    received, with the error, and the rest of the batch is written. ``transient``
+    are errors that may be gone the next time: the batch is tried again, and goes to
+    ``<out>/retry`` after that, for ``replay``. Any other error ends the job, which
+    starts again with this batch: tasks are repeated by Spark, batches by the job's
+    checkpoint. A handler with state (``write.stateful``) cannot do without rows, so
+    it allows neither. The commit record is written last: readers that go through
+    ``read_committed`` see all of a batch or nothing of it.
     """
-    if faults and getattr(write, "stateful", False):
+    if (faults or transient) and getattr(write, "stateful", False):
         raise ValueError("a job with state cannot leave out a batch")
     route, error = SUCCESS, None
-    try:
-        write(batch, batch_id)
-    except faults as problem:
-        route, error = FAILURE, problem
-        write_batch(batch.withColumn("error", F.lit(str(problem))), f"{out}/failed", batch_id)
-    record = batch.sparkSession.range(1).select(
+    for attempt in range(ATTEMPTS):
+        try:
+            write(batch, batch_id)
+            break
+        except transient as problem:
+            if attempt == ATTEMPTS - 1:
+                route, error = RETRY, problem
+                write_batch(batch, f"{out}/retry", batch_id)
+        except faults as problem:
+            error = problem
+            route = _write_without_failing(batch, batch_id, write, out, faults, problem)
+            break
+    _record(batch.sparkSession, out, batch_id, route, error)
+    return route
+
+
+def _record(spark: SparkSession, out: str, batch_id: int, route: str, error: Exception | None) -> None:
+    record = spark.range(1).select(
         F.lit(route).alias("route"), F.lit(None if error is None else type(error).__name__).cast("string").alias("error"),
     )
     write_batch(record, f"{out}/commits", batch_id)
-    return route
+
+
+def _write_without_failing(
+    batch: DataFrame, batch_id: int, write: Callable[[DataFrame, int], None], out: str,
+    faults: tuple[type[Exception], ...], problem: Exception,
+) -> str:
+    """The batch without its failing rows; FAILURE if none is left."""
+    spark = batch.sparkSession
+    with scratch(spark):
+        # Stored with a hash, so that every half is the same rows each time.
+        content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns]), {"ignoreNullFields": "false"}))
+        name = "_content"
+        while name in batch.columns:
+            name += "_"
+        rows = store(batch.withColumn(name, content), "failed-batch")
+        ranges = isolate(rows, name, lambda part: write(part.drop(name), batch_id), faults, problem)
+        within = reduce(lambda a, b: a | b, [F.col(name).between(low, high) for low, high, _ in ranges])
+        reason = reduce(lambda value, r: value.when(F.col(name).between(r[0], r[1]), F.lit(r[2])), ranges[1:],
+                        F.when(F.col(name).between(*ranges[0][:2]), F.lit(ranges[0][2])))
+        write_batch(rows.filter(within).withColumn("error", reason).drop(name), f"{out}/failed", batch_id)
+        good = rows.filter(~within).drop(name)
+        if good.isEmpty():
+            return FAILURE
+        write(good, batch_id)
+        return SUCCESS
+
+
+def isolate(
+    rows: DataFrame, key: str, attempt: Callable[[DataFrame], None], faults: tuple[type[Exception], ...], problem: Exception,
+) -> list[tuple[int, int, str]]:
+    """Ranges ``(low, high, error)`` of ``key`` whose rows make ``attempt`` fail.
+
+    A failing range is halved while it holds different keys. With k failing rows of
+    n that takes about 2k log(n) attempts; ranges that still fail when
+    ``MAX_ISOLATED`` have been found are not halved further, and neither is one
+    whose halves only fail together.
+    """
+    found: list[tuple[int, int, str]] = []
+    todo = [(-(1 << 63), (1 << 63) - 1, str(problem))]
+    while todo:
+        low, high, error = todo.pop()
+        inside = rows.filter(F.col(key).between(low, high))
+        low, high = inside.agg(F.min(key), F.max(key)).first()
+        if low is None:
+            continue
+        if low == high or len(found) >= MAX_ISOLATED:
+            found.append((low, high, error))
+            continue
+        middle, failing = (low + high) // 2, []
+        for part in ((low, middle), (middle + 1, high)):
+            try:
+                attempt(rows.filter(F.col(key).between(*part)))
+            except faults as fault:
+                failing.append((*part, str(fault)))
+        if failing:
+            todo += failing
+        else:
+            found.append((low, high, error))
+    return found
+
+
+def replay(
+    spark: SparkSession, out: str, write: Callable[[DataFrame, int], None],
+    faults: tuple[type[Exception], ...] = (), transient: tuple[type[Exception], ...] = (),
+) -> dict[int, str]:
+    """Run the batches of the retry route again, under their ids; says where each
+    one went."""
+    routes = {}
+    for batch_id in batches(spark, f"{out}/retry"):
+        path = f"{out}/retry/batch_id={batch_id}"
+        with scratch(spark):
+            # Copied, as the batch may go back to where it is read from.
+            routes[batch_id] = run_batch(store(spark.read.parquet(path), "replayed"), batch_id, write, out, faults, transient)
+        if routes[batch_id] != RETRY:
+            remove(spark, path)
+    return routes
 
 
 def start(
     stream: DataFrame, write: Callable[[DataFrame, int], None], out: str, checkpoint: str,
     every: str | None = "30 seconds", faults: tuple[type[Exception], ...] = (),
+    transient: tuple[type[Exception], ...] = (),
 ) -> StreamingQuery:
     """Start a job; ``every`` is the accumulation time of a micro-batch, None
     runs what is there now and ends."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: run_batch(batch, batch_id, write, out, faults) and None
+        lambda batch, batch_id: run_batch(batch, batch_id, write, out, faults, transient) and None
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

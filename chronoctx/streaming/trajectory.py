@@ -1,79 +1,112 @@
 """Streaming trajectory statistics.
 
-The state is a table of the last row of every group. A micro-batch continues
-from the rows of the groups it touches, with the batch operator, so that a
-group that fills a third of the stream is still computed in runs.
+Every group keeps its last row and its running values in keyed state, so a batch
+reads and writes the state of the groups that it has rows of, and no other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import StructType
 
-from chronoctx.operators import trajectory as T
-from chronoctx.operators.ordered import HOT_ROWS
-from chronoctx.plans.session import scratch, store
+from chronoctx.functions.geo import EARTH_RADIUS_M
+from chronoctx.operators.trajectory import MAX_SEED, METRICS, MIN_SEED
 from chronoctx.sinks.files import write_batch
-from chronoctx.streaming.runtime import read_or_none, remove_batches
-
-
-def trajectory_writer(
-    out: str, points_of: Callable[[DataFrame], DataFrame], keys: list[str], tie_breaker: str,
-    scale: int | None = None, hot_rows: int = HOT_ROWS, snapshot_every: int = 16,
-) -> Callable[[DataFrame, int], None]:
-    """Batch handler: statistics to ``<out>/trajectory``, last rows to
-    ``<out>/state``. Rows of one batch are put in time order; the batches
-    follow each other in arrival order. Every ``snapshot_every`` batches the
-    state becomes one snapshot, so a batch reads one snapshot and at most so many
-    changes."""
+
+_STATE = "recv_time_ts long, lon double, lat double, n long, " + ", ".join(
+    f"sum{m} decimal(38,9), total{m} double, max{m} double, min{m} double" for m in METRICS)
+_GIVEN = [f"{kind}{m}" for m in METRICS for kind in ("stage", "sum", "sum2", "max", "min")]
+
+
+def great_circle_m(lon1: float, lat1: float, lon2: float, lat2: float) -> float:
+    """``geo.distance_m`` of two points in a state."""
+    dlat, dlon = math.radians(lat2 - lat1) / 2, math.radians(lon2 - lon1) / 2
+    h = math.sin(dlat) ** 2 + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * math.sin(dlon) ** 2
+    return 2 * EARTH_RADIUS_M * math.asin(math.sqrt(min(h, 1.0)))
+
+
+class Path(StatefulProcessor):
+    """One group's path. Rows of one batch are put in order of time and of
+    ``ties``; the batches follow each other as they arrive. What a group has in one
+    batch is sorted in memory, so the size of a batch is the bound."""
+
+    def __init__(
+        self, schema: StructType, ties: list[str], scale: int | None, distance: Callable[[float, float, float, float], float],
+    ):
+        self.fields, self.ties, self.scale, self.distance = schema.fieldNames(), ties, scale, distance
+        self.given = Row(*self.fields, "cartodb_id", "numSamples", *_GIVEN)
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("last", _STATE)
+
+    def close(self) -> None:
+        pass
+
+    def _rounded(self, value: float | None) -> float | None:
+        if value is None or self.scale is None:
+            return value
+        return float(Decimal(repr(value)).quantize(Decimal(1).scaleb(-self.scale), ROUND_HALF_UP))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.state.get()
+        ts, lon, lat, n = known[:4] if known is not None else (None, None, None, 0)
+        running = [list(known[4 + 4 * i:8 + 4 * i]) if known is not None else [Decimal(0), 0.0, None, None] for i in range(len(METRICS))]
+        own = "stage_distance" in self.fields
+        for row in sorted(rows, key=lambda r: (r["recv_time_ts"], *(r[t] for t in self.ties))):
+            if n == 0:
+                stages = (0.0, 0.0, 0.0)
+            else:
+                metres = row["stage_distance"] if own else None
+                if metres is None:
+                    metres = self.distance(lon, lat, row["lon"], row["lat"])
+                metres, passed = self._rounded(float(metres)), row["recv_time_ts"] - ts
+                stages = (metres, float(passed), self._rounded(metres / passed) if passed else None)
+            n += 1
+            values: list[float | None] = []
+            for stage, run in zip(stages, running):
+                if stage is not None:
+                    if self.scale is None:
+                        run[1] += stage
+                    else:
+                        run[0] += Decimal(repr(stage))
+                        run[1] = float(run[0])
+                    if n > 1:
+                        run[2] = stage if run[2] is None else max(run[2], stage)
+                        run[3] = stage if run[3] is None else min(run[3], stage)
+                most = MAX_SEED if run[2] is None else max(run[2], MAX_SEED)
+                least = MIN_SEED if run[3] is None else min(run[3], MIN_SEED)
+                values += [stage, run[1], run[1] * run[1], most, least]
+            ts, lon, lat = row["recv_time_ts"], row["lon"], row["lat"]
+            yield self.given(*(row[f] for f in self.fields), n, n, *values)
+        self.state.update((ts, lon, lat, n, *(value for run in running for value in run)))
+
+
+def trajectory_stream(
+    points: DataFrame, keys: list[str], tie_breaker: str | list[str], scale: int | None = None,
+    distance: Callable[[float, float, float, float], float] = great_circle_m,
+) -> DataFrame:
+    """A stream of points (``keys``, ``recv_time_ts``, ``lon``, ``lat``, ties, none
+    of them null) with the stage and running columns of ``trajectory``, whose rules
+    hold. ``scale`` is at most 9."""
+    schema = points.schema
+    given = StructType([*schema.fields]).add("cartodb_id", "long").add("numSamples", "long")
+    for name in _GIVEN:
+        given = given.add(name, "double")
+    ties = [tie_breaker] if isinstance(tie_breaker, str) else tie_breaker
+    named = points.withColumns({f"_key_{k}": F.col(k) for k in keys})
+    return named.groupBy(*[f"_key_{k}" for k in keys]).transformWithState(Path(schema, ties, scale, distance), given, "Append", "None")
+
+
+def trajectory_writer(out: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler of a stream of statistics: to ``<out>/trajectory``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with scratch(spark):
-            points = store(points_of(batch), "points")
-            before = state_before(spark, out, keys, batch_id)
-            if before is not None:
-                before = before.join(points.select(*keys).distinct(), keys, "left_semi")
-            result = T.trajectory(points, keys, tie_breaker, stored=before, scale=scale, hot_rows=hot_rows)
-            write_batch(result, f"{out}/trajectory", batch_id)
-        written = spark.read.parquet(f"{out}/trajectory/batch_id={batch_id}")
-        write_batch(T.last_rows(written, keys), f"{out}/state", batch_id)
-        if batch_id % snapshot_every == snapshot_every - 1:
-            compact_state(spark, out, keys, batch_id)
+        write_batch(batch, f"{out}/trajectory", batch_id)
 
     write.stateful = True
     return write
-
-
-def state_before(spark: SparkSession, out: str, keys: list[str], batch_id: int) -> DataFrame | None:
-    """The last row of every group before a batch."""
-    changes = read_or_none(spark, f"{out}/state")
-    if changes is None:
-        return None
-    changes = changes.filter(F.col("batch_id") < batch_id).drop("batch_id")
-    snapshots = read_or_none(spark, f"{out}/snapshots")
-    if snapshots is not None:
-        upto = snapshots.filter(F.col("upto") < batch_id).agg(F.max("upto")).first()[0]
-        if upto is not None:
-            changes = (
-                spark.read.parquet(f"{out}/state")
-                .filter((F.col("batch_id") > upto) & (F.col("batch_id") < batch_id)).drop("batch_id")
-                .unionByName(snapshots.filter(F.col("upto") == upto).drop("upto"))
-            )
-    return T.latest(changes, keys, "_old_cartodb_id")
-
-
-def compact_state(spark: SparkSession, out: str, keys: list[str], upto: int) -> None:
-    """Replace the changes up to a batch by one snapshot. The snapshot before it
-    and the changes since then stay until the next one, for batches that are
-    repeated."""
-    snapshot = state_before(spark, out, keys, upto + 1)
-    if snapshot is None:
-        return
-    older = read_or_none(spark, f"{out}/snapshots")
-    before = None if older is None else older.filter(F.col("upto") < upto).agg(F.max("upto")).first()[0]
-    snapshot.write.mode("overwrite").parquet(f"{out}/snapshots/upto={upto}")
-    if before is not None:
-        remove_batches(spark, f"{out}/snapshots", "upto", before)
-        remove_batches(spark, f"{out}/state", "batch_id", before + 1)

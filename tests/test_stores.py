@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import NumberFormatException
 from pyspark.sql import functions as F
 
 from chronoctx import model as M
@@ -261,33 +262,115 @@ def test_failed_batches_are_not_read(spark, out):
 
 
 def test_jobs_with_state_leave_out_no_batch(spark, out):
-    for write in (SF.fragment_writer(out), ST.trajectory_writer(out, lambda b: b, ["dest"], "seq")):
-        with pytest.raises(ValueError, match="state"):
-            runtime.run_batch(spark.range(1), 0, write, out, (ValueError,))
+    for write in (SF.fragment_writer(out), ST.trajectory_writer(out)):
+        for routes in ({"faults": (ValueError,)}, {"transient": (OSError,)}):
+            with pytest.raises(ValueError, match="state"):
+                runtime.run_batch(spark.range(1), 0, write, out, **routes)
 
 
-def test_waiting_fragments_outlive_gaps_and_repeats(spark, out):
-    schema = "fragment_identifier string, fragment_index string, fragment_count string, last_queue_ts long"
-    write = SF.fragment_writer(out, timeout_ms=50, now_ms=lambda: 1)
-    first, second = ([("a", str(i), "2", 1)] for i in (0, 1))
-    write(spark.createDataFrame(first, schema), 0)
-    assert [r.fragment_identifier for r in SF.expire(spark, out, 50, 100).collect()] == ["a"]
-    for _ in range(2):  # batch 1 never came, batch 2 is repeated
-        write(spark.createDataFrame(second, schema), 2)
-    ready = spark.read.parquet(f"{out}/ready").filter("batch_id = 2").collect()
-    assert sorted(r.fragment_index for r in ready) == ["0", "1"]
+def test_failing_rows_are_told_apart(spark, out):
+    attempts = []
 
+    def write(batch, batch_id):
+        attempts.append(batch_id)
+        files.write_batch(batch.select("id", F.col("text").cast("int").alias("n")), f"{out}/history", batch_id)
 
-def test_state_folders_are_replaced(spark, out):
-    import os
+    bad = {3, 4711, 9998}
+    text = F.when(F.col("id").isin(*bad), "x").otherwise(F.col("id").cast("string"))
+    rows = spark.range(10_000).select("id", text.alias("text"), F.create_map(F.lit("k"), F.col("id")).alias("m"), F.lit(1).alias("_content"))
+    assert runtime.run_batch(rows, 4, write, out, (NumberFormatException,)) == runtime.SUCCESS
+    stored = runtime.read_committed(spark, out, "history")
+    assert stored.count() == 9_997 and stored.filter(F.col("id").isin(*bad)).isEmpty()
+    failed = runtime.read_committed(spark, out, "failed")
+    assert {r.id for r in failed.collect()} == bad and set(failed.columns) == {"batch_id", "id", "text", "m", "_content", "error"}
+    assert all("'x'" in r.error for r in failed.collect())
+    assert len(attempts) <= 2 + 2 * len(bad) * 15
 
-    points = spark.createDataFrame([("a", i, i * 1000, float(i), 0.0) for i in range(12)], "dest string, seq long, recv_time_ts long, lon double, lat double")
-    write = ST.trajectory_writer(out, lambda b: b, ["dest"], "seq", scale=3, snapshot_every=2)
-    for i in range(6):
-        runtime.run_batch(points.filter(F.floor(F.col("seq") / 2) == i), i, write, out)
-    assert sorted(f for f in os.listdir(f"{out}/snapshots") if "=" in f) == ["upto=3", "upto=5"]
-    assert sorted(f for f in os.listdir(f"{out}/state") if "=" in f) == ["batch_id=4", "batch_id=5"]
-    assert spark.read.parquet(f"{out}/trajectory").agg(F.max("numSamples")).first()[0] == 12
+
+def test_rows_that_only_fail_together_go_together(spark, out):
+    def write(batch, batch_id):
+        if batch.filter("id in (1, 2)").count() == 2:
+            raise ValueError("both")
+
+    rows = spark.range(4).withColumn("h", F.col("id"))
+    found = runtime.isolate(rows, "h", lambda part: write(part, 0), (ValueError,), ValueError("both"))
+    assert [(low, high) for low, high, _ in found] == [(0, 3)]
+    monkey = runtime.MAX_ISOLATED
+    try:
+        runtime.MAX_ISOLATED = 2
+
+        def always(part):
+            raise ValueError("never")
+
+        found = runtime.isolate(spark.range(64).withColumn("h", F.col("id")), "h", always, (ValueError,), ValueError("never"))
+        assert sum(high - low + 1 for low, high, _ in found) == 64 and len(found) < 16
+    finally:
+        runtime.MAX_ISOLATED = monkey
+
+
+def test_errors_that_pass_are_tried_again(spark, out):
+    calls = []
+
+    def write(batch, batch_id):
+        calls.append(batch_id)
+        files.write_batch(batch, f"{out}/history", batch_id)
+        if batch_id == 0 and len(calls) < 2 or batch_id == 1 and len(calls) < 7:
+            raise OSError("busy")
+
+    assert runtime.run_batch(spark.range(2), 0, write, out, transient=(OSError,)) == runtime.SUCCESS
+    assert runtime.run_batch(spark.range(3), 1, write, out, transient=(OSError,)) == runtime.RETRY
+    assert {r.batch_id for r in runtime.read_committed(spark, out, "history").collect()} == {0}
+    assert runtime.replay(spark, out, write, transient=(OSError,)) == {1: runtime.SUCCESS}
+    assert runtime.read_committed(spark, out, "history").count() == 5 and runtime.batches(spark, f"{out}/retry") == []
+    with pytest.raises(OSError):
+        runtime.run_batch(spark.range(1), 2, lambda b, i: (_ for _ in ()).throw(OSError()), out)
+
+
+FRAGMENTS = "fragment_identifier string, fragment_index string, fragment_count string, last_queue_ts long"
+
+
+def _land_rows(spark, folder, number, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{number}")
+
+
+def _assembled(spark, tmp_path, out, timeout_ms=None):
+    stream = spark.readStream.schema(FRAGMENTS).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    runtime.start(SF.assemble(stream, timeout_ms, held=2), SF.fragment_writer(out), out, f"{out}/checkpoint", every=None).awaitTermination()
+
+
+def test_fragments_wait_over_batches_and_restarts(spark, tmp_path, out):
+    many = [("m", str(i), "9", 1) for i in range(9)]
+    parts = [
+        [("a", "0", "2", 0), ("b", "0", "1", 0), ("lone", None, None, 0), ("bad", "0", "2", 0), ("bad", "0", "2", 0), *many[:5]],
+        [("a", "1", "2", 0), ("c", "0", "2", 1), ("bad", "1", "2", 0), ("two", None, None, 0), ("two", "0", None, 0)],
+        [("d", "0", "1", 0), *many[5:], ("e", "x", "1", 0), ("f", "0", "2", 0), ("f", "1", "3", 0)],
+    ]
+    for number, rows in enumerate(parts):
+        _land_rows(spark, tmp_path / "in", number, rows, FRAGMENTS)
+        _assembled(spark, tmp_path, out)
+    ready = {(r.batch_id, r.fragment_identifier, r.fragment_index) for r in runtime.read_committed(spark, out, "ready").collect()}
+    assert ready == {(0, "b", "0"), (0, "lone", None), (1, "a", "0"), (1, "a", "1"), (2, "d", "0"), *((2, "m", str(i)) for i in range(9))}
+    broken = sorted((r.fragment_identifier, r.reason) for r in runtime.read_committed(spark, out, "invalid").collect())
+    assert broken == [("bad", "index-duplicate")] * 3 + [("e", "index-not-an-integer")] + [("f", "count-inconsistent")] * 2 + [("two", "count-missing")] * 2
+
+
+def test_waiting_fragments_expire_without_a_further_batch(spark, tmp_path, out):
+    import time
+
+    _land_rows(spark, tmp_path / "in", 0, [("a", "0", "2", 0), ("b", "0", "1", 0)], FRAGMENTS)
+    stream = spark.readStream.schema(FRAGMENTS).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    query = runtime.start(SF.assemble(stream, 1_000), SF.fragment_writer(out), out, f"{out}/checkpoint", every="1 second")
+    try:
+        end = time.time() + 60
+        while time.time() < end:
+            late = runtime.read_or_none(spark, f"{out}/invalid")
+            if late is not None and late.count():
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert [(r.fragment_identifier, r.reason) for r in late.collect()] == [("a", "timeout")]
+    assert [r.fragment_identifier for r in runtime.read_committed(spark, out, "ready").collect()] == ["b"]
 
 
 def _bucket_rows(batch):
@@ -307,31 +390,24 @@ def test_bucket_stream_with_compaction(spark, tmp_path, out):
     assert sorted(map(str, SB.read_buckets(spark, out, ["attr_name"]).collect())) == want
 
 
-def test_trajectory_stream_with_compaction(spark, tmp_path, out):
+POINTS = "dest string, seq long, recv_time_ts long, lon double, lat double, stage_distance double"
+
+
+@pytest.mark.parametrize("scale", [None, 3])
+def test_trajectory_stream_over_restarts(spark, tmp_path, out, scale):
     from chronoctx.operators import trajectory as TR
 
-    points = spark.createDataFrame(
-        [("a" if i % 3 else "b", i, i * 1000, float(i), float(i % 4)) for i in range(24)], "dest string, seq long, recv_time_ts long, lon double, lat double")
-    want = TR.trajectory(points, ["dest"], "seq", scale=3)
-    write = ST.trajectory_writer(out, lambda b: b, ["dest"], "seq", scale=3, hot_rows=4)
-    for batch_id in range(4):
-        batch = points.filter((F.col("seq") >= batch_id * 6) & (F.col("seq") < batch_id * 6 + 6))
-        assert runtime.run_batch(batch, batch_id, write, out) == runtime.SUCCESS
-        if batch_id == 1:
-            ST.compact_state(spark, out, ["dest"], 1)
-            runtime.run_batch(batch, batch_id, write, out)
-    got = runtime.read_committed(spark, out, "trajectory").select(want.columns)
-    assert got.count() == 24 and got.exceptAll(want).count() == 0
-
-
-def test_fragment_stream(spark, out):
-    schema = "fragment_identifier string, fragment_index string, fragment_count string, last_queue_ts long"
-    batches = [[("a", "0", "2", 0), ("b", "0", "1", 0)], [("a", "1", "2", 0), ("c", "0", "2", 1)], [("d", "0", "1", 0)]]
-    clock = iter([1, 2, 100])
-    write = SF.fragment_writer(out, timeout_ms=50, now_ms=lambda: next(clock))
-    for i, rows in enumerate(batches):
-        assert runtime.run_batch(spark.createDataFrame(rows, schema), i, write, out) == runtime.SUCCESS
-    ready = {(r.batch_id, r.fragment_identifier, r.fragment_index) for r in runtime.read_committed(spark, out, "ready").collect()}
-    assert ready == {(0, "b", "0"), (1, "a", "0"), (1, "a", "1"), (2, "d", "0")}
-    late = runtime.read_committed(spark, out, "invalid").collect()
-    assert [(r.batch_id, r.fragment_identifier, r.reason) for r in late] == [(2, "c", "timeout")]
+    rows = [("a" if i % 3 else "b", i, i // 2 * 1000, i * 7.0 % 360 - 180, i * 5.0 % 180 - 90, 5.25 if i % 10 == 4 else None) for i in range(60)]
+    want = TR.trajectory(spark.createDataFrame(rows, POINTS), ["dest"], "seq", scale=scale)
+    for number in range(3):
+        part = [r for r in rows if r[1] // 20 == number]
+        _land_rows(spark, tmp_path / "in", number, part[::-1] if number else part[::2] + part[1::2], POINTS)
+        stream = spark.readStream.schema(POINTS).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        job = ST.trajectory_stream(stream, ["dest"], "seq", scale=scale)
+        runtime.start(job, ST.trajectory_writer(out), out, f"{out}/checkpoint", every=None).awaitTermination()
+    got = {r.seq: r.asDict() for r in runtime.read_committed(spark, out, "trajectory").drop("batch_id").collect()}
+    expected = {r.seq: r.asDict() for r in want.collect()}
+    assert set(got) == set(expected) == set(range(60)) and set(got[0]) == set(expected[0])
+    for seq, row in expected.items():
+        for name, value in row.items():
+            assert got[seq][name] == (pytest.approx(value, rel=1e-12) if isinstance(value, float) else value), (seq, name)
