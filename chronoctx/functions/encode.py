@@ -50,18 +50,25 @@ def allowed(kind: str) -> str:
 def encode(text: Column, kind: str) -> Column:
     """Reversible encoding of ``text`` with the rules of ``kind`` (see DENIED).
 
-    Most names need no change and pass one test. Others are cut into runs of
-    what is kept and single denied characters, in one pass whatever the alphabet.
+    Most names need no change and pass one test. In others all denied characters
+    are coded at once, with a NUL in place of every run of kept ones; the codes are
+    cut at the NULs and put between the kept runs. Texts that hold a NUL themselves
+    are coded part by part.
     """
     escaped = F.regexp_replace(text, ESCAPED_X, "xx")
+    kept = F.split(escaped, f"{DENIED[kind]}+", -1)
+    codes = F.split(_code(F.regexp_replace(escaped, f"{allowed(kind)}+", "\u0000")), "x0000", -1)
+    joined = F.array_join(F.zip_with(
+        kept, F.filter(codes, lambda code: code != ""), lambda run, code: F.concat(run, F.coalesce(code, F.lit("")))), "")
     parts = F.regexp_extract_all(escaped, F.lit(f"{allowed(kind)}+|(?s:.)"), F.lit(0))
-    coded = F.array_join(F.transform(parts, lambda part: F.when(part.rlike(DENIED[kind]), _code(part)).otherwise(part)), "")
-    return F.when(text.rlike(f"{DENIED[kind]}|{ESCAPED_X}"), coded).otherwise(text)
+    by_part = F.array_join(F.transform(parts, lambda part: F.when(part.rlike(DENIED[kind]), _code(part)).otherwise(part)), "")
+    return F.when(~text.rlike(f"{DENIED[kind]}|{ESCAPED_X}"), text).when(F.contains(text, F.lit("\u0000")), by_part).otherwise(joined)
 
 
-def _code(char: Column) -> Column:
-    units = F.regexp_replace(F.lower(F.hex(F.encode(char, "UTF-16BE"))), "(.{4})", "x$1")
-    return F.when(char == "=", F.lit(CONCATENATOR)).otherwise(units)
+def _code(chars: Column) -> Column:
+    """``x`` and four hex digits for each UTF-16 unit, the equals sign's own code."""
+    units = F.regexp_replace(F.lower(F.hex(F.encode(chars, "UTF-16BE"))), "(.{4})", "x$1")
+    return F.replace(units, F.lit("x003d"), F.lit(CONCATENATOR))
 
 
 def encode_postgresql(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from chronoctx.functions.encode import CONCATENATOR, DENIED, ESCAPED_X, OLD_DENIED, allowed
-from chronoctx.functions.geo import EARTH_RADIUS_M
+from chronoctx.functions.geo import EARTH_RADIUS_M, FLATTENING, SEMI_MAJOR_M
 from chronoctx.functions.times import RESOLUTIONS
 
 
@@ -27,6 +27,21 @@ def _case(values: dict[str, str]) -> str:
     return "CASE resolution " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items()) + " END"
 
 
+def ellipsoid_sql(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    """``geo.distance_ellipsoid_m`` as SQL text."""
+    def reduced(lat: str) -> str:
+        return f"atan2({1 - FLATTENING!r}D * sin(radians({lat})), cos(radians({lat})))"
+
+    one, two = reduced(lat1), reduced(lat2)
+    mean, half = f"(({one} + {two}) / 2)", f"(({two} - {one}) / 2)"
+    h = f"greatest(0D, least(1D, pow(sin{half}, 2) + cos({one}) * cos({two}) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))"
+    angle = f"(2 * asin(sqrt({h})))"
+    far = f"coalesce(pow(sin{mean} * cos{half}, 2) / nullif(1 - {h}, 0D), 0D)"
+    near = f"coalesce(pow(cos{mean} * sin{half}, 2) / nullif({h}, 0D), 0D)"
+    shrink = f"(({angle} - sin{angle}) * {far} + ({angle} + sin{angle}) * {near})"
+    return f"{SEMI_MAJOR_M!r}D * ({angle} - {FLATTENING / 2!r}D * {shrink})"
+
+
 def definitions() -> dict[str, tuple[str, str, str]]:
     """name -> (parameters, result type, body)."""
     text = ("s STRING", "STRING")
@@ -61,6 +76,8 @@ def definitions() -> dict[str, tuple[str, str, str]]:
             f"{2 * EARTH_RADIUS_M!r}D * asin(sqrt(least(1.0D, pow(sin(radians(lat2 - lat1) / 2), 2) "
             "+ cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2))))",
         ),
+        "geo_distance_ellipsoid": (
+            "lon1 DOUBLE, lat1 DOUBLE, lon2 DOUBLE, lat2 DOUBLE", "DOUBLE", ellipsoid_sql("lon1", "lat1", "lon2", "lat2")),
         "is_json": (*text[:1], "BOOLEAN", r"coalesce(trim(s) RLIKE r'^[{\[]' AND try_parse_json(s) IS NOT NULL, false)"),
         "stored_path": (*text, "regexp_replace(s, '/', '')"),
         "unquoted": (*text, "regexp_replace(s, '\"', '')"),

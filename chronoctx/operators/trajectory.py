@@ -41,6 +41,7 @@ def trajectory(
     max_seed: float = MAX_SEED,
     min_seed: float = MIN_SEED,
     hot_rows: int = HOT_ROWS,
+    measure: str = "sphere",
 ) -> DataFrame:
     """Add the stage and running columns of TRAJECTORY_COLUMNS to ``points``.
 
@@ -52,7 +53,8 @@ def trajectory(
     a NULL speed that the sums skip. With ``scale`` the stages are rounded to
     that many decimals and added up exactly, as decimals, so the result does not
     depend on the order in which partial sums are added. ``moments`` adds the
-    running mean and variance of the stages.
+    running mean and variance of the stages. ``measure`` is that of the distances,
+    ``sphere`` or ``ellipsoid``.
     """
     points = points.withColumn("_old", F.lit(0))
     if stored is not None:
@@ -62,7 +64,7 @@ def trajectory(
     ties = [tie_breaker] if isinstance(tie_breaker, str) else tie_breaker
     groups = OrderedGroups.of(points, keys, ["_new", "recv_time_ts", *ties], hot_rows)
     groups = groups.map(lambda df: df.withColumn("_here", F.struct("lon", "lat", "recv_time_ts"))).lag(_before="_here")
-    groups = groups.map(lambda df: _stages(df, scale)).running(**_running(stored is not None, moments, scale))
+    groups = groups.map(lambda df: _stages(df, scale, measure)).running(**_running(stored is not None, moments, scale))
     return groups.map(lambda df: _finish(df, moments, max_seed, min_seed)).result()
 
 
@@ -70,10 +72,10 @@ def _rounded(value: Column, scale: int | None) -> Column:
     return value if scale is None else F.round(value, scale)
 
 
-def _stages(df: DataFrame, scale: int | None) -> DataFrame:
+def _stages(df: DataFrame, scale: int | None, measure: str) -> DataFrame:
     before = F.col("_before")
     first = before.isNull()
-    metres = G.distance_m(before["lon"], before["lat"], F.col("lon"), F.col("lat"))
+    metres = G.MEASURES[measure](before["lon"], before["lat"], F.col("lon"), F.col("lat"))
     if "stage_distance" in df.columns:
         metres = F.coalesce(F.col("stage_distance"), metres)
     zero = F.lit(0.0)

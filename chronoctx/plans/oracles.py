@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from chronoctx import model as M
 from chronoctx.functions import vocab
-from chronoctx.functions.geo import EARTH_RADIUS_M, MERCATOR_RADIUS_M
+from chronoctx.functions.geo import EARTH_RADIUS_M, FLATTENING, MERCATOR_RADIUS_M, SEMI_MAJOR_M
 
 NOW_MS = 1705708800000
 PATH = f'"{M.SERVICE_PATH}"'
@@ -152,12 +152,25 @@ HAVERSINE = (
 )
 
 
+def ellipsoid(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    """Metres between two points on the ellipsoid; NaN and its like are never reached."""
+    def beta(lat: str) -> str:
+        return f"atan2((1 - {FLATTENING!r}) * sin(radians({lat})), cos(radians({lat})))"
+
+    return (
+        f"(SELECT {SEMI_MAJOR_M!r} * (s - {FLATTENING!r} / 2 * ((s - sin(s)) * coalesce(pow(sin(p) * cos(q), 2) / nullif(1 - h, 0), 0) "
+        f"+ (s + sin(s)) * coalesce(pow(cos(p) * sin(q), 2) / nullif(h, 0), 0))) FROM (SELECT *, 2 * asin(sqrt(h)) AS s FROM "
+        f"(SELECT (b1 + b2) / 2 AS p, (b2 - b1) / 2 AS q, greatest(0.0, least(1.0, pow(sin((b2 - b1) / 2), 2) + cos(b1) * cos(b2) * pow(sin(radians({lon2} - {lon1}) / 2), 2))) AS h "
+        f"FROM (SELECT {beta(lat1)} AS b1, {beta(lat2)} AS b2))))"
+    )
+
+
 def exact(value: str, window: str) -> str:
     """Running sum as a decimal, read as the nearest double."""
     return f"CAST(CAST(sum({value}) OVER {window} AS VARCHAR) AS DOUBLE)"
 
 
-def trajectory(key: str) -> str:
+def trajectory(key: str, metres: str = HAVERSINE) -> str:
     """CTEs up to ``r``: every point with its stages and running values."""
     frame = f"(PARTITION BY {key} ORDER BY ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     running = ", ".join(
@@ -168,7 +181,7 @@ def trajectory(key: str) -> str:
 p AS (SELECT *, CAST((user_id * 37 + event_id * 13) % 360 - 180 AS DOUBLE) AS lon, CAST((user_id * 17 + event_id * 7) % 180 - 90 AS DOUBLE) AS lat FROM ev),
 l AS (SELECT *, row_number() OVER w AS rn, lag(lon) OVER w AS lon0, lag(lat) OVER w AS lat0, lag(ms) OVER w AS ms0 FROM p
   WINDOW w AS (PARTITION BY {key} ORDER BY ms, event_id)),
-s AS (SELECT *, CASE WHEN rn = 1 THEN 0.0::DOUBLE ELSE round({HAVERSINE}, 3) END AS D, CAST(CASE WHEN rn = 1 THEN 0 ELSE ms - ms0 END AS DOUBLE) AS T FROM l),
+s AS (SELECT *, CASE WHEN rn = 1 THEN 0.0::DOUBLE ELSE round({metres}, 3) END AS D, CAST(CASE WHEN rn = 1 THEN 0 ELSE ms - ms0 END AS DOUBLE) AS T FROM l),
 v AS (SELECT *, CASE WHEN rn = 1 THEN 0.0::DOUBLE ELSE round(D / nullif(T, 0), 3) END AS S FROM s),
 r AS (SELECT *, {running} FROM v)"""
 
@@ -439,6 +452,10 @@ def oracle_sql() -> dict[str, str]:
         "trajectory_raw": f"""WITH {EV} SELECT 'web' AS dest_db, {by_path} AS dest_table, {column_columns()}, CAST((user_id * 37 + event_id * 13) % 360 - 180 AS DOUBLE) AS lon,
             CAST((user_id * 17 + event_id * 7) % 180 - 90 AS DOUBLE) AS lat, CAST(3857 AS BIGINT) AS srid,
             row_number() OVER (PARTITION BY path ORDER BY ms, event_id) AS cartodb_id FROM ev""",
+        "continued_ids": f"""WITH {EV} SELECT event_id, eid AS "{M.ENTITY_ID}", row_number() OVER (PARTITION BY path, eid ORDER BY event_id % 3, event_id) AS "ID" FROM ev""",
+        "ellipsoid_distance": f"""WITH p AS (SELECT event_id, CAST((user_id * 37 + event_id * 13) % 360 - 180 AS DOUBLE) AS lon, CAST((user_id * 17 + event_id * 7) % 180 - 90 AS DOUBLE) AS lat FROM events)
+            SELECT event_id, round({ellipsoid('lon', 'lat', '-3.7', '40.4')} / 1000, 3) AS km, round({ellipsoid('lon', 'lat', '0.0', '-90.0')} / 1000, 3) AS pole_km FROM p""",
+        "trajectory_ellipsoid": f"""WITH {trajectory('eid', ellipsoid('lon0', 'lat0', 'lon', 'lat'))} SELECT event_id, eid AS entity_id, D AS "stageDistance", "sumD" AS "sumDistance" FROM r""",
         "web_mercator": f"""WITH p AS (SELECT event_id, CAST((user_id * 37 + event_id * 13) % 360 - 180 AS DOUBLE) AS lon, CAST((user_id * 17 + event_id * 7) % 180 - 90 AS DOUBLE) * 0.9 AS lat FROM events)
             SELECT event_id, round({MERCATOR_RADIUS_M!r} * radians(lon), 2) AS x, round({MERCATOR_RADIUS_M!r} * ln(tan(pi() / 4 + radians(lat) / 2)), 2) AS y, CAST(3857 AS BIGINT) AS srid FROM p""",
         "latest_per_destination": f"""WITH {AR} SELECT 'web' AS dest_db, {by_path} AS dest_table, name AS attr_name, arg_max(eid, event_id) AS entity_id, max(event_id) AS event_id,

@@ -37,6 +37,7 @@ from chronoctx.options import Options
 from chronoctx.plans.pipelines import history
 from chronoctx.plans.session import shared_dir, store
 from chronoctx.sinks import files
+from chronoctx.sinks import ids as IDS
 from chronoctx.sinks import maintenance as MT
 from chronoctx.sinks import versions as V
 from chronoctx.sources import adapters as A
@@ -378,7 +379,11 @@ def encode_all(spark, d):
         .unionByName(A.table(spark, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.concat("c_name", F.lit("=x00ffé")).alias("s")))
         .unionByName(spread(A.table(spark, d, "documents"), "doc_id").select(F.lit("text").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("s")))
     )
-    coded = {f"enc_{kind}": E.encode(F.col("s"), kind) for kind in E.DENIED}
+    # Kinds that deny the same characters are coded once.
+    classes = list(dict.fromkeys(E.DENIED.values()))
+    first = {denied: kind for kind, denied in reversed(E.DENIED.items())}
+    texts = texts.select("*", *[E.encode(F.col("s"), first[denied]).alias(f"_{i}") for i, denied in enumerate(classes)])
+    coded = {f"enc_{kind}": F.col(f"_{classes.index(denied)}") for kind, denied in E.DENIED.items()}
     coded.update({
         "old": E.encode_old(F.col("s")),
         "old_path": E.encode_old(F.col("s"), encode_slash=False),
@@ -970,6 +975,31 @@ def atomic_append(spark, d):
     return stored.unionByName(V.read(spark, root, "dead_letter").withColumn(M.ATTR_NAME, F.lit("")))
 
 
+def continued_ids(spark, d):
+    """Column items whose numbers go on over three appends, one of them repeated."""
+    root = work_dir(spark, "items")
+    for batch in (0, 1, 1, 2):
+        raw = A.event_notifications(events(spark, d).filter(F.col("event_id") % 3 == batch))
+        items = history(raw, "dynamo", V2, "column", ATTRS).accepted
+        IDS.append_with_ids(spark, root, "items", items, ["dest_table"], ["event_id"], "ID", token=f"batch-{batch}")
+    return V.read(spark, root, "items").select("event_id", M.ENTITY_ID, "ID")
+
+
+def ellipsoid_distance(spark, d):
+    """Distances on the ellipsoid as columns and from SQL, and a path measured so."""
+    SQL.register(spark)
+    _points(spark, d).createOrReplaceTempView("ctx_points")
+    one = spark.sql("SELECT event_id, lon, lat, ctx_geo_distance_ellipsoid(lon, lat, -3.7D, 40.4D) / 1000 AS km FROM ctx_points")
+    two = G.distance_ellipsoid_m(F.col("lon"), F.col("lat"), F.lit(0.0), F.lit(-90.0)) / 1000
+    return one.select("event_id", F.round("km", 3).alias("km"), F.round(two, 3).alias("pole_km"))
+
+
+def trajectory_ellipsoid(spark, d):
+    points = store(_points(spark, d), "points")
+    out = TR.trajectory(points, ["entity_id"], "event_id", scale=3, measure="ellipsoid")
+    return out.select("event_id", "entity_id", "stageDistance", "sumDistance")
+
+
 # -- streams ----------------------------------------------------------------
 
 def _in_parts(spark, rows: DataFrame, part: Column, out: str, job) -> None:
@@ -1145,4 +1175,5 @@ QUERIES = [
     json_valid, sql_functions, header_capture, v2_hostile_input,
     stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_fragments_mixed, stream_live_buckets, stream_occurrences,
     failed_rows, stored_retention, stored_age, stored_prefix, stored_bytes, stored_delete, file_statistics, atomic_append,
+    continued_ids, ellipsoid_distance, trajectory_ellipsoid,
 ]

@@ -31,7 +31,7 @@ ORPHAN_MS = 24 * 3_600_000
 
 
 class Conflict(Exception):
-    """Another writer has taken out files that this one rewrote."""
+    """Another writer came first with something that this one depends on."""
 
 
 def _system(spark: SparkSession, path: str):
@@ -114,12 +114,13 @@ def _written(spark: SparkSession, root: str, table: str, name: str, time_ms: str
 def commit(
     spark: SparkSession, root: str, tables: dict[str, DataFrame], partitions: tuple[str, ...] = ("dest_db", "recv_day"),
     order: tuple[str, ...] = ("dest_table",), time_ms: str = M.RECV_TIME_TS, token: str | None = None,
-    taken_out: DataFrame | None = None,
+    taken_out: DataFrame | None = None, based_on: int | None = None,
 ) -> int:
     """Add rows to tables, and take files (``table, path``) out, in one version,
     whose number is returned. A table is partitioned and sorted by those of the
     columns that it has. A ``token`` that a version already has is not written
-    again: a repeated batch finds its first attempt."""
+    again: a repeated batch finds its first attempt. With ``based_on`` the version is
+    made only if it directly follows that one."""
     known = versions(spark, root)
     if token is not None:
         for number, record in known.items():
@@ -140,6 +141,10 @@ def commit(
         whole = whole.unionByName(part)
     whole.write.parquet(f"{root}/lists/commit={name}")
     record = {"commit": name, "token": token, "tables": sorted(tables)}
+    if based_on is not None:
+        if not _publish(spark, root, based_on + 1, record):
+            raise Conflict(f"version {based_on} of {root} is not the newest")
+        return based_on + 1
     while not _publish(spark, root, number := max(known, default=0) + 1, record):
         before, known = known, versions(spark, root)
         if token is not None:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chronoctx.operators import retention as R
 from chronoctx.plans.session import shared_dir
+from chronoctx.sinks import ids as IDS
 from chronoctx.sinks import maintenance as MT
 from chronoctx.sinks import versions as V
 
@@ -130,3 +131,33 @@ def test_old_rows_are_found_without_reading(spark, root, filled, monkeypatch):
     monkeypatch.setattr(V, "_read", lambda *a: pytest.fail("a file was read"))
     assert MT.drop_expired(spark, root, "t", 10**9 * DAY, 1, **LAYOUT) == 3
     assert V.file_list(spark, root).count() == 0
+
+
+def test_ids_go_on_over_appends_and_rivals(spark, root, monkeypatch):
+    rows = records(spark, 120).select("dest", F.col("_id").alias("n"), "ms")
+
+    def append(part, token, **more):
+        return IDS.append_with_ids(spark, root, "t", rows.filter(part), ["dest"], ["n"], token=token, partitions=(), order=("dest",), time_ms="ms", **more)
+
+    assert append("n < 40", "a") == 1 and append("n between 40 and 79", "b", hot_rows=5) == 2 and append("n < 40", "a") == 1
+    commit, rivals = V.commit, iter([1])
+
+    def late(*args, **kw):
+        if next(rivals, None):
+            append("n between 80 and 89", "rival")
+        return commit(*args, **kw)
+
+    monkeypatch.setattr(V, "commit", late)
+    assert append("n >= 90", "c") == 4
+    monkeypatch.undo()
+    assert IDS.compact(spark, root, "t", ["dest"]) == 5
+    assert append("n < 4", "d") == 6
+    found = {}
+    for r in V.read(spark, root, "t").collect():
+        found.setdefault(r.dest, []).append((r._id, r.n))
+    for dest, numbered in found.items():
+        assert [i for i, _ in sorted(numbered)] == list(range(1, len(numbered) + 1))
+    first = [n for _, n in sorted(found["hot"])]
+    assert first == [*range(0, 120, 2), 0, 2]
+    last = {r.dest: r.last_id for r in IDS.largest(spark, root, "t", ["dest"]).collect()}
+    assert last == {dest: len(numbered) for dest, numbered in found.items()}
