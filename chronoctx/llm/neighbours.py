@@ -15,8 +15,9 @@ or behind the last of the nearest, is looked at too. Equal vectors are indexed o
 more sample vectors than a search has to return, so none ends short.
 
 Null vectors, and those with null or non-finite components or of length zero,
-take no part; nor do vectors of another dimension than most have. With fewer
-candidates than ``k`` all are returned. Ties go to the smaller id; rows that
+take no part. Shorter vectors count as followed by zeros. Vectors are scaled by a
+power of two first, which changes no cosine, so that very long and very short ones
+have one. With fewer candidates than ``k`` all are returned. Ties go to the smaller id; rows that
 repeat an id and vector count once. Extra columns are not read; an empty table
 gives an empty result.
 """
@@ -160,12 +161,13 @@ def _usable(vectors: DataFrame) -> DataFrame:
     values = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")).where(
         F.col("id").isNotNull() & F.col("vec").isNotNull())
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    # A vector whose squares vanish or overflow has no cosine in double precision.
-    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    sound = values.where(finite).where((squares > 0) & (squares < float("inf")))
-    sizes = sound.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
-    if sizes:
-        sound = sound.where(F.size("vec") == sizes[0]["n"])
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    sound = values.where(finite).where(largest > 0)
+    width = sound.agg(F.max(F.size("vec"))).first()[0] or 0
+    # In two steps, as a power for the smallest numbers is beyond a double.
+    half = F.pow(F.lit(2.0), F.floor(-F.log2(largest) / 2))
+    scaled = F.transform("vec", lambda x: x * half * half)
+    sound = sound.select("id", F.concat(scaled, F.array_repeat(F.lit(0.0), F.lit(width) - F.size("vec"))).alias("vec"))
     key = F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit("vec"), "vec").alias("b"))
     return sound.select("id", "vec", key.alias("v"))
 

@@ -28,7 +28,7 @@ def test_few_vectors_are_searched_exactly(spark):
     rows = [(i, chance.normal(size=4).tolist()) for i in range(40)]
     rows += [(100 + i, rows[0][1]) for i in range(12)]  # copies: ties go to smaller ids
     bad = [(200, None), (201, [0.0] * 4), (202, [1.0, float("nan"), 0.0, 0.0]), (203, [1.0, None, 0.0, 0.0]),
-           (204, [float("inf"), 0.0, 0.0, 0.0]), (205, [1.0, 2.0]), (None, [1.0, 1.0, 1.0, 1.0])]
+           (204, [float("inf"), 0.0, 0.0, 0.0]), (205, []), (None, [1.0, 1.0, 1.0, 1.0])]
     df = spark.createDataFrame([(i, v, 1, "mine") for i, v in rows + bad + rows[:1]], "vec_id long, embedding array<double>, label int, v string")
     assert found(neighbours.nearest(df, lambda i: i >= 0)) == brute(rows, 5)
 
@@ -62,3 +62,17 @@ def test_scaled_copies_tie_as_in_brute_force(spark):
         df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
         want = {i: v for i, v in brute(rows, 5).items() if i < 400}
         assert found(neighbours.nearest(df, lambda i: i < 400)) == want
+
+
+def test_extreme_and_shorter_vectors_take_part(spark):
+    prepare(spark)
+    chance = np.random.default_rng(9)
+    rows = [(i, (chance.normal(size=4) * s).tolist()) for i, s in enumerate([1e-200, 1e200, 5e-324, 1e-308, 1.7e308, 1.0, 3.0, 1e-5] * 5)]
+    rows = [(i, [x if np.isfinite(x) else 1.7e308 for x in v]) for i, v in rows] + [(900, [2.0]), (901, [1.0, 2.0]), (902, [1e-200, 0.0, 0.0, 1e-200])]
+    rows = [(i, v) for i, v in rows if any(v)]
+    scaled = [(i, [x / max(map(abs, v)) for x in v] + [0.0] * (4 - len(v))) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = found(neighbours.nearest(df, lambda i: i >= 0)), brute(scaled, 5)
+    assert set(got) == {i for i, _ in rows}
+    for i, near in want.items():
+        assert np.allclose([s for _, s in got[i]], [s for _, s in near], atol=1e-9)
