@@ -45,7 +45,7 @@ def numeric_buckets(
     """
     x = F.col(value)
     types = [attr_type] if attr_type else []
-    rows = _rolled(rows.filter(x.isNotNull()).select(*keys, *types, value, ts), ts, resolutions)
+    rows = rolled(rows.filter(x.isNotNull()).select(*keys, *types, value, ts), ts, resolutions)
     buckets = rows.groupBy(*keys, *types, "resolution", "_start").agg(
         F.count("*").alias("samples"), F.sum(x).alias("sum"), F.sum(x * x).alias("sum2"),
         F.min(x).alias("min"), F.max(x).alias("max"), F.max(ts).alias("last_ts"),
@@ -54,7 +54,7 @@ def numeric_buckets(
         # the type is a grouping key first, which keeps the large aggregation
         # on fixed-width buffers; few buckets have more than one type to merge
         buckets = merge_units(buckets, [*keys, "resolution", "_start"], attr_type)
-    return _label(buckets, keys)
+    return labelled(buckets, keys)
 
 
 def merge_units(partials: DataFrame, keys: list[str], attr_type: str | None = None) -> DataFrame:
@@ -76,11 +76,11 @@ def categorical_buckets(
 ) -> DataFrame:
     """Occurrences per bucket and value, one row each (``samples`` is how often
     the value was seen)."""
-    rows = _rolled(rows.filter(F.col(value).isNotNull()).select(*keys, value, ts), ts, resolutions)
+    rows = rolled(rows.filter(F.col(value).isNotNull()).select(*keys, value, ts), ts, resolutions)
     counts = rows.groupBy(*keys, value, "resolution", "_start").agg(
         F.count("*").alias("samples"), F.max(ts).alias("last_ts")
     )
-    return _label(counts, [*keys, value])
+    return labelled(counts, [*keys, value])
 
 
 def merge_categorical(partials: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -150,7 +150,7 @@ def _slots() -> Column:
     return out
 
 
-def _rolled(rows: DataFrame, ts: str, resolutions: tuple[str, ...]) -> DataFrame:
+def rolled(rows: DataFrame, ts: str, resolutions: tuple[str, ...]) -> DataFrame:
     """Every row once per resolution, with the start of its bucket there."""
     if not resolutions or set(resolutions) - set(ALL_RESOLUTIONS):
         raise ValueError(f"resolutions must be some of {ALL_RESOLUTIONS}")
@@ -161,7 +161,7 @@ def _rolled(rows: DataFrame, ts: str, resolutions: tuple[str, ...]) -> DataFrame
     return rows.select(*rows.columns, F.inline(starts))
 
 
-def _label(rolled: DataFrame, keys: list[str]) -> DataFrame:
+def labelled(rolled: DataFrame, keys: list[str]) -> DataFrame:
     """Turn (resolution, start) into resolution, range, origin and offset."""
     start = F.col("_start")
 

@@ -428,6 +428,7 @@ def oracle_sql() -> dict[str, str]:
         "bucket_merge": numeric_buckets(["minute", "day"]),
         "stream_buckets": numeric_buckets(["minute", "day"]),
         "stream_live_buckets": numeric_buckets(["day"], "event_type"),
+        "stream_live_months": numeric_buckets(["hour", "day", "month"]),
         "bucket_dense": f"WITH {EV} {dense('hour', 0, 23)} UNION ALL {dense('month', 1, 12)}",
         "bucket_categorical": f"WITH {EV} " + " UNION ALL ".join(categorical_bucket(r) for r in ("hour", "day", "month")),
         "stream_occurrences": f"WITH {EV} " + " UNION ALL ".join(categorical_bucket(r) for r in ("hour", "day", "month")),

@@ -46,6 +46,7 @@ from chronoctx.sources.adapters import spread
 from chronoctx.streaming import buckets as SB
 from chronoctx.streaming import fragments as SF
 from chronoctx.streaming import history as SH
+from chronoctx.streaming import live as SL
 from chronoctx.streaming import runtime
 from chronoctx.streaming import trajectory as ST
 
@@ -1144,22 +1145,32 @@ def failed_rows(spark, d):
 
 
 def stream_live_buckets(spark, d):
-    """Day buckets as a streaming aggregation of rows that come late and mixed."""
+    """Day buckets in keyed state, of rows that come late and mixed."""
     out = work_dir(spark, "stream-live")
 
-    def job(stream: DataFrame):
-        rows = stream.select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
-        live = SB.live_buckets(rows, ["event_type"], "day")
-        return live.writeStream.outputMode("update").option("checkpointLocation", f"{out}/checkpoint").foreachBatch(
-            lambda b, i: files.write_batch(b, f"{out}/updates", i)
-        ).trigger(availableNow=True).start()
+    def of(stream: DataFrame) -> DataFrame:
+        rows = stream.select("event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("recv_time_ts"), "value")
+        return SL.live_buckets(rows, ["event_type"], 2 * 86_400_000, resolutions=("day",))
 
-    _events_in_parts(spark, d, out, job, mixed=True)
-    updates = spark.read.parquet(f"{out}/updates")
-    final = TR.latest(updates, ["event_type", "origin", "offset"], "batch_id")
+    _run(spark, d, out, SL.live_writer(out), mixed=True, of=of)
+    final = SL.read_live(spark, out, ["event_type"])
     return _bucket_columns(final).select("event_type", "resolution", "range", "origin", "offset", "samples", "sum", "sum2", "min", "max")
 
 
+def stream_live_months(spark, d):
+    """Live buckets of users at three resolutions, months among them; the events
+    come in order, so that buckets close while the stream runs."""
+    out = work_dir(spark, "stream-months")
+
+    def of(stream: DataFrame) -> DataFrame:
+        rows = P.attribute_rows(P.parse(A.event_notifications(stream)))
+        numbers = rows.select("entity_id", "attr_name", "recv_time_ts", B.numeric_value(F.col("attr_value")).alias("value"))
+        return SL.live_buckets(numbers, _BUCKET_KEYS, 3_600_000, resolutions=("hour", "day", "month"))
+
+    _run(spark, d, out, SL.live_writer(out), of=of)
+    return _bucket_columns(SL.read_live(spark, out, _BUCKET_KEYS).drop("last_ts"))
+
+
 QUERIES = [
     v2_row_history, v2_column_history, v2_discovered_columns, v2_column_map, v2_ckan_compat_rows, v2_metadata_rows,
     v2_time_instant, v2_multi_path, v2_rejects, ld_column_history, ld_attribute_rows, ld_edges, ld_nodes,
@@ -1173,7 +1184,7 @@ QUERIES = [
     catalog_packages, catalog_resources, catalog_organizations, catalog_missing, catalog_join,
     vocab_invalid, vocab_valid, format_lookup, new_columns, typed_params, fragments_status, fragments_ready,
     json_valid, sql_functions, header_capture, v2_hostile_input,
-    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_fragments_mixed, stream_live_buckets, stream_occurrences,
+    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_fragments_mixed, stream_live_buckets, stream_live_months, stream_occurrences,
     failed_rows, stored_retention, stored_age, stored_prefix, stored_bytes, stored_delete, file_statistics, atomic_append,
     continued_ids, ellipsoid_distance, trajectory_ellipsoid,
 ]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chronoctx.operators import buckets as B
 from chronoctx.sinks.files import write_batch
-from chronoctx.streaming.runtime import read_or_none
+from chronoctx.streaming.runtime import batches, read_committed
 
 
 def bucket_writer(
@@ -43,45 +43,31 @@ def categorical_writer(
 
 
 def read_occurrences(spark: SparkSession, out: str, keys: list[str], value: str = "value") -> DataFrame:
-    """The merged occurrences of all batches."""
-    return B.merge_categorical(spark.read.parquet(f"{out}/partials"), keys, value)
+    """The merged occurrences of all committed batches."""
+    return B.merge_categorical(read_committed(spark, out, "partials"), keys, value)
 
 
 def read_buckets(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """The merged buckets of all batches."""
-    partials = spark.read.parquet(f"{out}/partials")
-    compacted = read_or_none(spark, f"{out}/compacted")
-    if compacted is not None:
-        upto = compacted.agg(F.max("upto")).first()[0]
-        partials = partials.filter(F.col("batch_id") > upto).drop("batch_id").unionByName(
-            compacted.filter(F.col("upto") == upto).drop("upto")
-        )
+    """The merged buckets of all committed batches."""
+    partials = read_committed(spark, out, "partials")
+    done = batches(spark, f"{out}/compacted", "upto")
+    if done:
+        # The folder is named after the batch it reaches to: the newest one holds all before.
+        compacted = spark.read.parquet(f"{out}/compacted/upto={done[-1]}")
+        partials = partials.filter(F.col("batch_id") > done[-1]).drop("batch_id").unionByName(compacted)
     return B.merge_numeric(partials, keys)
 
 
-def compact(spark: SparkSession, out: str, keys: list[str], upto: int) -> None:
-    """Merge the batches up to ``upto`` into one table."""
-    partials = spark.read.parquet(f"{out}/partials").filter(F.col("batch_id") <= upto)
-    B.merge_numeric(partials, keys).write.mode("overwrite").parquet(f"{out}/compacted/upto={upto}")
-
-
-def live_buckets(rows: DataFrame, keys: list[str], resolution: str, value: str = "value") -> DataFrame:
-    """Buckets of one resolution as a streaming aggregation (update mode). Late
-    rows merge into their buckets, however late they are, so there is no watermark
-    and the state holds a row per bucket; ``bucket_writer`` needs no state.
-    ``rows`` has a ``ts`` timestamp; months have no fixed length, use the partial
-    buckets for them."""
-    if resolution == "month":
-        raise ValueError("no streaming window has the length of a month")
-    x = F.col(value)
-    window = F.window("ts", f"1 {resolution}")
-    grouped = rows.groupBy(*keys, window.alias("_window")).agg(
-        F.count(x).alias("samples"), F.sum(x).alias("sum"), F.sum(x * x).alias("sum2"),
-        F.min(x).alias("min"), F.max(x).alias("max"),
-    )
-    start = F.col("_window.start")
-    return grouped.select(
-        *keys, F.lit(resolution).alias("resolution"), F.lit(B.T.RESOLUTIONS[resolution][0]).alias("range"),
-        B.T.bucket_origin(start, resolution).alias("origin"), B.T.bucket_offset(start, resolution).alias("offset"),
-        "samples", "sum", "sum2", "min", "max",
-    )
+def compact(spark: SparkSession, out: str, keys: list[str], upto: int) -> int:
+    """Merge the committed batches up to ``upto`` into one table; says how far it
+    reaches. A batch that waits in ``retry`` may still come, so it ends before that."""
+    waiting = batches(spark, f"{out}/retry")
+    upto = min([upto, *(number - 1 for number in waiting)])
+    partials = read_committed(spark, out, "partials").filter(F.col("batch_id") <= upto).drop("batch_id")
+    older = [number for number in batches(spark, f"{out}/compacted", "upto") if number <= upto]
+    if older:
+        partials = read_committed(spark, out, "partials").filter(F.col("batch_id").between(older[-1] + 1, upto)).drop("batch_id").unionByName(
+            spark.read.parquet(f"{out}/compacted/upto={older[-1]}"))
+    if upto >= 0 and upto not in older:
+        B.merge_numeric(partials, keys).write.mode("overwrite").parquet(f"{out}/compacted/upto={upto}")
+    return upto
