@@ -298,24 +298,37 @@ def _md_link(username: str, md_file: Column) -> Column:
     return F.concat(F.lit(f"hdfs:///user/{username}/"), md_file)
 
 
-def csv_row_layout(rows: DataFrame, username: str) -> DataFrame:
-    """``csv-row`` columns; metadata is a link to the side file (``md_file``)."""
+def _side_lines(md_file: Column, md: Column) -> Column:
+    """What belongs into the side file of an attribute, as an array of records."""
+    return F.transform(md, lambda item: F.struct(
+        md_file.alias("md_file"), F.col("recv_time_ts").alias(M.RECV_TIME_TS), item["name"].alias("name"), item["type"].alias("type"),
+        item["value"].alias("value")))
+
+
+def csv_row_layout(rows: DataFrame, username: str, side: bool = False) -> DataFrame:
+    """``csv-row`` columns; metadata is a link to the side file (``md_file``). With
+    ``side`` the records of that file come along (``metadata``)."""
+    records = [_side_lines(F.col("md_file"), F.col("md")).alias("metadata")] if side else []
     return rows.select(
         *_carried(rows), T.seconds(F.col("recv_time_ts")).alias(M.RECV_TIME_TS),
         *_event_fields(strip_path=False)[1:],
         F.col("attr_name").alias(M.ATTR_NAME), F.col("attr_type").alias(M.ATTR_TYPE),
         F.regexp_replace("attr_value", '"', "").alias(M.ATTR_VALUE),
-        _md_link(username, F.col("md_file")).alias(M.ATTR_MD_FILE),
+        _md_link(username, F.col("md_file")).alias(M.ATTR_MD_FILE), *records,
     )
 
 
-def csv_column_layout(entities: DataFrame, names: list[str], username: str, md_file) -> DataFrame:
-    """``csv-column`` columns; ``md_file(attribute)`` gives the side file name."""
-    out = []
+def csv_column_layout(entities: DataFrame, names: list[str], username: str, md_file, side: bool = False) -> DataFrame:
+    """``csv-column`` columns; ``md_file(attribute)`` gives the side file name. With
+    ``side`` the records of these files come along (``metadata``)."""
+    out, records = [], []
     for name in names:
         attribute = _find(F.col("attrs"), name)
         out.append(F.regexp_replace(attribute["value"], '"', "").alias(name))
         out.append(F.when(attribute.isNotNull(), _md_link(username, md_file(attribute))).alias(f"{name}_md_file"))
+        records.append(F.coalesce(_side_lines(md_file(attribute), attribute["md"]), F.array()))
+    if side:
+        out.append(F.concat(*records).alias("metadata"))
     return entities.select(*_carried(entities), *_event_fields(strip_path=False)[1:], *out)
 
 

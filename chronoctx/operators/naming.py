@@ -172,19 +172,28 @@ def hdfs_names(df: DataFrame, opts: Options = Options(), destination: Column | N
     return named.withColumns({c: _maybe_lower(F.col(c), opts.enable_lowercase) for c in names})
 
 
-def hdfs_metadata_names(df: DataFrame, destination: Column | None = None) -> DataFrame:
-    """Folder and file of the metadata of one attribute."""
-    dest = F.col("entity_id") if destination is None else destination
+def hdfs_metadata_folder(dest: Column, attr_name: Column, attr_type: Column) -> tuple[Column, Column]:
+    """Folder of the metadata of one attribute of a row, and the last part of its path."""
     slash = F.when(F.col("service_path") == "/", F.lit("")).otherwise(F.lit("/"))
     parent = F.concat(
         E.encode_hdfs(F.col("service")), E.encode_hdfs(F.col("service_path"), allow_slashes=True), slash
     )
-    leaf = _join(E.CONCATENATOR, [E.encode_hdfs(c) for c in (dest, F.col("attr_name"), F.col("attr_type"))])
-    named = df.withColumns({"_parent": parent, "_leaf": leaf})
-    return named.withColumns({
-        "md_folder": F.concat("_parent", "_leaf"),
-        "md_file": F.concat("_parent", "_leaf", F.lit("/"), "_leaf", F.lit(".txt")),
-    }).drop("_parent", "_leaf")
+    leaf = _join(E.CONCATENATOR, [E.encode_hdfs(c) for c in (dest, attr_name, attr_type)])
+    return F.concat(parent, leaf), leaf
+
+
+def hdfs_metadata_names(df: DataFrame, destination: Column | None = None) -> DataFrame:
+    """Folder and file of the metadata of one attribute."""
+    dest = F.col("entity_id") if destination is None else destination
+    folder, leaf = hdfs_metadata_folder(dest, F.col("attr_name"), F.col("attr_type"))
+    named = df.withColumns({"md_folder": folder, "_leaf": leaf})
+    return named.withColumn("md_file", F.concat("md_folder", F.lit("/"), "_leaf", F.lit(".txt"))).drop("_leaf")
+
+
+def hdfs_metadata_file(attribute: Column) -> Column:
+    """File of the metadata of an attribute (a struct) of an entity row."""
+    folder, leaf = hdfs_metadata_folder(F.col("entity_id"), attribute["name"], attribute["type"])
+    return F.concat(folder, F.lit("/"), leaf, F.lit(".txt"))
 
 
 def hive_table_name(folder: Column, file_format: str, username: str, service_as_namespace: bool = True) -> Column:

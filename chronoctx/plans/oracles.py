@@ -134,6 +134,31 @@ def categorical_bucket(resolution: str) -> str:
     )
 
 
+# collection and key of a bucket document, per data model
+DOCUMENT_KEYS = {
+    "db-by-service-path": ("path", "eid || '|User|value'"), "db-by-entity": ("path || '|' || eid || '|User'", "'value'"),
+    "db-by-attribute": ("path || '|' || eid || '|User|value'", "''"),
+}
+
+
+def documents(model: str, resolution: str) -> str:
+    collection, key = DOCUMENT_KEYS[model]
+    size = {"hour": 24, "month": 12}[resolution]
+    keys = f"'{model}' AS model, {collection} AS collection, {key} AS doc_key, 'Number' AS \"attrType\", CAST({size} AS BIGINT) AS n_points"
+    return numeric_bucket(resolution, keys)
+
+
+def side_files() -> str:
+    """Links of all rows, and the metadata lines behind them."""
+    leaf = f"{enc('eid', 'hdfs')} || 'xffff' || name || 'xffff' || type"
+    lines = "CASE WHEN name = 'value' THEN count(*) ELSE 0 END"
+    return (
+        f"SELECT 'hdfs:///user/hist/web' || path || '/' || {leaf} || '/' || {leaf} || '.txt' AS link, count(*) AS n_rows, 2 * {lines} AS n_lines, "
+        f"CASE WHEN name = 'value' THEN min(ms) ELSE 0 END AS first_ms, CASE WHEN name = 'value' THEN max(ms) ELSE 0 END AS last_ms, "
+        f"CASE WHEN name = 'value' THEN 'TimeInstant,unit' ELSE '' END AS names FROM ar GROUP BY path, eid, name, type"
+    )
+
+
 def dense(resolution: str, first: int, last: int) -> str:
     rng, slot = BUCKETS[resolution]
     return (
@@ -415,6 +440,8 @@ def oracle_sql() -> dict[str, str]:
         "hdfs_md_files": f"""WITH {EV}, m AS (SELECT *, 'unit' AS name, 'Text' AS type, 'ms' AS v FROM ev UNION ALL SELECT *, 'TimeInstant', 'DateTime', strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') FROM ev),
             n AS (SELECT *, eid || 'xffffvaluexffffNumber' AS leaf FROM m)
             SELECT event_id, 'web' || path || '/' || leaf || '/' || leaf || '.txt' AS md_file, ms AS "{M.RECV_TIME_TS}", name, type, v AS value FROM n""",
+        "hdfs_csv_row_side_files": f"WITH {AR} {side_files()}",
+        "hdfs_csv_column_side_files": f"WITH {AR} {side_files()}",
         "external_table_scan": f"""WITH {AR} SELECT eid || ',' || name || ',' || count(*) || ',' || max(ms // 1000) AS row FROM ar WHERE name <> 'props' GROUP BY eid, name""",
         "encode_all": encode_all(),
         "destination_names": destination_names(),
@@ -429,6 +456,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_buckets": numeric_buckets(["minute", "day"]),
         "stream_live_buckets": numeric_buckets(["day"], "event_type"),
         "stream_live_months": numeric_buckets(["hour", "day", "month"]),
+        "bucket_documents": f"WITH {EV} " + " UNION ALL ".join(documents(m, r) for m in DOCUMENT_KEYS for r in ("hour", "month")),
+        "stored_documents": f"WITH {EV} SELECT * FROM ({documents('db-by-entity', 'hour')}) WHERE origin >= '2024-01-10 00:00:00'",
+        "merged_occurrences": f"""WITH {EV}, c AS (SELECT path, eid, event_type, day(ts) AS slot, strftime(date_trunc('month', ts), '%Y-%m-%d %H:%M:%S') AS origin, count(*) AS n FROM ev GROUP BY ALL)
+            SELECT 'db-by-attribute' AS model, path || '|' || eid || '|User|kind' AS collection, '' AS doc_key, 'day' AS resolution, 'month' AS "range", origin, 'Text' AS "attrType", CAST(31 AS BIGINT) AS n_points,
+            CAST(slot AS BIGINT) AS "offset", CAST(sum(n) AS BIGINT) AS samples, string_agg(event_type || ':' || n, ',' ORDER BY event_type) AS occur FROM c GROUP BY path, eid, slot, origin""",
         "bucket_dense": f"WITH {EV} {dense('hour', 0, 23)} UNION ALL {dense('month', 1, 12)}",
         "bucket_categorical": f"WITH {EV} " + " UNION ALL ".join(categorical_bucket(r) for r in ("hour", "day", "month")),
         "stream_occurrences": f"WITH {EV} " + " UNION ALL ".join(categorical_bucket(r) for r in ("hour", "day", "month")),

@@ -25,6 +25,7 @@ from chronoctx.functions import times as T
 from chronoctx.functions import vocab
 from chronoctx.operators import buckets as B
 from chronoctx.operators import catalog as C
+from chronoctx.operators import documents as D
 from chronoctx.operators import evolve
 from chronoctx.operators import fragments as FR
 from chronoctx.operators import graph
@@ -355,6 +356,45 @@ def hdfs_md_files(spark, d):
     return L.csv_metadata_layout(named).drop("md_folder")
 
 
+_SIDE = f"md_file STRING, {M.RECV_TIME_TS} BIGINT, name STRING, type STRING, value STRING, dest_db STRING"
+
+
+def _linked(links: DataFrame, lines: DataFrame) -> DataFrame:
+    """Every link with the rows that have it and the lines of the file it leads to."""
+    rows = links.groupBy("link").agg(F.count("*").alias("n_rows"))
+    link = F.concat(F.lit("hdfs:///user/hist/"), F.col("md_file")).alias("link")
+    found = lines.groupBy(link).agg(
+        F.count("*").alias("n_lines"), F.min(M.RECV_TIME_TS).alias("first_ms"), F.max(M.RECV_TIME_TS).alias("last_ms"),
+        F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
+    both = rows.join(found, "link", "full")
+    return both.select("link", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_lines", "first_ms", "last_ms")],
+                       F.coalesce("names", F.lit("")).alias("names"))
+
+
+def hdfs_csv_row_side_files(spark, d):
+    """CSV rows and metadata side files written in one pass and followed from one to the other."""
+    path = work_dir(spark, "csv-row-side")
+    named = N.accepted_names(N.hdfs_names(N.hdfs_metadata_names(event_rows(spark, d))))
+    out = L.csv_row_layout(named, "hist", side=True).drop("dest_folder", "dest_file", "md_folder", "md_file")
+    for half in (0, 1):
+        files.append_csv_with_metadata(out.filter(F.col("event_id") % 2 == half), path)
+    schema = ", ".join(f"{f} STRING" for f in out.columns if f not in ("dest_db", "metadata")) + ", dest_db STRING"
+    rows = files.read_csv_part(spark, path, "rows", schema)
+    return _linked(rows.select(F.col(M.ATTR_MD_FILE).alias("link")), files.read_csv_part(spark, path, "metadata", _SIDE))
+
+
+def hdfs_csv_column_side_files(spark, d):
+    """The same for entities with an attribute in each column."""
+    path = work_dir(spark, "csv-column-side")
+    named = N.accepted_names(N.hdfs_names(event_entities(spark, d)))
+    out = L.csv_column_layout(named, ATTRS, "hist", N.hdfs_metadata_file, side=True).drop("dest_folder", "dest_file")
+    files.append_csv_with_metadata(out, path)
+    schema = ", ".join(f"{f} STRING" for f in out.columns if f not in ("dest_db", "metadata")) + ", dest_db STRING"
+    rows = files.read_csv_part(spark, path, "rows", schema)
+    links = rows.select(F.explode(F.array(*[f"{a}_md_file" for a in ATTRS])).alias("link"))
+    return _linked(links, files.read_csv_part(spark, path, "metadata", _SIDE))
+
+
 def external_table_scan(spark, d):
     """A catalog table over the JSON folder of one tenant, read as text rows."""
     path = work_dir(spark, "external")
@@ -562,6 +602,52 @@ def bucket_occurrences(spark, d):
     )
 
 
+def _document_rows(spark, d) -> DataFrame:
+    return event_rows(spark, d).select(
+        "event_id", "service_path", "entity_id", "entity_type", "attr_name", "attr_type", "recv_time_ts", "attr_value",
+        B.numeric_value(F.col("attr_value")).alias("value"))
+
+
+def _points_of(documents: DataFrame, model: str) -> DataFrame:
+    """The slots with samples of each document, its collection and ``_id`` as text."""
+    fields = [F.col(f"_id.{f}") for f in (D.ID_FIELDS[k] for k in B.MODEL_KEYS[model])]
+    flat = documents.select(
+        F.lit(model).alias("model"), F.concat_ws("|", *D.collection_keys(model)).alias("collection"), F.concat_ws("|", *fields).alias("doc_key"),
+        F.col("_id.resolution").alias("resolution"), F.col("_id.range").alias("range"), F.col("_id.origin").alias("origin"), "attrType",
+        F.size("points").cast("bigint").alias("n_points"), F.inline("points"))
+    return flat.filter("samples > 0")
+
+
+def bucket_documents(spark, d):
+    """Bucket documents in the form of the store, by each of the three data models."""
+    rows = store(_document_rows(spark, d), "document-rows")
+    parts = [_points_of(D.numeric_documents(rows, model, resolutions=("hour", "month")), model) for model in B.MODEL_KEYS]
+    return _bucket_columns(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def stored_documents(spark, d):
+    """Documents of three batches, one of them repeated, merged into a stored table;
+    then those whose origin has expired go."""
+    root = work_dir(spark, "documents")
+    rows = store(_document_rows(spark, d), "document-rows")
+    for batch in (0, 1, 1, 2):
+        fresh = D.numeric_documents(rows.filter(F.col("event_id") % 3 == batch), resolutions=("hour",))
+        D.upsert(spark, root, "aggregates", store(fresh, "fresh-documents"), token=f"batch-{batch}")
+    D.drop_expired(spark, root, "aggregates", NOW_MS, 10 * 86_400)
+    stored = V.read(spark, root, "aggregates").select("service_path", "entity_id", "entity_type", "_id", "attrType", "points")
+    return _bucket_columns(_points_of(stored, O.BY_ENTITY))
+
+
+def merged_occurrences(spark, d):
+    """Documents that count every value, of two batches, merged slot by slot."""
+    rows = store(_document_rows(spark, d).filter("attr_name = 'kind'").drop("value"), "document-rows")
+    one, two = (D.categorical_documents(rows.filter(F.col("event_id") % 2 == i), O.BY_ATTRIBUTE, "attr_value", resolutions=("day",)) for i in (0, 1))
+    merged = store(D.merge_documents(one, two), "merged-documents")
+    pairs = F.transform(F.array_sort(F.map_entries("occur")), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    flat = _points_of(merged, O.BY_ATTRIBUTE).withColumn("occur", F.array_join(pairs, ","))
+    return flat.withColumns({"origin": iso("origin"), "offset": F.col("offset").cast("bigint")})
+
+
 # -- trajectories -----------------------------------------------------------
 
 def _points(spark, d, raw: DataFrame | None = None) -> DataFrame:
@@ -1176,9 +1262,9 @@ QUERIES = [
     v2_time_instant, v2_multi_path, v2_rejects, ld_column_history, ld_attribute_rows, ld_edges, ld_nodes,
     mysql_rows, cassandra_rows, dynamo_items, dynamo_column_items, mongo_docs_by_path, mongo_docs_by_attribute,
     mongo_column_docs, ckan_records, ckan_row_records, ckan_fields, ckan_upsert,
-    hdfs_json_rows, hdfs_json_columns, hdfs_csv_rows, hdfs_csv_columns, hdfs_md_files, external_table_scan,
+    hdfs_json_rows, hdfs_json_columns, hdfs_csv_rows, hdfs_csv_columns, hdfs_md_files, hdfs_csv_row_side_files, hdfs_csv_column_side_files, external_table_scan,
     encode_all, destination_names, document_store_names, catalog_names, destination_counts, destination_columns, destinations,
-    bucket_numeric, bucket_hot_path, bucket_merge, bucket_dense, bucket_categorical, bucket_occurrences,
+    bucket_numeric, bucket_hot_path, bucket_merge, bucket_dense, bucket_categorical, bucket_occurrences, bucket_documents, stored_documents, merged_occurrences,
     trajectory_stats, trajectory_by_path, trajectory_resume, trajectory_moments, trajectory_raw, web_mercator, latest_per_destination,
     page_read, existing_row_counts, retain_newest, retain_age, retain_prefix, retain_bytes, delete_by_id,
     catalog_packages, catalog_resources, catalog_organizations, catalog_missing, catalog_join,

@@ -70,6 +70,24 @@ def append_csv(df: DataFrame, path: str, partitions: tuple[str, ...] = ("dest_db
     clustered(df, list(partitions), []).write.mode("append").partitionBy(*partitions).csv(path, emptyValue="")
 
 
+def append_csv_with_metadata(df: DataFrame, path: str, partitions: tuple[str, ...] = ("dest_db",)) -> None:
+    """Append CSV rows and the records of their side files (column ``metadata``, an
+    array of structs) in one pass: to ``<path>/part=rows`` and ``<path>/part=metadata``,
+    below the same partition folders. Both come from the same row, so no link is
+    written without its records."""
+    quoting = {"emptyValue": "", "timeZone": "UTC"}
+    names = [c for c in df.columns if c not in (*partitions, "metadata")]
+    row = F.struct(F.lit("rows").alias("part"), F.to_csv(F.struct(*names), quoting).alias("line"))
+    side = F.transform("metadata", lambda r: F.struct(F.lit("metadata").alias("part"), F.to_csv(r, quoting).alias("line")))
+    lines = df.select(*partitions, F.inline(F.concat(F.array(row), side)))
+    clustered(lines, ["part", *partitions], []).write.mode("append").partitionBy("part", *partitions).text(path)
+
+
+def read_csv_part(spark: SparkSession, path: str, part: str, schema: str) -> DataFrame:
+    """Rows or metadata as ``append_csv_with_metadata`` wrote them."""
+    return spark.read.schema(schema).csv(f"{path}/part={part}")
+
+
 def export_by_destination(
     df: DataFrame, path: str, column: str = "dest_folder", fmt: str = "text"
 ) -> None:
