@@ -392,6 +392,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events CROSS JOIN (SELECT unnest([0, 1]) AS p)""",
         "v2_rejects": REJECTS,
         "stream_dead_letter": "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'malformed-notification' ELSE 'accepted' END AS reject_reason FROM events",
+        "stream_versions": "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'malformed-notification' ELSE 'accepted 3' END AS reject_reason FROM events",
         "ld_column_history": f"WITH {OD} SELECT event_id, 'sales' AS dest_db, 'order' AS dest_table, rt AS \"{M.RECV_TIME}\", eid AS \"{M.ENTITY_ID}\", 'Order' AS \"{M.ENTITY_TYPE}\", {LD_COLUMNS} FROM od",
         "ld_attribute_rows": f"""WITH {OD} SELECT event_id, eid AS entity_id, 'totalPrice' AS name, 'Property' AS type, total AS value_num, '' AS value_text FROM od
             UNION ALL SELECT event_id, eid, 'priority', 'Property', -1.0, priority FROM od

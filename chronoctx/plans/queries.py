@@ -1143,6 +1143,25 @@ def stream_dead_letter(spark, d):
     return dead.unionByName(alive)
 
 
+def stream_versions(spark, d):
+    """A stream whose batches are one version each, of history and dead letters
+    together; every batch comes twice."""
+    out = work_dir(spark, "stream-versions")
+    write = SH.version_writer(f"{out}/store", "events", "postgresql", V2)
+
+    def damaged_twice(batch: DataFrame, batch_id: int) -> None:
+        raw = A.event_notifications(batch)
+        cut = F.when(F.col("event_id") % 5 == 0, F.substring("body", F.lit(1), F.lit(40))).otherwise(F.col("body"))
+        for _ in range(2):
+            write(raw.withColumn("body", cut), batch_id)
+
+    _run(spark, d, out, damaged_twice)
+    dead = V.read(spark, f"{out}/store", "dead_letter").select("event_id", "reject_reason")
+    stored = V.read(spark, f"{out}/store", "history").groupBy("event_id").agg(F.count("*").alias("n_rows"))
+    alive = stored.select("event_id", F.concat(F.lit("accepted "), "n_rows").alias("reject_reason"))
+    return dead.unionByName(alive)
+
+
 def stream_buckets(spark, d):
     """Partial buckets of a stream, merged on reading."""
     out = work_dir(spark, "stream-buckets")
@@ -1270,7 +1289,7 @@ QUERIES = [
     catalog_packages, catalog_resources, catalog_organizations, catalog_missing, catalog_join,
     vocab_invalid, vocab_valid, format_lookup, new_columns, typed_params, fragments_status, fragments_ready,
     json_valid, sql_functions, header_capture, v2_hostile_input,
-    stream_row_history, stream_dead_letter, stream_buckets, stream_trajectory, stream_fragments, stream_fragments_mixed, stream_live_buckets, stream_live_months, stream_occurrences,
+    stream_row_history, stream_dead_letter, stream_versions, stream_buckets, stream_trajectory, stream_fragments, stream_fragments_mixed, stream_live_buckets, stream_live_months, stream_occurrences,
     failed_rows, stored_retention, stored_age, stored_prefix, stored_bytes, stored_delete, file_statistics, atomic_append,
     continued_ids, ellipsoid_distance, trajectory_ellipsoid,
 ]

@@ -161,3 +161,29 @@ def test_ids_go_on_over_appends_and_rivals(spark, root, monkeypatch):
     assert first == [*range(0, 120, 2), 0, 2]
     last = {r.dest: r.last_id for r in IDS.largest(spark, root, "t", ["dest"]).collect()}
     assert last == {dest: len(numbered) for dest, numbered in found.items()}
+
+
+def test_a_batch_of_a_stream_is_one_version_or_nothing(spark, root, monkeypatch):
+    from chronoctx.streaming import history as SH
+    from chronoctx.streaming import runtime
+    from test_parse import CAR, raw
+
+    write = SH.version_writer(root, "job")
+    batch = raw(spark, CAR).unionByName(raw(spark, "{broken"))
+    with monkeypatch.context() as dying:
+        def die(*_):
+            raise OSError("gone")
+
+        dying.setattr(V, "_publish", die)
+        with pytest.raises(OSError):
+            write(batch, 0)
+    assert V.read(spark, root, "history") is None and V.read(spark, root, "dead_letter") is None
+    assert V.orphans(spark, root, -1)
+    write(batch, 0)
+    once = V.read(spark, root, "history").count()
+    write(batch, 0)
+    assert V.read(spark, root, "history").count() == once > 0 and V.read(spark, root, "dead_letter").count() == 1
+    write(batch, 1)
+    assert V.read(spark, root, "history").count() == 2 * once and list(V.versions(spark, root)) == [1, 2]
+    with pytest.raises(ValueError):
+        runtime.run_batch(batch, 2, write, root, faults=(OSError,))
