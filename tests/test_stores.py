@@ -390,6 +390,21 @@ def test_bucket_stream_with_compaction(spark, tmp_path, out):
     assert sorted(map(str, SB.read_buckets(spark, out, ["attr_name"]).collect())) == want
 
 
+def test_compaction_stops_before_a_waiting_batch(spark, out):
+    partial = SB.B.numeric_buckets(spark.createDataFrame([("a", 1_000, 2.0)], "attr_name string, recv_time_ts long, value double"), ["attr_name"], resolutions=("day",))
+    routes = ["success", "success", "retry", "success", None]
+    for number, route in enumerate(routes):
+        files.write_batch(partial, f"{out}/partials", number)
+        if route:
+            files.write_batch(spark.createDataFrame([(route,)], "route string"), f"{out}/commits", number)
+    files.write_batch(partial, f"{out}/retry", 2)
+    read = lambda: [r.samples for r in SB.read_buckets(spark, out, ["attr_name"]).collect()]
+    assert read() == [3]
+    assert [SB.compact(spark, out, ["attr_name"], upto) for upto in (0, 3)] == [0, 1] and read() == [3]
+    files.write_batch(spark.createDataFrame([("success",)], "route string"), f"{out}/commits", 2)
+    assert read() == [4]
+
+
 POINTS = "dest string, seq long, recv_time_ts long, lon double, lat double, stage_distance double"
 
 
