@@ -33,7 +33,10 @@ def run_batch(
     are errors that may be gone the next time: the batch is tried again, and goes to
     ``<out>/retry`` after that, for ``replay``. Any other error ends the job, which
     starts again with this batch: tasks are repeated by Spark, batches by the job's
-    checkpoint. A handler with state (``write.stateful``) cannot do without rows, so
+    checkpoint. A handler that can foresee which rows fail says so in
+    ``write.reason``, a function of a batch to a text column that is null for good
+    rows: those are told apart in one pass, however many they are, and only what is
+    left is halved. A handler with state (``write.stateful``) cannot do without rows, so
     it allows neither. The commit record is written last: readers that go through
     ``read_committed`` see all of a batch or nothing of it.
     """
@@ -70,22 +73,40 @@ def _write_without_failing(
     """The batch without its failing rows; FAILURE if none is left."""
     spark = batch.sparkSession
     with scratch(spark):
-        # Stored with a hash, so that every half is the same rows each time.
+        # Stored with a hash, so that every half is the same rows each time, and in
+        # its order, so that a half is read without the rest.
         content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns]), {"ignoreNullFields": "false"}))
-        name = "_content"
-        while name in batch.columns:
-            name += "_"
-        rows = store(batch.withColumn(name, content), "failed-batch")
-        ranges = isolate(rows, name, lambda part: write(part.drop(name), batch_id), faults, problem)
-        within = reduce(lambda a, b: a | b, [F.col(name).between(low, high) for low, high, _ in ranges])
-        reason = reduce(lambda value, r: value.when(F.col(name).between(r[0], r[1]), F.lit(r[2])), ranges[1:],
-                        F.when(F.col(name).between(*ranges[0][:2]), F.lit(ranges[0][2])))
-        write_batch(rows.filter(within).withColumn("error", reason).drop(name), f"{out}/failed", batch_id)
-        good = rows.filter(~within).drop(name)
-        if good.isEmpty():
-            return FAILURE
-        write(good, batch_id)
-        return SUCCESS
+        name, error = _free("_content", batch), _free("_error", batch)
+        reason = getattr(write, "reason", lambda _: F.lit(None).cast("string"))(batch)
+        marked = batch.select("*", content.alias(name), reason.alias(error))
+        rows = store(marked.repartitionByRange(F.col(name)).sortWithinPartitions(name), "failed-batch")
+        failed, good = rows.filter(F.col(error).isNotNull()), rows.filter(F.col(error).isNull())
+        foreseen = not failed.isEmpty()
+        left = not good.isEmpty()
+        if foreseen and left:
+            try:
+                write(good.drop(name, error), batch_id)
+            except faults as other:
+                foreseen, problem = False, other
+        if left and not foreseen:
+            ranges = isolate(good, name, lambda part: write(part.drop(name, error), batch_id), faults, problem)
+            within = reduce(lambda a, b: a | b, [F.col(name).between(low, high) for low, high, _ in ranges])
+            reason = reduce(lambda value, r: value.when(F.col(name).between(r[0], r[1]), F.lit(r[2])), ranges[1:],
+                            F.when(F.col(name).between(*ranges[0][:2]), F.lit(ranges[0][2])))
+            failed = failed.unionByName(good.filter(within).withColumn(error, reason))
+            good = good.filter(~within)
+            left = not good.isEmpty()
+            if left:
+                write(good.drop(name, error), batch_id)
+        write_batch(failed.drop(name).withColumn("error", F.col(error)).drop(error), f"{out}/failed", batch_id)
+        return SUCCESS if left else FAILURE
+
+
+def _free(name: str, batch: DataFrame) -> str:
+    """A column name that the batch does not have."""
+    while name in batch.columns:
+        name += "_"
+    return name
 
 
 def isolate(

@@ -287,6 +287,28 @@ def test_failing_rows_are_told_apart(spark, out):
     assert len(attempts) <= 2 + 2 * len(bad) * 15
 
 
+def test_foreseen_rows_are_told_apart_in_one_pass(spark, out):
+    attempts = []
+
+    def write(batch, batch_id):
+        attempts.append(batch_id)
+        files.write_batch(batch.select("id", F.col("text").cast("int").alias("n")), f"{out}/history", batch_id)
+
+    # 200 rows that the handler knows of, more than are told apart by halving, and one that it does not.
+    write.reason = lambda batch: F.when(F.col("text") == "x", "an x")
+    text = F.when(F.col("id") % 50 == 3, "x").when(F.col("id") == 4711, "y").otherwise(F.col("id").cast("string"))
+    rows = spark.range(10_000).select("id", text.alias("text"), F.lit("e").alias("_error"))
+    assert runtime.run_batch(rows.filter("id <> 4711"), 0, write, out, (NumberFormatException,)) == runtime.SUCCESS
+    assert len(attempts) == 2
+    assert runtime.run_batch(rows, 1, write, out, (NumberFormatException,)) == runtime.SUCCESS
+    assert runtime.run_batch(rows.filter("id = 3"), 2, write, out, (NumberFormatException,)) == runtime.FAILURE
+    stored = runtime.read_committed(spark, out, "history").groupBy("batch_id").count().collect()
+    assert {(r.batch_id, r["count"]) for r in stored} == {(0, 9_799), (1, 9_799)}
+    failed = spark.read.parquet(f"{out}/failed")
+    assert set(failed.columns) == {"batch_id", "id", "text", "_error", "error"}
+    assert failed.filter("error = 'an x' AND text = 'x'").count() == 401 and failed.filter("error LIKE '%y%'").count() == 1
+
+
 def test_rows_that_only_fail_together_go_together(spark, out):
     def write(batch, batch_id):
         if batch.filter("id in (1, 2)").count() == 2:
