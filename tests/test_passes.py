@@ -40,3 +40,7 @@ def test_old_encoders_in_steps(spark):
     stepped, got = E.encode_old_steps(df, "s")
     same = stepped.select("i", *[got[k].eqNullSafe(want[k]).alias(k) for k in want]).collect()
     assert [(r.i, k) for r in same for k in want if not r[k]] == []
+
+
+def test_attributes_and_sub_attributes_in_one_pass(spark, sf_dir):
+    assert "Union" not in _plan(Q.ld_attribute_rows(spark, sf_dir))
