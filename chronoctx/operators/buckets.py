@@ -102,12 +102,14 @@ def occurrence_points(occurrences: DataFrame, keys: list[str], value: str = "val
     )
 
 
-def dense_points(buckets: DataFrame, keys: list[str]) -> DataFrame:
+def dense_points(buckets: DataFrame, keys: list[str], **of_document: Column) -> DataFrame:
     """Bucket documents with every slot of their range, empty ones included:
-    zero counts and sums, min +Infinity and max -Infinity."""
+    zero counts and sums, min +Infinity and max -Infinity. ``of_document`` are further
+    aggregates over the buckets of a document."""
     stats = ["samples", "sum", "sum2", "min", "max"]
     documents = buckets.groupBy(*keys, "resolution", "range", "origin").agg(
-        F.map_from_entries(F.collect_list(F.struct("offset", F.struct(*stats)))).alias("_seen")  # at most 60 slots
+        F.map_from_entries(F.collect_list(F.struct("offset", F.struct(*stats)))).alias("_seen"),  # at most 60 slots
+        *[value.alias(name) for name, value in of_document.items()],
     )
     empty = F.struct(
         F.lit(0).cast("bigint").alias("samples"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("sum2"),

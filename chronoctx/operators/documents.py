@@ -29,7 +29,8 @@ def collection_keys(model: str) -> list[str]:
     return ["service_path", *(k for k in ID_FIELDS if k not in B.MODEL_KEYS[model])]
 
 
-def _document(dense: DataFrame, model: str) -> DataFrame:
+def document(dense: DataFrame, model: str) -> DataFrame:
+    """Documents of one data model from ``dense_numeric``, which serves all of them."""
     fields = [F.col(k).alias(ID_FIELDS[k]) for k in B.MODEL_KEYS[model]] + [F.col(c) for c in _RANGE]
     return dense.select(*collection_keys(model), F.struct(*fields).alias("_id"), F.col("attr_type").alias("attrType"), "points")
 
@@ -48,10 +49,16 @@ def numeric_documents(
 ) -> DataFrame:
     """Rows (``service_path``, ``entity_id``, ``entity_type``, ``attr_name``,
     ``attr_type``, value and time; keys not null) to documents with numeric points."""
+    return document(dense_numeric(rows, value, ts, resolutions), model)
+
+
+def dense_numeric(
+    rows: DataFrame, value: str = "value", ts: str = "recv_time_ts", resolutions: tuple[str, ...] = B.ALL_RESOLUTIONS,
+) -> DataFrame:
+    """Numeric points and last type of every document, whatever its data model."""
     buckets = B.numeric_buckets(rows, _keys(), value, ts, resolutions, "attr_type")
-    merged = [*_keys(), "resolution", "range", "origin"]
-    dense = B.dense_points(buckets, _keys()).join(_typed(buckets, _keys()), merged)
-    return _document(dense, model)
+    placed = buckets.dropna(subset=[*_keys(), "resolution", "range", "origin"])
+    return B.dense_points(placed, _keys(), attr_type=F.max_by("attr_type", F.struct("last_ts", "attr_type")))
 
 
 def categorical_documents(
@@ -61,7 +68,7 @@ def categorical_documents(
     typed = B.categorical_buckets(rows, [*_keys(), "attr_type"], value, ts, resolutions)
     points = B.occurrence_points(typed, _keys(), value)
     merged = [*_keys(), "resolution", "range", "origin"]
-    return _document(B.dense_occurrences(points, _keys()).join(_typed(typed, _keys()), merged), model)
+    return document(B.dense_occurrences(points, _keys()).join(_typed(typed, _keys()), merged), model)
 
 
 def _merged_point(a: Column, b: Column, names: list[str]) -> Column:

@@ -44,3 +44,13 @@ def test_old_encoders_in_steps(spark):
 
 def test_attributes_and_sub_attributes_in_one_pass(spark, sf_dir):
     assert "Union" not in _plan(Q.ld_attribute_rows(spark, sf_dir))
+
+
+def test_documents_of_all_models_from_one_aggregation(spark):
+    rows = spark.createDataFrame(
+        [("/p", "e", "T", "a", "N", 5, 1.0), ("/p", "e", "T", "a", "M", None, 2.0), ("/p", "e", "T", "a", "M", 7, 3.0)],
+        "service_path string, entity_id string, entity_type string, attr_name string, attr_type string, recv_time_ts long, value double")
+    dense = D.dense_numeric(rows, resolutions=("hour",))
+    assert "Join" not in _plan(dense)
+    (doc,) = D.document(dense, "db-by-entity").collect()
+    assert doc.attrType == "M" and sum(p.samples for p in doc.points) == 2
