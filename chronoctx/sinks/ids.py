@@ -36,6 +36,7 @@ def append_with_ids(
     for number, record in V.versions(spark, root).items():
         if token is not None and record.get("token") == token:
             return number
+    rows = store(rows, "rows")  # counted before they are numbered
     fresh = store(with_row_ids(rows, keys, by, name, 1, hot_rows), "fresh-ids")
     given = fresh.groupBy(*keys).agg(F.max(name).alias("_n"))
     for _ in range(ATTEMPTS):

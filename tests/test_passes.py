@@ -54,3 +54,16 @@ def test_documents_of_all_models_from_one_aggregation(spark):
     assert "Join" not in _plan(dense)
     (doc,) = D.document(dense, "db-by-entity").collect()
     assert doc.attrType == "M" and sum(p.samples for p in doc.points) == 2
+
+
+def test_rows_to_number_are_computed_once(spark, tmp_path):
+    shared_dir(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        seen.add(1)
+        return ("d", i, 86_400_000 + i)
+
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(range(50), 2).map(row), "dest string, n long, ms long")
+    IDS.append_with_ids(spark, str(tmp_path / "s"), "t", rows, ["dest"], ["n"], partitions=(), order=("dest",), time_ms="ms")
+    assert seen.value == 50
