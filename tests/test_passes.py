@@ -67,3 +67,10 @@ def test_rows_to_number_are_computed_once(spark, tmp_path):
     rows = spark.createDataFrame(spark.sparkContext.parallelize(range(50), 2).map(row), "dest string, n long, ms long")
     IDS.append_with_ids(spark, str(tmp_path / "s"), "t", rows, ["dest"], ["n"], partitions=(), order=("dest",), time_ms="ms")
     assert seen.value == 50
+
+
+def test_hdfs_rows_are_named_by_entity(spark, sf_dir, monkeypatch):
+    given, real = [], N.hdfs_names
+    monkeypatch.setattr(N, "hdfs_names", lambda df, *more: given.append(df.columns) or real(df, *more))
+    Q.hdfs_csv_row_side_files(spark, sf_dir)
+    assert given and all("attr_name" not in columns for columns in given)
