@@ -74,3 +74,8 @@ def test_hdfs_rows_are_named_by_entity(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(N, "hdfs_names", lambda df, *more: given.append(df.columns) or real(df, *more))
     Q.hdfs_csv_row_side_files(spark, sf_dir)
     assert given and all("attr_name" not in columns for columns in given)
+
+
+@pytest.mark.parametrize("query", [Q.v2_rejects])
+def test_what_is_used_twice_is_parsed_once(spark, sf_dir, query):
+    assert [f for f in query(spark, sf_dir).inputFiles() if "events.parquet" in f] == []
