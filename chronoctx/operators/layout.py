@@ -321,15 +321,19 @@ def csv_row_layout(rows: DataFrame, username: str, side: bool = False) -> DataFr
 def csv_column_layout(entities: DataFrame, names: list[str], username: str, md_file, side: bool = False) -> DataFrame:
     """``csv-column`` columns; ``md_file(attribute)`` gives the side file name. With
     ``side`` the records of these files come along (``metadata``)."""
+    # columns of their own: each attribute is looked up and its file named once
+    found = {f"_at_{i}": _find(F.col("attrs"), name) for i, name in enumerate(names)}
+    staged = entities.withColumns(found)
+    staged = staged.withColumns({f"_file_{i}": md_file(F.col(f"_at_{i}")) for i in range(len(names))})
     out, records = [], []
-    for name in names:
-        attribute = _find(F.col("attrs"), name)
+    for i, name in enumerate(names):
+        attribute, file = F.col(f"_at_{i}"), F.col(f"_file_{i}")
         out.append(F.regexp_replace(attribute["value"], '"', "").alias(name))
-        out.append(F.when(attribute.isNotNull(), _md_link(username, md_file(attribute))).alias(f"{name}_md_file"))
-        records.append(F.coalesce(_side_lines(md_file(attribute), attribute["md"]), F.array()))
+        out.append(F.when(attribute.isNotNull(), _md_link(username, file)).alias(f"{name}_md_file"))
+        records.append(F.coalesce(_side_lines(file, attribute["md"]), F.array()))
     if side:
         out.append(F.concat(*records).alias("metadata"))
-    return entities.select(*_carried(entities), *_event_fields(strip_path=False)[1:], *out)
+    return staged.select(*_carried(entities), *_event_fields(strip_path=False)[1:], *out)
 
 
 def csv_metadata_layout(md_rows: DataFrame) -> DataFrame:

@@ -79,3 +79,14 @@ def test_hdfs_rows_are_named_by_entity(spark, sf_dir, monkeypatch):
 @pytest.mark.parametrize("query", [Q.v2_rejects])
 def test_what_is_used_twice_is_parsed_once(spark, sf_dir, query):
     assert [f for f in query(spark, sf_dir).inputFiles() if "events.parquet" in f] == []
+
+
+def test_side_files_are_named_once(spark, sf_dir):
+    calls = []
+
+    def md_file(attribute):
+        calls.append(attribute)
+        return attribute["name"]
+
+    L.csv_column_layout(Q.event_entities(spark, sf_dir), ["value", "kind"], "u", md_file, side=True)
+    assert len(calls) == 2
