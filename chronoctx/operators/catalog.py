@@ -60,9 +60,11 @@ def enrich(events: DataFrame, metadata: dict[str, str]) -> DataFrame:
     for name, expression in metadata.items():
         value = F.expr(expression).cast("string")
         entries.append(F.struct(F.lit(name).alias("key"), (json_list(value) if name in LIST_FIELDS else value).alias("value")))
-    added = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-    kept = F.map_filter("headers", lambda k, _: ~F.array_contains(F.transform(added, lambda e: F.lower(e["key"])), F.lower(k)))
-    return events.withColumn("headers", F.map_concat(kept, F.map_from_entries(added)))
+    # as columns of their own, so that they are not evaluated for each header
+    staged = events.withColumn("_added", F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+    staged = staged.withColumn("_names", F.transform("_added", lambda e: F.lower(e["key"])))
+    kept = F.map_filter("headers", lambda k, _: ~F.array_contains(F.col("_names"), F.lower(k)))
+    return staged.withColumn("headers", F.map_concat(kept, F.map_from_entries("_added"))).drop("_added", "_names")
 
 
 def catalog_columns(events: DataFrame) -> DataFrame:

@@ -36,8 +36,15 @@ def first_entries(entries: Column) -> Column:
     def is_first(entry: Column, place: Column, all_: Column) -> Column:
         return F.array_position(all_["key"], entry["key"]) == place + 1
 
-    return bind(entries, lambda all_: F.map_from_entries(
-        F.filter(all_, lambda entry, place: entry["key"].isNotNull() & is_first(entry, place, all_))))
+    def build(all_: Column) -> Column:
+        keys = all_["key"]
+        # nearly always the keys are all different, which one pass over them tells
+        return F.when(
+            F.size(F.array_compact(F.array_distinct(keys))) == F.size(keys), F.map_from_entries(all_)
+        ).otherwise(F.map_from_entries(
+            F.filter(all_, lambda entry, place: entry["key"].isNotNull() & is_first(entry, place, all_))))
+
+    return bind(entries, build)
 
 
 def lower_headers(headers: Column) -> Column:
@@ -57,7 +64,7 @@ def _own_correlator(df: DataFrame) -> Column:
     same notification gives the same one."""
     body = F.col("body") if "body" in df.columns else F.lit("")
     digest = F.md5(F.concat_ws("\n", body, F.col("ingest_ts").cast("string"), F.to_json(F.map_entries("headers"))))
-    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.concat_ws("-", *[F.substring(digest, place, length) for place, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
 def with_event_columns(df: DataFrame, opts: Options = Options()) -> DataFrame:

@@ -90,3 +90,16 @@ def test_side_files_are_named_once(spark, sf_dir):
 
     L.csv_column_layout(Q.event_entities(spark, sf_dir), ["value", "kind"], "u", md_file, side=True)
     assert len(calls) == 2
+
+
+def test_catalogue_metadata_is_evaluated_once(spark):
+    df = spark.createDataFrame([({"FORMAT": "x", "a": "b"},)], "headers map<string,string>")
+    out = C.enrich(df, {"format": "concat('zz', 'y', size(headers))", "version": "CAST(NULL AS STRING)"})
+    assert out._jdf.queryExecution().analyzed().toString().count("zz") == 1
+    assert out.first().headers == {"a": "b", "format": "zzy2"}
+
+
+def test_equal_headers(spark):
+    maps = ["map('A', '1', 'a', '2', 'b', '3')", "map('A', '1', 'b', NULL)", "CAST(map() AS map<string,string>)", "CAST(NULL AS map<string,string>)"]
+    got = [spark.range(1).select(P.lower_headers(F.expr(m))).first()[0] for m in maps]
+    assert got == [{"a": "1", "b": "3"}, {"a": "1", "b": None}, {}, None]
