@@ -103,3 +103,9 @@ def test_equal_headers(spark):
     maps = ["map('A', '1', 'a', '2', 'b', '3')", "map('A', '1', 'b', NULL)", "CAST(map() AS map<string,string>)", "CAST(NULL AS map<string,string>)"]
     got = [spark.range(1).select(P.lower_headers(F.expr(m))).first()[0] for m in maps]
     assert got == [{"a": "1", "b": "3"}, {"a": "1", "b": None}, {}, None]
+
+
+@pytest.mark.parametrize("query", [Q.trajectory_moments, Q.trajectory_ellipsoid])
+def test_points_are_stored_with_what_is_used(spark, sf_dir, query):
+    files = query(spark, sf_dir).inputFiles()
+    assert files and spark.read.parquet(files[0]).columns == Q._PATH
