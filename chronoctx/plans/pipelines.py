@@ -50,6 +50,9 @@ def history_of(
         good = named.filter(F.col("name_reject").isNull())
         out = _row(good, store, opts)
     else:
+        if persistence != "row" and names is None:
+            entities = stored_copy(entities, "entities")
+            names = _names(entities, opts)
         # named per entity, before the attributes multiply the rows
         named = N.NAMERS[store](entities, opts)
         valid = F.col("name_reject").isNull()
@@ -59,12 +62,12 @@ def history_of(
             good = named.withColumn("attrs", F.when(valid, F.col("attrs")))
             out = _row(P.explode_attributes(good), store, opts)
         else:
-            out = _column(named.filter(valid), store, opts, _names(parsed, opts) if names is None else names)
+            out = _column(named.filter(valid), store, opts, names)
     return Outcome(out, P.rejects(parsed), N.rejected_names(named))
 
 
-def _names(parsed: DataFrame, opts: Options):
-    rows = P.attribute_rows(parsed)
+def _names(entities: DataFrame, opts: Options):
+    rows = P.explode_attributes(entities)
     return L.discover_sub_attributes(rows) if opts.version == "ld" else L.discover_attributes(rows)
 
 

@@ -76,7 +76,7 @@ def test_hdfs_rows_are_named_by_entity(spark, sf_dir, monkeypatch):
     assert given and all("attr_name" not in columns for columns in given)
 
 
-@pytest.mark.parametrize("query", [Q.v2_rejects])
+@pytest.mark.parametrize("query", [Q.v2_rejects, Q.v2_discovered_columns])
 def test_what_is_used_twice_is_parsed_once(spark, sf_dir, query):
     assert [f for f in query(spark, sf_dir).inputFiles() if "events.parquet" in f] == []
 
