@@ -8,6 +8,8 @@ lets adaptive execution split a partition that a hot destination fills.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,6 +53,25 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+@contextmanager
+def open_folders(spark: SparkSession, count: int):
+    """Writes inside the block keep up to ``count`` partition folders of a task open,
+    so that rows of so few folders need not be sorted by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, count)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of what is in a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder within one file system."""
     old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))

@@ -23,7 +23,8 @@ from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType
 
 from chronoctx.operators.fragments import FAULTS, INVALID, READY, faults, integer
-from chronoctx.sinks.files import write_batch
+from chronoctx.plans.session import remove
+from chronoctx.sinks.files import folders, move, open_folders, write_batch
 
 #: Fragments of one group that are held outside the state at a time, and of one block.
 HELD = 1 << 15
@@ -68,16 +69,13 @@ def _codes(columns: list[pa.Array]) -> tuple[list[np.ndarray], pa.Array]:
 
 
 class _Blocks:
-    """Blocks in keyed state by number, each read and written alone."""
+    """Blocks in keyed state by number, each read and written alone. The numbers are
+    kept elsewhere: to list the keys of a map is to read all of it."""
 
-    def __init__(self, handle, name: str, schema: pa.Schema):
-        self.state, self.schema = handle.getMapState(name, "number long", "block binary"), schema
+    def __init__(self, handle, name: str, schema: pa.Schema, beside: str = ""):
+        self.state, self.schema = handle.getMapState(name, "number long", f"block binary{beside}"), schema
         self.numbers: list[int] = []
 
-    def open(self) -> None:
-        """Lists the blocks of the key that is served now."""
-        self.numbers = sorted(number for (number,) in self.state.keys())
-
     def read(self, number: int) -> pa.RecordBatch:
         return _unpacked(self.state.getValue((number,))[0], self.schema)
 
@@ -118,7 +116,7 @@ class Assembler(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.summary = _Blocks(handle, "summary", self.known)
+        self.summary = _Blocks(handle, "summary", self.known, ", blocks int, waiting array<long>")
         self.waiting = _Blocks(handle, "waiting", self.pieces)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -191,16 +189,19 @@ class Assembler(StatefulProcessor):
         pass
 
     def _load(self) -> pa.RecordBatch:
-        """What is known about the transactions of the key; opens its state."""
-        self.summary.open()
-        self.waiting.open()
-        return _batch([self.summary.read(number) for number in self.summary.numbers], self.known)
+        """What is known about the transactions of the key; its first block has the
+        numbers of the others and of those that wait."""
+        first = self.summary.state.getValue((0,))
+        self.summary.numbers, self.waiting.numbers = (list(range(first[1])), list(first[2])) if first is not None else ([], [])
+        others = [self.summary.read(number) for number in self.summary.numbers[1:]]
+        return _batch([_unpacked(first[0], self.known), *others] if first is not None else [], self.known)
 
     def _save(self, known: pa.RecordBatch) -> None:
-        for number in list(self.summary.numbers):
-            self.summary.remove(number)
-        for start in range(0, known.num_rows, self.most):
-            self.summary.append(known.slice(start, self.most))
+        blocks = [known.slice(start, self.most) for start in range(0, known.num_rows, self.most)]
+        for number, rows in enumerate(blocks):
+            self.summary.state.updateValue((number,), (_packed(rows), len(blocks), [] if number else self.waiting.numbers))
+        for number in self.summary.numbers[len(blocks):]:
+            self.summary.state.removeKey((number,))
 
     def _joined(self, blocks: list[pa.RecordBatch]) -> pa.RecordBatch:
         return _batch(blocks, self.pieces)
@@ -353,12 +354,19 @@ def fragment_writer(out: str) -> Callable[[DataFrame, int], None]:
     ``<out>/ready`` (fragments carry their index as the order), broken and late ones
     to ``<out>/invalid``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            for status, table in ((READY, "ready"), (INVALID, "invalid")):
-                write_batch(kept.filter(F.col("status") == status).drop("status"), f"{out}/{table}", batch_id)
-        finally:
-            kept.unpersist()
+        spark, both = batch.sparkSession, f"{out}/decided/batch_id={batch_id}"
+        # One pass writes both tables: what the state gives can't be had twice.
+        with open_folders(spark, 2):
+            batch.write.mode("overwrite").partitionBy("status").parquet(both)
+        found = folders(spark, both)
+        for status, table in ((READY, "ready"), (INVALID, "invalid")):
+            target = f"{out}/{table}/batch_id={batch_id}"
+            remove(spark, target)
+            if f"status={status}" in found:
+                move(spark, f"{both}/status={status}", target)
+            else:
+                write_batch(spark.createDataFrame([], batch.drop("status").schema), f"{out}/{table}", batch_id)
+        remove(spark, both)
 
     write.stateful = True
     return write

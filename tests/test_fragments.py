@@ -66,3 +66,15 @@ def test_fragments_of_a_group_come_in_few_rows(spark):
     back = [SF._unpacked(b.as_buffer(), schema) for b in blocks.column(1)]
     assert [b.num_rows for b in back] == [4000, 1000] * 4
     assert sorted(r["fragment_index"] for b in back for r in b.to_pylist()) == sorted(str(i) for i in range(20_000))
+
+
+def test_a_repeated_batch_replaces_both_tables(spark, out):
+    write = SF.fragment_writer(out)
+    rows = [("a", "READY", None), ("b", "INVALID", "timeout")]
+    for batch in (rows, rows[:1], rows[1:], []):
+        write(spark.createDataFrame(batch, "fragment_identifier string, status string, reason string"), 3)
+        for status, table in (("READY", "ready"), ("INVALID", "invalid")):
+            stored = spark.read.parquet(f"{out}/{table}/batch_id=3")
+            assert stored.columns == ["fragment_identifier", "reason"]
+            assert [tuple(r) for r in stored.collect()] == [(n, why) for n, s, why in batch if s == status]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
