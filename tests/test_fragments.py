@@ -78,3 +78,26 @@ def test_a_repeated_batch_replaces_both_tables(spark, out):
             assert stored.columns == ["fragment_identifier", "reason"]
             assert [tuple(r) for r in stored.collect()] == [(n, why) for n, s, why in batch if s == status]
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+WIDE = ("fragment_identifier long, fragment_index string, fragment_count string, at timestamp, day date, money decimal(20,3), bytes binary, "
+        "list array<string>, map map<string,int>, struct struct<a:int,b:array<double>>, flag boolean")
+
+
+def test_fragments_keep_their_other_columns(spark, tmp_path, out):
+    import datetime as dt
+    from decimal import Decimal
+
+    def row(name, i, n):
+        return (name, str(i), n, dt.datetime(2024, 1, 2, 3, 4, 5, 6), dt.date(2024, 1, 2), Decimal("1.250"), bytearray(b"\x00\xff"), ["a", None],
+                {"k": i, "none": None}, (i, [0.5, None]), None) if i % 2 else (name, str(i), n, *[None] * 8)
+
+    rows = [row(name, i, "4") for name in (1, 2, -(1 << 62)) for i in range(4)] + [row(5, 1, "x")]
+    for number in range(2):
+        part = [r for r in rows if int(r[1]) // 2 == number]
+        spark.createDataFrame(part, WIDE).coalesce(1).write.parquet(str(tmp_path / "in" / str(number)))
+        stream = spark.readStream.schema(WIDE).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        runtime.start(SF.assemble(stream, held=2, groups=1), SF.fragment_writer(out), out, f"{out}/checkpoint", every=None).awaitTermination()
+    stored = runtime.read_committed(spark, out, "ready").unionByName(runtime.read_committed(spark, out, "invalid")).drop("batch_id", "reason")
+    assert stored.schema == spark.createDataFrame([], WIDE).schema
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, spark.createDataFrame(rows, WIDE).collect()))
